@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dialoom.functions.base import order_hash
 from dialoom.operators.bins import bin_number, size_range
 from dialoom.operators.ranking import rank_in_groups
-from dialoom.session import broadcast_within, stage_table
+from dialoom.session import stage_table
 
 
 def fill_plan(counts: DataFrame, target: int) -> DataFrame:
@@ -80,9 +80,10 @@ def balance_bins(
     ``position`` in the balanced list, and the bin target.  Over-full bins give their
     excess, in seeded hash order, to larger bins in need; what nobody needs is left
     out.  The largest size is clamped into the last bin, or left out as an overflow bin
-    with ``include_max=False``.  Needs ``conv_id`` and ``nbytes`` only; give the wide
-    columns back with a join on ``conv_id``.
+    with ``include_max=False``.  Give ``conv_id`` and ``nbytes`` only, they are written
+    first; the wide columns come back with a join on ``conv_id``.
     """
+    df = stage_table(df, "sizes")
     limits = size_range(df)
     if nbins == 0 or limits is None or limits[0] == limits[1]:
         alone = rank_in_groups(
@@ -121,7 +122,7 @@ def balance_bins(
     # over-full bins are drawn from at random, the others keep their size order
     full = F.col("cnt") > target
     ranked = rank_in_groups(
-        binned.join(broadcast_within(plan, bins, 64), "bin"),
+        binned.join(plan, "bin"),
         "bin",
         order_hash(seed, F.col("conv_id")),
         ["conv_id"],
@@ -139,7 +140,7 @@ def balance_bins(
     )
     moved = (
         numbered.where(F.col("number").isNotNull())
-        .join(broadcast_within(slots, 3 * bins, 64), "block")
+        .join(slots, "block")
         .where(F.col("number").between(F.col("from_number"), F.col("to_number")))
         .select(
             *df.columns,

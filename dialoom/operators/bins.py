@@ -170,6 +170,13 @@ def histogram_filter(
     if limits is None:
         return binned
     targets = bin_targets(bin_counts(binned, nbins), nbins, limits[0], boost)
+    return filter_by_targets(binned, targets, first, second, seed)
+
+
+def filter_by_targets(
+    binned: DataFrame, targets: DataFrame, first: str, second: str, seed: int = 0
+) -> DataFrame:
+    """Thin each bin to its ``keep_ratio`` in the bin table."""
     ratios = targets.where(F.col("cnt") > 0).select(
         "bin", F.when(F.col("cnt") > 2, F.col("keep_ratio")).otherwise(1.0).alias("keep_ratio")
     )

@@ -12,7 +12,7 @@ from pyspark.sql import types as t
 
 from dialoom.functions import vectors as V
 from dialoom.functions.base import order_hash
-from dialoom.session import broadcast_within, stage_table
+from dialoom.session import stage_table
 
 _COPY_SALTS = 64
 _MAX_PIVOTS = 64
@@ -50,19 +50,24 @@ def _partner_schema(rows: DataFrame) -> t.StructType:
 
 
 def _tile_search(threshold: float):
-    """Search one tile: build rows against probe rows, or build rows among themselves.
+    """Search one tile: build rows against probe rows, or, if ``build`` and ``probe`` are
+    the same block, the rows of that block among themselves.
 
     Emits, for each row with an earlier row above the threshold, the earliest one; at
     most one output row per input row.
     """
 
+    nothing = pd.DataFrame({"conv_id": [], "partner_nbytes": [], "partner_id": []})
+
     def search(tile: pd.DataFrame) -> pd.DataFrame:
         tile = tile.sort_values(["nbytes", "conv_id"], kind="stable", ignore_index=True)
         unit = np.stack(tile["unit"].to_numpy()).astype(np.float64, copy=False)
         build = np.flatnonzero(tile["is_build"].to_numpy())
         probe = np.flatnonzero(~tile["is_build"].to_numpy())
-        if len(probe) == 0:
+        if tile["build"].iat[0] == tile["probe"].iat[0]:
             probe = build
+        if len(build) == 0 or len(probe) == 0:
+            return nothing
         hit = unit[build] @ unit[probe].T > threshold
         earlier = build[:, None] < probe[None, :]
         found = []
@@ -135,9 +140,8 @@ def _tiles(cells: DataFrame, tile_rows: int) -> DataFrame:
         ),
         "cell-sizes",
     )
-    placed = cells.join(
-        broadcast_within(sizes, sizes.count(), 48), ["bin", "cell"]
-    ).withColumn(
+    # the planner knows the size of a written table and broadcasts it only if small
+    placed = cells.join(sizes, ["bin", "cell"]).withColumn(
         "own",
         F.pmod(
             F.xxhash64("conv_id"),
@@ -200,7 +204,12 @@ def _first_partners(vectors: DataFrame, threshold: float, tile_rows: int) -> Dat
     search = _tile_search(threshold)
     schema = _partner_schema(rows)
     if (largest or 0) <= tile_rows:
-        tiles = rows.withColumn("is_build", F.lit(True))
+        tiles = rows.select(
+            "*",
+            F.lit(True).alias("is_build"),
+            F.lit(0).alias("build"),
+            F.lit(0).alias("probe"),
+        )
         found = tiles.groupBy("bin").applyInPandas(search, schema)
     else:
         wanted = min(_MAX_PIVOTS, max(1, total // tile_rows))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialoom.session import broadcast_within, stage_table
+from dialoom.session import stage_table
 
 # hexadecimal digits of the hash that name a piece: 16**3 pieces per group
 _PIECE_DIGITS = 3
@@ -31,17 +31,16 @@ def rank_by_range(df: DataFrame, keys: Sequence[Column | str], rank: str = "rank
     )
     piece = F.shiftright("_row", _LOCAL_BITS)
     within = F.col("_row").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    # one row per partition of the sort
+    # one row per partition of the sort, a few thousand at most: safe to broadcast
     before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         staged.groupBy(piece.alias("_piece"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         staged.withColumn("_piece", piece)
-        .join(broadcast_within(offsets, partitions, 16), "_piece")
+        .join(F.broadcast(offsets), "_piece")
         .withColumn(rank, F.col("_before") + within)
         .drop("_row", "_piece", "_before")
     )

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialoom.functions import vectors as V
 from dialoom.functions.base import order_hash
 from dialoom.operators.ranking import rank_by_range
-from dialoom.session import broadcast_within, stage_table
+from dialoom.session import stage_table
 
 SCORES = ("cosine", "kl", "ner", "entropy", "variance_increase", "rand")
 NO_FILTER = "none"
@@ -39,16 +39,18 @@ def minmax_by_half(df: DataFrame, by: str = "bin") -> DataFrame:
     )
 
 
-def join_bin_statistics(df: DataFrame, statistics: DataFrame, bytes_per_row: int) -> DataFrame:
-    """Join one row per bin to the rows.  The table is written first, so its size is
-    known and every later use sees the same numbers."""
-    staged = stage_table(statistics, "bin-statistics")
-    return df.join(broadcast_within(staged, staged.count(), bytes_per_row), "bin")
+def join_bin_statistics(df: DataFrame, statistics: DataFrame) -> DataFrame:
+    """Join one row per bin to the rows.
+
+    The table is written first: every later use sees the same numbers, and the planner
+    knows its size, so it broadcasts it if it is small and not otherwise.
+    """
+    return df.join(stage_table(statistics, "bin-statistics"), "bin")
 
 
 def minmax_global(df: DataFrame) -> DataFrame:
     """Add ``q_scaled`` and ``a_scaled``: each half rescaled by its range in the bin."""
-    joined = join_bin_statistics(df, minmax_by_half(df), 64)
+    joined = join_bin_statistics(df, minmax_by_half(df))
     e = V.as_double(F.col("embedding"))
     return (
         joined.withColumn(
@@ -61,11 +63,6 @@ def minmax_global(df: DataFrame) -> DataFrame:
     )
 
 
-def _vector_bytes(df: DataFrame) -> int:
-    size = df.select(F.size("embedding").alias("n")).first()
-    return 64 + 8 * (size.n if size else 0)
-
-
 def mean_cosine_score(df: DataFrame, population: DataFrame | None = None) -> DataFrame:
     """Add ``mean_cosine``: mean similarity to all rows of the bin, itself included.
 
@@ -77,7 +74,7 @@ def mean_cosine_score(df: DataFrame, population: DataFrame | None = None) -> Dat
     rows = df if population is None else population
     means = mean_vector(rows.select("bin", unit.alias("embedding")))
     return (
-        join_bin_statistics(df, means, _vector_bytes(df))
+        join_bin_statistics(df, means)
         .withColumn("mean_cosine", V.dot(unit, F.col("mean")))
         .drop("mean")
     )
@@ -102,7 +99,7 @@ def with_score(
     if kind == "entropy":
         return df.withColumn("score", V.entropy(e))
     if kind == "variance_increase":
-        joined = join_bin_statistics(df, mean_vector(df), _vector_bytes(df))
+        joined = join_bin_statistics(df, mean_vector(df))
         return joined.withColumn(
             "score", V.euclidean_distance(e, F.col("mean"))
         ).drop("mean")
@@ -115,38 +112,39 @@ def with_score(
 def select_top(scored: DataFrame, quota: DataFrame) -> DataFrame:
     """Keep, in each bin, the ``keep`` rows with the highest ``score``, ties by id.
 
-    NaN ranks first, then +inf.  ``quota`` is a written table ``(bin, keep)``; a null
-    ``keep`` keeps the whole bin.  Only bin, score and id are sorted.  The last row
+    NaN ranks first, then +inf.  ``quota`` is a written table ``(bin, cnt, keep)``; a
+    null ``keep`` keeps the whole bin.  Only bin, score and id are sorted.  The last row
     inside the quota gives one limit per bin, and the full rows are compared with it
     where they are: they are not shuffled.
     """
-    bins = quota.count()
     limited = quota.where(F.col("keep").isNotNull())
+    before = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per bin: the rank of the last row to keep, in the order of all bins
+    last_rows = limited.select(
+        "bin",
+        "keep",
+        (
+            F.coalesce(F.sum("cnt").over(before), F.lit(0)) + F.least("keep", "cnt") - 1
+        ).alias("rank"),
+    ).where(F.col("keep") > 0)
     ranked = rank_by_range(
-        scored.join(broadcast_within(limited, bins, 32), "bin", "left_semi").select(
+        scored.join(limited.select("bin"), "bin", "left_semi").select(
             "bin", "score", "conv_id"
         ),
         ["bin", F.desc("score"), "conv_id"],
     )
-    starts = ranked.groupBy("bin").agg(
-        F.min("rank").alias("_start"), F.count(F.lit(1)).alias("_size")
-    )
-    wanted = limited.join(starts, "bin").select(
-        "bin",
-        (F.col("_start") + F.least("keep", "_size") - 1).alias("rank"),
-        F.col("keep").alias("_keep"),
-    )
-    limits = (
-        ranked.join(broadcast_within(wanted, bins, 32), ["bin", "rank"])
-        .where(F.col("_keep") > 0)
-        .select("bin", F.col("score").alias("_score"), F.col("conv_id").alias("_last"))
+    limits = stage_table(
+        ranked.join(last_rows, ["bin", "rank"]).select(
+            "bin", F.col("score").alias("_score"), F.col("conv_id").alias("_last")
+        ),
+        "limits",
     )
-    rules = quota.join(limits, "bin", "left")
+    rules = quota.select("bin", "keep").join(limits, "bin", "left")
     inside = (F.col("score") > F.col("_score")) | (
         (F.col("score") == F.col("_score")) & (F.col("conv_id") <= F.col("_last"))
     )
     return (
-        scored.join(broadcast_within(rules, bins, 128), "bin")
+        scored.join(rules, "bin")
         .where(F.col("keep").isNull() | F.coalesce(inside, F.lit(False)))
         .drop("keep", "_score", "_last")
     )
@@ -155,7 +153,7 @@ def select_top(scored: DataFrame, quota: DataFrame) -> DataFrame:
 def keep_counts(
     df: DataFrame, ratios: DataFrame, first: str, second: str
 ) -> DataFrame:
-    """``(bin, keep1, keep2)`` from ``(bin, keep_ratio)``; null means keep all.
+    """``(bin, cnt, keep1, keep2)`` from ``(bin, keep_ratio)``; null means keep all.
 
     Both stages use the square root of the ratio, also when only one of them is on.
     """
@@ -168,7 +166,10 @@ def keep_counts(
     thin = (F.col("keep_ratio") < 1) & F.lit(any(active))
     counts = df.groupBy("bin").agg(F.count(F.lit(1)).alias("cnt"))
     return counts.join(ratios, "bin").select(
-        "bin", F.when(thin, keep1).alias("keep1"), F.when(thin, keep2).alias("keep2")
+        "bin",
+        "cnt",
+        F.when(thin, keep1).alias("keep1"),
+        F.when(thin, keep2).alias("keep2"),
     )
 
 
@@ -186,7 +187,7 @@ def two_stage_filter(
     columns = df.columns
     if first in SCORES:
         df = select_top(
-            with_score(df, first, seed), quotas.select("bin", F.col("keep1").alias("keep"))
+            with_score(df, first, seed), quotas.select("bin", "cnt", F.col("keep1").alias("keep"))
         ).drop("score")
     if second in SCORES:
         rows = df
@@ -198,14 +199,16 @@ def two_stage_filter(
         if "_raw" in rows.columns:
             scored = scored.withColumn("embedding", F.col("_raw")).drop("_raw")
         df = select_top(
-            scored, quotas.select("bin", F.col("keep2").alias("keep"))
+            scored,
+            quotas.select("bin", F.col("keep1").alias("cnt"), F.col("keep2").alias("keep")),
         ).drop("score")
     return df.select(*columns)
 
 
 def select_top_ratio(df: DataFrame, ratio: float) -> DataFrame:
     """Keep ``floor(n * ratio)`` rows of each bin by ``score``."""
+    n = F.count(F.lit(1))
     quota = df.groupBy("bin").agg(
-        F.floor(F.count(F.lit(1)) * F.lit(float(ratio))).alias("keep")
+        n.alias("cnt"), F.floor(n * F.lit(float(ratio))).alias("keep")
     )
     return select_top(df, stage_table(quota, "quotas"))

@@ -36,8 +36,10 @@ def split_by_segment(
 ) -> DataFrame:
     """Split ``nbins`` positional segments; the last one takes the remainder.
 
-    Needs ``position``; adds ``segment`` and ``split``.
+    Needs ``position``; adds ``segment`` and ``split``.  Give narrow rows: they are
+    written first.
     """
+    curriculum = stage_table(curriculum, "positions")
     n = curriculum.count()
     size = n // max(1, nbins)
     last = F.lit(max(1, nbins) - 1).cast("bigint")
@@ -59,8 +61,10 @@ def split_by_size_bin(
     """Split inside ``nbins`` half-open size bins from 0 to the largest size.
 
     The largest size lies in no bin: it joins the last one, or with
-    ``include_max=False`` is in neither set.  Adds ``size_bin`` and ``split``.
+    ``include_max=False`` is in neither set.  Adds ``size_bin`` and ``split``.  Give
+    narrow rows: they are written first.
     """
+    df = stage_table(df, "sizes")
     high = df.agg(F.max("nbytes").alias("high")).first().high
     if not high:
         return df.withColumn("size_bin", F.lit(0).cast("bigint")).withColumn(

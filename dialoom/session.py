@@ -2,7 +2,8 @@
 
 Operators that need the same rows twice (a global rank, a search over bins) write
 them once to the shared folder of the cluster and read them back.  That cuts the
-lineage, and a lost executor costs a re-read instead of a re-run.
+lineage, and a lost executor costs a re-read instead of a re-run.  The planner knows the
+size of a written table, so small ones are broadcast by its own threshold.
 """
 
 from __future__ import annotations
@@ -11,10 +12,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# An explicit broadcast needs a proven bound below this many bytes.
-BROADCAST_LIMIT_BYTES = 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,8 +42,3 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def broadcast_within(df: DataFrame, rows: int, bytes_per_row: int) -> DataFrame:
-    """Hint a broadcast if ``rows * bytes_per_row`` is proven small, else leave the
-    choice of join to the planner and its runtime re-planning."""
-    return F.broadcast(df) if rows * bytes_per_row <= BROADCAST_LIMIT_BYTES else df

@@ -8,6 +8,8 @@ _MODULES = (
     "message_queries",
     "text_queries",
     "document_queries",
+    "vector_queries",
+    "size_queries",
 )
 
 
