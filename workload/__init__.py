@@ -10,6 +10,9 @@ _MODULES = (
     "document_queries",
     "vector_queries",
     "size_queries",
+    "source_queries",
+    "rewrite_queries",
+    "pipeline_queries",
 )
 
 
