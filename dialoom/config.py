@@ -40,7 +40,7 @@ class FilterOptions:
     boost: float = 1.0
     force_num_bins: int | None = None
     # rows per side of one similarity tile; bounds the memory of one task
-    tile_rows: int = 2048
+    tile_rows: int = 8192
 
 
 @dataclass(frozen=True)

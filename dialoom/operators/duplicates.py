@@ -15,12 +15,14 @@ from dialoom.functions.base import order_hash
 from dialoom.session import stage_table
 
 _COPY_SALTS = 64
-_MAX_PIVOTS = 64
+_MAX_PIVOTS = 1024
+_SLICE_ROWS = 512
+DEFAULT_TILE_ROWS = 8192
 
 
 def content_key(column: str = "conversation"):
     """Hash of the message list; other fields do not take part in the comparison."""
-    return F.sha2(F.to_json(F.col(column)), 256)
+    return F.unhex(F.sha2(F.to_json(F.col(column)), 256))
 
 
 def drop_exact_duplicates(df: DataFrame, column: str = "conversation") -> DataFrame:
@@ -54,7 +56,8 @@ def _tile_search(threshold: float):
     the same block, the rows of that block among themselves.
 
     Emits, for each row with an earlier row above the threshold, the earliest one; at
-    most one output row per input row.
+    most one output row per input row.  Similarities are computed in slices, so memory
+    grows with the tile and not with its square.
     """
 
     nothing = pd.DataFrame({"conv_id": [], "partner_nbytes": [], "partner_id": []})
@@ -64,20 +67,24 @@ def _tile_search(threshold: float):
         unit = np.stack(tile["unit"].to_numpy()).astype(np.float64, copy=False)
         build = np.flatnonzero(tile["is_build"].to_numpy())
         probe = np.flatnonzero(~tile["is_build"].to_numpy())
-        if tile["build"].iat[0] == tile["probe"].iat[0]:
+        same_block = tile["build"].iat[0] == tile["probe"].iat[0]
+        if same_block:
             probe = build
         if len(build) == 0 or len(probe) == 0:
             return nothing
-        hit = unit[build] @ unit[probe].T > threshold
-        earlier = build[:, None] < probe[None, :]
         found = []
-        # probe row with an earlier build row, and the other way round
-        for mask, late, early in (
-            (hit & earlier, probe, build),
-            ((hit & (build[:, None] > probe[None, :])).T, build, probe),
-        ):
-            any_hit = mask.any(axis=0)
-            found.append((late[any_hit], early[mask.argmax(axis=0)[any_hit]]))
+        first = np.full(len(probe), -1)  # earliest build row of each probe row
+        for start in range(0, len(build), _SLICE_ROWS):
+            rows = build[start : start + _SLICE_ROWS]
+            hit = unit[rows] @ unit[probe].T > threshold
+            earlier = hit & (rows[:, None] < probe[None, :])
+            fresh = (first < 0) & earlier.any(axis=0)
+            first[fresh] = rows[earlier.argmax(axis=0)[fresh]]
+            if not same_block:
+                later = hit & (rows[:, None] > probe[None, :])
+                any_later = later.any(axis=1)
+                found.append((rows[any_later], probe[later.argmax(axis=1)[any_later]]))
+        found.append((probe[first >= 0], first[first >= 0]))
         late = np.concatenate([f[0] for f in found])
         early = np.concatenate([f[1] for f in found])
         return pd.DataFrame(
@@ -99,7 +106,8 @@ def _assign_cells(pivots: np.ndarray, threshold: float):
     They lie on one side of the plane between the two pivots, so an angle below
     acos(threshold) needs this row within that angle of the plane: its distance from
     the plane is at most sin(acos(threshold)).  A necessary condition, so no pair is
-    lost.  Every pair of cells is searched once, from the lower one.
+    lost.  Every pair of cells is searched once, from the lower one.  ``n_cells`` of a
+    row says how many of the pivots its bin uses; small bins use one.
     """
     reach = math.sin(math.acos(threshold)) + 1e-9 if threshold >= 0 else math.inf
 
@@ -111,15 +119,18 @@ def _assign_cells(pivots: np.ndarray, threshold: float):
                 continue
             unit = np.stack(batch["unit"].to_numpy()).astype(np.float64, copy=False)
             near = unit @ pivots.T
+            unused = np.arange(len(pivots))[None, :] >= batch["n_cells"].to_numpy()[:, None]
+            near[unused] = -np.inf
             home = near.argmax(axis=1)
             own = near[np.arange(len(home)), home]
             gap = lengths[home]
             margin = np.where(gap > 0, (own[:, None] - near) / np.where(gap > 0, gap, 1), 0)
-            guest = (margin <= reach) & (np.arange(len(pivots))[None, :] < home[:, None])
+            lower = np.arange(len(pivots))[None, :] < home[:, None]
+            guest = lower & (margin <= reach)
             rows, cells = np.nonzero(guest)
             rows = np.concatenate([np.arange(len(home)), rows])
             cells = np.concatenate([home, cells])
-            out = batch.iloc[rows].copy()
+            out = batch.drop(columns="n_cells").iloc[rows].copy()
             out["cell"] = cells.astype(np.int32)
             out["at_home"] = cells == home[rows]
             yield out
@@ -194,16 +205,41 @@ def _distinct_vectors(df: DataFrame) -> DataFrame:
     )
 
 
+def _cells(
+    rows: DataFrame, sizes: DataFrame, largest: int, threshold: float, tile_rows: int
+) -> DataFrame:
+    """Rows with ``cell`` and ``at_home``: once in their home cell, and once as a guest in
+    each lower cell that may hold a partner.  A bin gets about one cell per tile."""
+    most = min(_MAX_PIVOTS, largest // tile_rows)
+    if threshold < 0 or most < 2:
+        # no angle to prune by
+        return rows.withColumn("cell", F.lit(0)).withColumn("at_home", F.lit(True))
+    # a bounded number of pivot vectors, the same ones in every run
+    chosen = (
+        rows.orderBy(order_hash("pivot", F.col("conv_id")), "conv_id").limit(most).collect()
+    )
+    pivots = np.array([r.unit for r in chosen], dtype=np.float64)
+    n_cells = F.greatest(
+        F.lit(1), F.least(F.lit(len(pivots)), F.floor(F.col("n") / tile_rows))
+    )
+    wide = rows.join(sizes, "bin").withColumn("n_cells", n_cells.cast("int")).drop("n")
+    schema = t.StructType(
+        rows.schema.fields
+        + [t.StructField("cell", t.IntegerType()), t.StructField("at_home", t.BooleanType())]
+    )
+    return stage_table(
+        wide.mapInPandas(_assign_cells(pivots, threshold), schema), "cells"
+    )
+
+
 def _first_partners(vectors: DataFrame, threshold: float, tile_rows: int) -> DataFrame:
     """Earliest partner of every distinct vector that has an earlier one in its bin."""
     rows = vectors.select("bin", "conv_id", "nbytes", "unit")
-    sizes = rows.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).agg(
-        F.max("n").alias("largest"), F.sum("n").alias("all")
-    )
-    largest, total = sizes.first()
+    sizes = stage_table(rows.groupBy("bin").agg(F.count(F.lit(1)).alias("n")), "bin-sizes")
+    largest = sizes.agg(F.max("n").alias("n")).first().n or 0
     search = _tile_search(threshold)
     schema = _partner_schema(rows)
-    if (largest or 0) <= tile_rows:
+    if largest <= tile_rows:
         tiles = rows.select(
             "*",
             F.lit(True).alias("is_build"),
@@ -212,30 +248,8 @@ def _first_partners(vectors: DataFrame, threshold: float, tile_rows: int) -> Dat
         )
         found = tiles.groupBy("bin").applyInPandas(search, schema)
     else:
-        wanted = min(_MAX_PIVOTS, max(1, total // tile_rows))
-        if threshold >= 0 and wanted > 1:
-            chosen = (
-                rows.orderBy(order_hash("pivot", F.col("conv_id")), "conv_id")
-                .limit(wanted)
-                .select("unit")
-                .collect()
-            )
-            pivots = np.array([r.unit for r in chosen], dtype=np.float64)
-            cells = rows.mapInPandas(
-                _assign_cells(pivots, threshold),
-                t.StructType(
-                    rows.schema.fields
-                    + [
-                        t.StructField("cell", t.IntegerType()),
-                        t.StructField("at_home", t.BooleanType()),
-                    ]
-                ),
-            )
-            cells = stage_table(cells, "cells")
-        else:
-            cells = rows.withColumn("cell", F.lit(0)).withColumn("at_home", F.lit(True))
         found = (
-            _tiles(cells, tile_rows)
+            _tiles(_cells(rows, sizes, largest, threshold, tile_rows), tile_rows)
             .groupBy("bin", "cell", "build", "probe")
             .applyInPandas(search, schema)
         )
@@ -246,7 +260,7 @@ def _first_partners(vectors: DataFrame, threshold: float, tile_rows: int) -> Dat
     )
 
 
-def duplicate_pairs(df: DataFrame, threshold: float, tile_rows: int = 2048) -> DataFrame:
+def duplicate_pairs(df: DataFrame, threshold: float, tile_rows: int = DEFAULT_TILE_ROWS) -> DataFrame:
     """``(conv_id, partner_id)`` for each record with an earlier record of its bin above
     the threshold, and the earliest such record.
 
@@ -281,7 +295,7 @@ def duplicate_pairs(df: DataFrame, threshold: float, tile_rows: int = 2048) -> D
     return of_heads.unionByName(copies)
 
 
-def near_duplicates(df: DataFrame, threshold: float, tile_rows: int = 2048) -> DataFrame:
+def near_duplicates(df: DataFrame, threshold: float, tile_rows: int = DEFAULT_TILE_ROWS) -> DataFrame:
     """Drop each record that has an earlier record (by size and id) of the same bin with
     cosine similarity above the threshold.
 

@@ -118,8 +118,7 @@ def test_similarity_equal_to_threshold_is_no_duplicate(spark):
     assert D.near_duplicates(df, 0.6).count() == 2
 
 
-@pytest.mark.parametrize("threshold", [-0.2, 0.5, 0.9, 0.99])
-@pytest.mark.parametrize("tile_rows", [10, 5000])
+@pytest.mark.parametrize(("threshold", "tile_rows"), [(-0.2, 40), (0.5, 10), (0.9, 25), (0.95, 5000)])
 def test_pairs_against_brute_force(spark, threshold, tile_rows):
     """Clusters, copies, a hot bin, and many small tiles."""
     rng = np.random.default_rng(11)

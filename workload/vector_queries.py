@@ -338,7 +338,7 @@ def _register_duplicates(suffix: str, tile_rows: int):
         )
 
 
-_register_duplicates("", 2048)
+_register_duplicates("", D.DEFAULT_TILE_ROWS)
 _register_duplicates("_tiled", 32)
 
 
@@ -374,7 +374,7 @@ halves AS (
 buckets AS (
   SELECT conv_id, role, ('0x' || substr(md5(w), 1, 8))::BIGINT % {DIMENSIONS // 2} AS b
   FROM (SELECT conv_id, role, unnest(list_filter(regexp_split_to_array(text, '{W.SQL_SPACE}+'),
-          lambda w: w <> '')[1:200]) AS w FROM halves)),
+          lambda w: w <> '')[1:8192]) AS w FROM halves)),
 embedded AS (
   SELECT conv_id, CASE role WHEN 'human' THEN b ELSE b + {DIMENSIONS // 2} END AS dim,
          CAST(count(*) AS DOUBLE) AS x
@@ -383,7 +383,7 @@ embedded AS (
 
 @query("embed_qa_pairs", f"WITH {_EMBED} SELECT conv_id, dim, x FROM embedded")
 def embed(t):
-    df = E.embed_hashed(W.with_roles(W.raw(t)), DIMENSIONS, 200)
+    df = E.embed_hashed(W.with_roles(W.raw(t)), DIMENSIONS)
     return df.select("conv_id", F.posexplode("embedding").alias("dim", "x")).where(
         "x > 0"
     ).select("conv_id", F.col("dim").cast("bigint").alias("dim"), "x")
@@ -470,7 +470,7 @@ def precomputed(t):
     first_half = F.col("conv_id") % 2 == 0
 
     def embed(df):
-        return E.embed_hashed(df, DIMENSIONS, 200)
+        return E.embed_hashed(df, DIMENSIONS)
 
     partly = E.with_embeddings(records.join(given.where(first_half), "conv_id", "left"), embed)
     complete = E.with_embeddings(records.join(given, "conv_id"), embed)
