@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialoom.fixed_values import PYTHON_WHITESPACE
 
-# the same characters as a regular-expression class
+# Python's white space as a regular-expression class
 WHITESPACE_CLASS = (
     r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 )
@@ -25,8 +25,31 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Remove white space at both ends, by Python's idea of white space."""
-    return F.trim(text, F.lit(PYTHON_WHITESPACE))
+    """Remove white space at both ends, by Python's idea of white space.
+
+    ``trim`` with a list of characters walks over the whole text, so it is called only
+    if the first or last character is in the list.
+    """
+    space = F.lit(PYTHON_WHITESPACE)
+
+    def stripped(v: Column) -> Column:
+        outer = F.contains(space, F.left(v, F.lit(1))) | F.contains(space, F.right(v, F.lit(1)))
+        return F.when(outer, F.trim(v, space)).otherwise(v)
+
+    return let(text, stripped)
+
+
+def refine(
+    df: DataFrame, column: str, value: Column, keep: Callable[[Column], Column]
+) -> DataFrame:
+    """Replace ``column`` by ``value`` and keep the rows for which ``keep(value)`` is true.
+
+    A filter above a projection is pushed below it, with the projected expression copied
+    into it, so that the work is done once more for every condition.  Exploding an array
+    of one or no element computes the value once and filters in the same step.
+    """
+    others = [c for c in df.columns if c != column]
+    return df.select(*others, F.explode(F.filter(F.array(value), keep)).alias(column))
 
 
 def words(text: Column) -> Column:

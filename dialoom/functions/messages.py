@@ -135,19 +135,22 @@ def upsert_system_prompt(
 ) -> Column:
     """Make message 0 a system message that carries the metadata text."""
 
-    def or_default(text: Column) -> Column:
-        return F.when(text != "", text).otherwise(F.lit(default))
-
     def rebuild(m: Column) -> Column:
         first = F.get(m, F.lit(0))
-        has_system = F.coalesce(first["from"] == SYSTEM, F.lit(False))
-        old = strip(F.coalesce(first["value"], F.lit("")))
-        joined = F.trim(F.concat(old, F.lit(", "), metadata), F.lit(", "))
-        prompt = F.when(has_system & (old != ""), or_default(joined)).otherwise(
-            or_default(metadata)
+        head = F.struct(
+            F.coalesce(first["from"] == SYSTEM, F.lit(False)).alias("is_system"),
+            strip(F.coalesce(first["value"], F.lit(""))).alias("old"),
+            metadata.alias("metadata"),
         )
-        rest = F.when(has_system, F.slice(m, F.lit(2), F.size(m))).otherwise(m)
-        return F.concat(F.array(message(F.lit(SYSTEM), prompt)), rest)
+
+        def with_head(h: Column) -> Column:
+            joined = F.trim(F.concat(h["old"], F.lit(", "), h["metadata"]), F.lit(", "))
+            prompt = F.when(h["is_system"] & (h["old"] != ""), joined).otherwise(h["metadata"])
+            prompt = let(prompt, lambda p: F.when(p != "", p).otherwise(F.lit(default)))
+            rest = F.when(h["is_system"], F.slice(m, F.lit(2), F.size(m))).otherwise(m)
+            return F.concat(F.array(message(F.lit(SYSTEM), prompt)), rest)
+
+        return let(head, with_head)
 
     return let(project_messages(messages), rebuild)
 

@@ -12,23 +12,47 @@ from dialoom import fixed_values as fixed
 from dialoom.functions.base import WHITESPACE_CLASS, hash_choice, let, strip, words
 
 
+def any_of(phrases: Sequence[str]) -> str:
+    """Pattern for any of the literal phrases; one class check skips most positions."""
+    firsts = "".join(sorted({f"\\x{{{ord(p[0]):x}}}" for p in phrases}))
+    return f"(?=[{firsts}])(?:{'|'.join(re.escape(p) for p in phrases)})"
+
+
 def strip_phrases(text: Column, phrases: Sequence[str] = fixed.STRIP_PHRASES) -> Column:
-    """Remove each phrase everywhere, one after the other, trimming after each."""
+    """Remove each phrase everywhere, one after the other, trimming after each.
+
+    A text without any of the phrases is only trimmed; removal and trimming happen only
+    for phrases that are there.
+    """
+    phrases = [p for p in phrases if p]
     if not phrases:
         return text
-    listed = F.array(*[F.lit(p) for p in phrases])
-    return F.aggregate(
-        listed, text, lambda acc, phrase: strip(F.replace(acc, phrase, F.lit("")))
+
+    def remove(acc: Column, phrase: Column) -> Column:
+        return strip(F.replace(acc, phrase, F.lit("")))
+
+    first = remove(text, F.lit(phrases[0]))
+    later = F.array(*[F.lit(p) for p in phrases[1:]]).cast("array<string>")
+    folded = F.aggregate(
+        later,
+        first,
+        lambda acc, phrase: F.when(F.contains(acc, phrase), remove(acc, phrase)).otherwise(acc),
     )
+    return F.when(F.rlike(text, F.lit(any_of(phrases))), folded).otherwise(strip(text))
 
 
 def cut_at_marker(text: Column, markers: Sequence[str] = fixed.CUT_MARKERS) -> Column:
     """Keep what stands before the first of each marker."""
-    for marker in markers:
-        text = F.when(
-            F.contains(text, F.lit(marker)), strip(F.substring_index(text, marker, 1))
-        ).otherwise(text)
-    return text
+    if not markers:
+        return text
+    return F.aggregate(
+        F.array(*[F.lit(m) for m in markers]),
+        text,
+        lambda acc, marker: F.when(
+            F.contains(acc, marker),
+            strip(F.call_function("substring_index", acc, marker, F.lit(1))),
+        ).otherwise(acc),
+    )
 
 
 def section_pattern(headers: Sequence[str]) -> str:
@@ -41,23 +65,30 @@ def cut_reference_sections(
     text: Column, headers: Sequence[str] = fixed.SECTION_HEADERS
 ) -> Column:
     pattern = section_pattern(headers)
-    return F.when(
-        F.rlike(text, F.lit(pattern)), strip(F.get(F.split(text, pattern, 2), F.lit(0)))
-    ).otherwise(text)
+    return let(
+        text,
+        lambda v: F.when(
+            F.rlike(v, F.lit(pattern)), strip(F.get(F.split(v, pattern, 2), F.lit(0)))
+        ).otherwise(v),
+    )
 
 
 def charset_share(text: Column, code_points: Sequence[int] = fixed.CODE_POINTS) -> Column:
     """Share of the characters that are ASCII or listed; null for an empty text."""
     listed = "".join(f"\\x{{{p:x}}}" for p in code_points)
-    others = F.length(F.regexp_replace(text, f"[\\x00-\\x7f{listed}]+", ""))
-    total = F.length(text)
-    return F.when(
-        total > 0,
+
+    def share(v: Column) -> Column:
+        others = F.length(F.regexp_replace(v, f"[\\x00-\\x7f{listed}]+", ""))
+        total = F.length(v)
         # a text as long in bytes as in characters is pure ASCII
-        F.when(F.octet_length(text) == total, F.lit(1.0)).otherwise(
-            (total - others).cast("double") / total
-        ),
-    )
+        return F.when(
+            total > 0,
+            F.when(F.octet_length(v) == total, F.lit(1.0)).otherwise(
+                (total - others).cast("double") / total
+            ),
+        )
+
+    return let(text, share)
 
 
 def is_rejected(
@@ -70,11 +101,14 @@ def is_rejected(
 def match_capitalization(original: Column, replacement: Column) -> Column:
     """Capitalise the replacement if the original starts with an upper-case letter."""
     upper_first = F.rlike(original, F.lit(r"^\p{Lu}"))
-    capital = F.concat(
-        F.upper(F.substring(replacement, 1, 1)),
-        F.lower(F.substring(replacement, F.lit(2), F.length(replacement))),
-    )
-    return F.when(upper_first, capital).otherwise(replacement)
+
+    def cased(r: Column) -> Column:
+        capital = F.concat(
+            F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, F.lit(2), F.length(r)))
+        )
+        return F.when(upper_first, capital).otherwise(r)
+
+    return let(replacement, cased)
 
 
 def _fold_case(text: Column) -> Column:
@@ -159,10 +193,13 @@ def clean_generated_prompt(
 ) -> Column:
     """The prompt inside raw model output, or null if the marker is missing."""
     marker = fixed.GENERATED_PROMPT_MARKER
-    flat = F.translate(output, "\n", " ")
-    prompt = F.substring_index(flat, marker, -1)
-    for stop in stop_markers:
-        prompt = F.substring_index(prompt, stop, 1)
-    prompt = F.array_join(words(F.replace(prompt, F.lit("''"), F.lit(""))), " ")
-    prompt = F.replace(prompt, F.lit(fixed.MOJIBAKE_APOSTROPHE), F.lit("_"))
-    return F.when(F.contains(flat, F.lit(marker)), prompt)
+
+    def extract(flat: Column) -> Column:
+        prompt = F.substring_index(flat, marker, -1)
+        for stop in stop_markers:
+            prompt = F.substring_index(prompt, stop, 1)
+        prompt = F.array_join(words(F.replace(prompt, F.lit("''"), F.lit(""))), " ")
+        prompt = F.replace(prompt, F.lit(fixed.MOJIBAKE_APOSTROPHE), F.lit("_"))
+        return F.when(F.contains(flat, F.lit(marker)), prompt)
+
+    return let(F.translate(output, "\n", " "), extract)

@@ -6,14 +6,14 @@ streaming DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialoom.config import PreprocessOptions
 from dialoom.fixed_values import GPT, HUMAN
 from dialoom.functions import messages as M
 from dialoom.functions import text as T
-from dialoom.functions.base import let, strip
+from dialoom.functions.base import let, refine, strip
 
 
 def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -48,54 +48,58 @@ def normalize(df: DataFrame, system_prompt: str, column: str = "conversation") -
     )
 
 
-def filter_valid_conversations(df: DataFrame, column: str = "conversation") -> DataFrame:
-    """Merge repeated turns, drop invalid conversations and a trailing human turn."""
-    merged = df.withColumn(column, M.merge_consecutive_turns(F.col(column)))
-    m = F.col(column)
-    return merged.where(
+def _is_valid(m: Column) -> Column:
+    return (
         M.has_role_with_value(m, HUMAN)
         & M.has_role_with_value(m, GPT)
         & M.valid_turn_order(m)
-    ).withColumn(column, M.drop_trailing_human(m))
+    )
+
+
+def filter_valid_conversations(df: DataFrame, column: str = "conversation") -> DataFrame:
+    """Merge repeated turns, drop invalid conversations and a trailing human turn."""
+    merged = M.merge_consecutive_turns(F.col(column))
+    return refine(df, column, merged, _is_valid).withColumn(
+        column, M.drop_trailing_human(F.col(column))
+    )
+
+
+def _cleaned_answers(messages: Column, options: PreprocessOptions) -> Column:
+    return M.map_values(
+        messages,
+        lambda v: T.cut_at_marker(T.strip_phrases(v, options.strip_phrases), options.cut_markers),
+        [GPT],
+    )
 
 
 def clean_answers(df: DataFrame, options: PreprocessOptions) -> DataFrame:
-    return df.withColumn(
-        "conversation",
-        M.map_values(
-            F.col("conversation"),
-            lambda v: T.cut_at_marker(
-                T.strip_phrases(v, options.strip_phrases), options.cut_markers
-            ),
-            [GPT],
+    return df.withColumn("conversation", _cleaned_answers(F.col("conversation"), options))
+
+
+def _reaches_charset_ratio(messages: Column, options: PreprocessOptions) -> Column:
+    return ~F.exists(
+        messages,
+        lambda m: (m["from"] == GPT)
+        & F.coalesce(
+            T.charset_share(m["value"], options.code_points) < options.charset_threshold,
+            F.lit(False),
         ),
     )
 
 
 def filter_charset_ratio(df: DataFrame, options: PreprocessOptions) -> DataFrame:
     """Keep conversations whose every non-empty answer reaches the threshold."""
-    return df.where(
-        ~F.exists(
-            F.col("conversation"),
-            lambda m: (m["from"] == GPT)
-            & F.coalesce(
-                T.charset_share(m["value"], options.code_points)
-                < options.charset_threshold,
-                F.lit(False),
-            ),
-        )
+    return df.where(_reaches_charset_ratio(F.col("conversation"), options))
+
+
+def _without_sections(messages: Column, options: PreprocessOptions) -> Column:
+    return M.map_values(
+        messages, lambda v: T.cut_reference_sections(v, options.section_headers), [GPT]
     )
 
 
 def cut_reference_sections(df: DataFrame, options: PreprocessOptions) -> DataFrame:
-    return df.withColumn(
-        "conversation",
-        M.map_values(
-            F.col("conversation"),
-            lambda v: T.cut_reference_sections(v, options.section_headers),
-            [GPT],
-        ),
-    )
+    return df.withColumn("conversation", _without_sections(F.col("conversation"), options))
 
 
 def with_nbytes(df: DataFrame) -> DataFrame:
@@ -107,6 +111,21 @@ def cap_size(df: DataFrame, max_nbytes: int) -> DataFrame:
     return df.where(F.col("nbytes") <= max_nbytes)
 
 
+def size_and_cap(
+    df: DataFrame, max_nbytes: int, conversation: Column | None = None
+) -> DataFrame:
+    """``with_nbytes`` and ``cap_size`` in one step, with a new conversation if one is
+    given; the conversation is computed once."""
+    value = F.col("conversation") if conversation is None else conversation
+    sized = let(
+        value,
+        lambda c: F.struct(c.alias("conversation"), M.conversation_nbytes(c).alias("nbytes")),
+    )
+    kept = refine(df.drop("nbytes"), "conversation", sized, lambda s: s["nbytes"] <= max_nbytes)
+    others = [c for c in kept.columns if c != "conversation"]
+    return kept.select(*others, "conversation.*")
+
+
 def drop_rejection_messages(df: DataFrame, options: PreprocessOptions) -> DataFrame:
     """Drop single messages that match; keep all if none would be left; trim the rest."""
     phrases = options.rejection_phrases
@@ -137,11 +156,14 @@ def clean(df: DataFrame, options: PreprocessOptions | None = None) -> DataFrame:
         df = df.withColumn(
             "conversation", M.project_messages(M.rename_message_keys(F.col("conversation")))
         )
+    m = F.col("conversation")
     if options.strip:
-        df = clean_answers(df, options)
+        m = _cleaned_answers(m, options)
     if options.check_charset:
-        df = filter_charset_ratio(df, options)
-    df = cap_size(with_nbytes(cut_reference_sections(df, options)), options.max_nbytes)
+        df = refine(df, "conversation", m, lambda c: _reaches_charset_ratio(c, options))
+    else:
+        df = df.withColumn("conversation", m)
+    df = size_and_cap(df, options.max_nbytes, _without_sections(F.col("conversation"), options))
     if options.drop_rejections:
         df = drop_rejection_messages(df, options)
     return df
@@ -151,10 +173,13 @@ def swap_phrases(df: DataFrame, swaps, seed: int, id_column: str = "conv_id") ->
     """Swap phrases in the messages of every role."""
     if not swaps:
         return df
-    swapped = F.transform(
-        F.col("conversation"),
-        lambda m, i: M.message(
-            m["from"], T.swap_phrases(m["value"], swaps, seed, F.col(id_column), i)
-        ),
+    return df.withColumn(
+        "conversation", swapped_messages(F.col("conversation"), swaps, seed, F.col(id_column))
+    )
+
+
+def swapped_messages(messages: Column, swaps, seed: int, id_: Column) -> Column:
+    return F.transform(
+        messages,
+        lambda m, i: M.message(m["from"], T.swap_phrases(m["value"], swaps, seed, id_, i)),
     )
-    return df.withColumn("conversation", swapped)

@@ -77,29 +77,29 @@ def embed_with(
     max_tokens: int = 8192,
     batch_rows: int = 64,
 ) -> DataFrame:
-    """Add ``embedding`` by a model.
+    """Add ``embedding`` by a model, which starts once per worker and task.
 
-    ``make_embedder`` runs once per Python worker and partition.  Rows are sorted by
-    size inside each partition, so that a batch holds texts of similar length.
+    Only the two texts travel to Python.  Rows are sorted by size inside each partition,
+    so that a batch holds texts of similar length.
     """
-    texts = qa_texts(df, max_tokens)
-    if "nbytes" in df.columns:
-        texts = texts.sortWithinPartitions("nbytes")
-    schema = t.StructType(
-        df.schema.fields + [t.StructField("embedding", t.ArrayType(t.DoubleType()))]
-    )
+    rows = df.sortWithinPartitions("nbytes") if "nbytes" in df.columns else df
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(t.ArrayType(t.DoubleType()))
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         embed = make_embedder()
-        for batch in batches:
-            for start in range(0, len(batch), batch_rows):
-                part = batch.iloc[start : start + batch_rows]
-                q = np.asarray(embed(part["question"].tolist()), dtype=np.float64)
-                a = np.asarray(embed(part["answer"].tolist()), dtype=np.float64)
-                out = part.drop(columns=["question", "answer"])
-                yield out.assign(embedding=list(np.concatenate([q, a], axis=1)))
-
-    return texts.mapInPandas(run, schema)
+        for questions, answers in batches:
+            vectors = []
+            for start in range(0, len(questions), batch_rows):
+                part = slice(start, start + batch_rows)
+                q = np.asarray(embed(questions.iloc[part].tolist()), dtype=np.float64)
+                a = np.asarray(embed(answers.iloc[part].tolist()), dtype=np.float64)
+                vectors.extend(np.concatenate([q, a], axis=1))
+            yield pd.Series(vectors, dtype=object)
+
+    texts = qa_texts(rows, max_tokens)
+    # not to be run twice for one row
+    vector = run.asNondeterministic()(F.col("question"), F.col("answer"))
+    return texts.withColumn("embedding", vector).drop("question", "answer")
 
 
 def with_embeddings(

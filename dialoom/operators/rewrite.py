@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,22 +61,24 @@ def generate_text(
     output: str = "raw_output",
     batch_rows: int = 16,
 ) -> DataFrame:
-    """Run the model over the prompts in batches; one start per worker and partition.
-    Rows without a prompt pass through without output."""
-    schema = t.StructType(prompts.schema.fields + [t.StructField(output, t.StringType())])
+    """Run the model over the prompts in batches; it starts once per worker and task.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Only the prompts travel to Python.  Rows without a prompt get no output.
+    """
+
+    @F.pandas_udf(t.StringType())
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         generate = make_generator()
-        for batch in batches:
-            for start in range(0, len(batch), batch_rows):
-                part = batch.iloc[start : start + batch_rows]
-                asked = part[prompt].notna()
-                results = pd.Series([None] * len(part), index=part.index, dtype=object)
-                if asked.any():
-                    results[asked] = list(generate(part.loc[asked, prompt].tolist()))
-                yield part.assign(**{output: results})
-
-    return prompts.mapInPandas(run, schema)
+        for asked in batches:
+            answers = pd.Series([None] * len(asked), dtype=object)
+            wanted = np.flatnonzero(asked.notna())
+            for start in range(0, len(wanted), batch_rows):
+                rows = wanted[start : start + batch_rows]
+                answers.iloc[rows] = list(generate(asked.iloc[rows].tolist()))
+            yield answers
+
+    # not to be run twice for one row
+    return prompts.withColumn(output, run.asNondeterministic()(F.col(prompt)))
 
 
 def two_pass_generate(

@@ -12,7 +12,7 @@ from dialoom.config import CurateOptions
 from dialoom.functions import messages as M
 from dialoom.operators import bins as B
 from dialoom.operators.balance import balance_bins, curriculum_shuffle
-from dialoom.operators.clean import cap_size, swap_phrases, with_nbytes
+from dialoom.operators.clean import size_and_cap, swap_phrases
 from dialoom.operators.documents import build_documents, upsert_documents
 from dialoom.operators.duplicates import near_duplicates
 from dialoom.operators.embed import embed_hashed, with_embeddings
@@ -86,12 +86,10 @@ def curate(
     records = drop_embedding_column(records)
     if options.rewrite.enabled and make_generator is not None:
         records = improve_system_prompts(records, make_generator, options.rewrite)
-    records = swap_phrases(records, options.swaps, options.seed)
+    records = swap_phrases(records, options.swaps, options.seed).drop("nbytes")
     if unmodified is not None:
         records = append_unmodified(records, unmodified)
-    total = stage_table(
-        cap_size(with_nbytes(records), options.preprocess.max_nbytes), "final"
-    )
+    total = stage_table(size_and_cap(records, options.preprocess.max_nbytes), "final")
     counts["final"] = total.count()
 
     if out.balance and nbins:
