@@ -80,8 +80,8 @@ def balance_bins(
     ``position`` in the balanced list, and the bin target.  Over-full bins give their
     excess, in seeded hash order, to larger bins in need; what nobody needs is left
     out.  The largest size is clamped into the last bin, or left out as an overflow bin
-    with ``include_max=False``.  Give ``conv_id`` and ``nbytes`` only, they are written
-    first; the wide columns come back with a join on ``conv_id``.
+    with ``include_max=False``.  Give ``conv_id`` and ``nbytes`` only: they are written
+    first, and so is the result.  The wide columns come back with a join on ``conv_id``.
     """
     df = stage_table(df, "sizes")
     limits = size_range(df)
@@ -149,7 +149,7 @@ def balance_bins(
             (F.col("fill_start") + F.col("number") - F.col("from_number")).alias("position"),
         )
     )
-    return own.unionByName(moved), target
+    return stage_table(own.unionByName(moved), "balanced"), target
 
 
 def curriculum_shuffle(balanced: DataFrame, target: int, seed: int = 0) -> DataFrame:

@@ -41,7 +41,7 @@ def upsert_documents(documents: DataFrame, path: str) -> int:
     """Append the documents that the Parquet table at ``path`` does not hold; returns
     how many there were.  A second run with the same input adds none."""
     spark = documents.sparkSession
-    spark.createDataFrame([], documents.schema).write.mode("append").parquet(path)
+    documents.where(F.lit(False)).write.mode("append").parquet(path)
     stored = spark.read.schema(documents.schema).parquet(path)
     before = stored.count()
     new_documents(documents, stored).write.mode("append").parquet(path)

@@ -150,7 +150,7 @@ def resume_processing(
     table's rows for the records of ``df``.  Safe to run again after a failure."""
     spark = df.sparkSession
     schema = df.schema
-    spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    df.where(F.lit(False)).write.mode("append").parquet(path)
     done = spark.read.schema(schema).parquet(path)
     improve_system_prompts(unprocessed(df, done), make_generator, options).select(
         *df.columns

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import glob
+import io
 import math
 import os
 
@@ -39,6 +41,11 @@ def as_rows(columns, rows):
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
     got = as_rows(df.columns, df.collect())
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        df.explain()
+    assert "CartesianProduct" not in plan.getvalue()
+    assert "BroadcastNestedLoopJoin" not in plan.getvalue()
     if name not in SQL:
         assert df.columns
         return
