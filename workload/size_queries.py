@@ -186,10 +186,10 @@ def histogram_filter(t):
 _SEEDED = f"md5('{W.SEED}:' || conv_id)"
 
 
-def sql_balance(n: int, include_max: bool) -> str:
+def sql_balance(n: int, include_max: bool, sizes: str = SIZES) -> str:
     """A recursive walk over the bins, from small to large sizes."""
     clamp = f"least({sql_bin(str(n))}, {n} - 1)" if include_max else sql_bin(str(n))
-    return f"""{SIZES},
+    return f"""{sizes},
 tgt AS (SELECT CAST(ceil(total / {n}) AS BIGINT) AS t FROM lim),
 binned AS (SELECT conv_id, nbytes, bin FROM (
   SELECT conv_id, nbytes, {clamp} AS bin FROM recs, lim) WHERE bin < {n}),
@@ -208,13 +208,13 @@ places AS (
     coalesce(sum(kept + taken) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
       AS start
   FROM walk WHERE bin >= 0),
-numbered AS (
+placed_recs AS (
   SELECT b.*, row_number() OVER (PARTITION BY b.bin ORDER BY
       CASE WHEN c.cnt > t THEN 0 ELSE b.nbytes END, {_SEEDED}, b.conv_id) AS rank
   FROM binned b JOIN counts c USING (bin), tgt),
 excess AS (
   SELECT n.*, row_number() OVER (ORDER BY n.bin, n.rank) AS number
-  FROM numbered n JOIN places p USING (bin) WHERE n.rank > p.kept),
+  FROM placed_recs n JOIN places p USING (bin) WHERE n.rank > p.kept),
 slots AS (
   SELECT bin AS target_bin, start + kept + i AS position,
          row_number() OVER (ORDER BY bin, i) AS number
@@ -222,7 +222,7 @@ slots AS (
 balanced AS (
   SELECT n.conv_id, n.nbytes, n.bin, n.bin AS target_bin,
          CAST(p.start + n.rank - 1 AS BIGINT) AS position
-  FROM numbered n JOIN places p USING (bin) WHERE n.rank <= p.kept
+  FROM placed_recs n JOIN places p USING (bin) WHERE n.rank <= p.kept
   UNION ALL
   SELECT conv_id, nbytes, bin, target_bin, CAST(position AS BIGINT)
   FROM excess JOIN slots USING (number)),
@@ -282,12 +282,17 @@ def sql_split(rows: str, stratum: str) -> str:
       THEN 'test' ELSE 'train' END AS split FROM {rows}"""
 
 
-_SEGMENTS = f"""{sql_balance(NBINS, True)}, segs AS (
-  SELECT conv_id, least(position // (n // {NBINS}), {NBINS} - 1) AS segment
+def sql_segments(n: int) -> str:
+    return f"""segs AS (
+  SELECT conv_id, least(position // (n // {n}), {n} - 1) AS segment
   FROM curriculum, (SELECT count(*) AS n FROM curriculum))"""
 
 
-@query("split_by_segment", f"WITH RECURSIVE {_SEGMENTS} {sql_split('segs', 'segment')}")
+@query(
+    "split_by_segment",
+    f"""WITH RECURSIVE {sql_balance(NBINS, True)}, {sql_segments(NBINS)}
+    {sql_split('segs', 'segment')}""",
+)
 def split_by_segment(t):
     return S.split_by_segment(_curriculum(t), NBINS, 0.2, W.SEED).select(
         "conv_id", "segment", "split"

@@ -160,13 +160,13 @@ def write_records(t):
     return _long(R.read_jsonl(t.spark, path, "*.json"))
 
 
-_LINE = """'[' || string_agg('{"from": ' || to_json(role)::VARCHAR || ', "value": '
+SQL_LINE = """'[' || string_agg('{"from": ' || to_json(role)::VARCHAR || ', "value": '
   || to_json(value)::VARCHAR || '}', ', ' ORDER BY pos) || ']'"""
 
 
 @query(
     "write_conversations_jsonl",
-    f"WITH {W.SQL_MSGS} SELECT {_LINE} AS line FROM msgs GROUP BY conv_id",
+    f"WITH {W.SQL_MSGS} SELECT {SQL_LINE} AS line FROM msgs GROUP BY conv_id",
 )
 def write_conversations(t):
     path = new_folder(t.spark, "jsonl")
