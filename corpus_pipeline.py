@@ -1,5 +1,68 @@
-"""The corpus pipeline (being filled)."""
-STAGES = []
+"""The corpus pipeline: five stages over ``documents``, each written and read again."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dialoom.llm.common import keep_rows
+from dialoom.llm.decontaminate import contaminated
+from dialoom.llm.exact_dedup import exact_groups
+from dialoom.llm.jaccard_join import jaccard_components
+from dialoom.llm.language_id import UNKNOWN, language_column, train_language_model
+from dialoom.llm.mixing import mix_documents
+from dialoom.session import stage_table
+
+#: A document is rejected if its best language is less likely than this.
+MIN_LANGUAGE_SCORE = 0.35
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known: their text has letters and a likely language."""
+    model = train_language_model(docs)
+    found = language_column(model, docs["text"], spark)
+    return docs.filter((found["lang"] != UNKNOWN) & (found["score"] >= MIN_LANGUAGE_SCORE))
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts: the longest original."""
+    lost = exact_groups(docs).filter(~F.col("kept")).select("doc_id")
+    return keep_rows(docs, lost, "doc_id", "left_anti")
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near duplicates: the smallest id."""
+    lost = jaccard_components(docs).filter(F.col("doc_id") != F.col("component_id"))
+    return keep_rows(docs, lost.select("doc_id"), "doc_id", "left_anti")
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    lost = contaminated(docs, benchmark).select("doc_id").distinct()
+    return keep_rows(docs, lost, "doc_id", "left_anti")
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: documents repeated by the rates of their sources."""
+    return mix_documents(docs)
+
+
+STAGES = [
+    ("language_id", language_stage),
+    ("exact_dedup", exact_stage),
+    ("jaccard_join", near_stage),
+    ("decontaminate", benchmark_stage),
+    ("mix_sources", mix_stage),
+]
+
+#: A trained classifier decides in the first stage, which SQL cannot express.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    return spark.range(0)
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in their order over the table ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    for name, stage in STAGES:
+        docs = stage_table(stage(spark, docs, sf_dir), name)
+    return docs

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm import chat_format, decontaminate, exact_dedup, mixing, pii
+from dialoom.llm import (
+    chat_format,
+    decontaminate,
+    exact_dedup,
+    html_text,
+    jaccard_join,
+    language_id,
+    mixing,
+    pii,
+    secrets,
+    substring_dedup,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -127,3 +138,96 @@ def op8_personal_data(spark, sf_dir):
         F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
         pii.span_text(F.concat("base", "added")).alias("spans"),
     )
+
+
+@_query("op1_language_id")
+def op1_language_id(spark, sf_dir):
+    return language_id.identify_languages(_table(spark, sf_dir, "documents"))
+
+
+@_query("op9_html_text")
+def op9_html_text(spark, sf_dir):
+    text = html_text.extract_main_text(_table(spark, sf_dir, "pages"))
+    return text.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@_query("op10_secrets")
+def op10_secrets(spark, sf_dir):
+    found = secrets.find_secrets(_table(spark, sf_dir, "documents"))
+
+    def count(number: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long")
+
+    counts = [count(number).alias(f"n_{kind}") for number, kind in enumerate(secrets.KINDS)]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secrets.base_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.all_text(F.col("base"), F.col("added")).alias("spans"),
+    )
+
+
+@_query(
+    "op2_jaccard_join",
+    r"""
+    WITH RECURSIVE w AS (
+      SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+      FROM documents),
+    s AS (
+      SELECT doc_id, unnest(CASE
+        WHEN len(words) = 0 THEN []
+        WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct([array_to_string(words[i : i + 3], ' ') FOR i IN range(1, len(words) - 2)])
+        END) AS sh
+      FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    sets AS (SELECT doc_id, list(sh ORDER BY sh) AS st FROM s GROUP BY doc_id),
+    reps AS (SELECT min(doc_id) AS rep, list(doc_id) AS members FROM sets GROUP BY st),
+    inter AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i
+      FROM (SELECT * FROM s WHERE doc_id IN (SELECT rep FROM reps)) a
+      JOIN (SELECT * FROM s WHERE doc_id IN (SELECT rep FROM reps)) b
+        ON a.sh = b.sh AND a.doc_id < b.doc_id
+      GROUP BY ALL),
+    half AS (
+      SELECT a, b FROM inter
+      JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+      WHERE 100 * i >= 85 * (na.n + nb.n - i)
+      UNION ALL SELECT rep, unnest(members) FROM reps),
+    link AS (SELECT a, b FROM half UNION SELECT b, a FROM half),
+    reach AS (
+      SELECT doc_id AS a, doc_id AS b FROM documents
+      UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+    SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.c AS component_id
+    FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+    JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = d.doc_id""",
+)
+def op2_jaccard_join(spark, sf_dir):
+    options = jaccard_join.JaccardOptions(shingle=4, percent=85)
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"), options=options)
+
+
+@_query(
+    "op4_substring_dedup",
+    r"""
+    WITH w AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    r AS (
+      SELECT doc_id, i, md5(array_to_string(words[i : i + 49], ' ')) AS h
+      FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w)),
+    f AS (SELECT h, min(doc_id) AS first FROM r GROUP BY h),
+    hit AS (SELECT doc_id, i FROM r JOIN f USING (h) WHERE doc_id > first),
+    gone AS (SELECT DISTINCT doc_id, i + k AS i FROM hit, (SELECT unnest(range(0, 50)) AS k)),
+    pos AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w),
+    kept AS (
+      SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+      FROM pos ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+           sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id)""",
+)
+def op4_substring_dedup(spark, sf_dir):
+    done = substring_dedup.repeated_spans(_table(spark, sf_dir, "documents"))
+    return done.drop("removed")
