@@ -30,6 +30,11 @@ class JaccardOptions:
     spare: int = 2
     band: float = 0.7
 
+    @property
+    def ratio(self) -> float:
+        """Smallest size of a band over the largest: linked sets are one band apart at most."""
+        return min(self.band, self.percent / 100)
+
 
 def shingle_sets(texts, options: JaccardOptions) -> Iterator[tuple[int, np.ndarray]]:
     """``(row, set)``: the sorted distinct shingle hashes of each text.  A text of fewer
@@ -67,14 +72,14 @@ def tiles_of(n: int, o: JaccardOptions) -> list[tuple[int, int]]:
     """
     low, tile = 1, 0
     while True:
-        high = max(low, math.ceil(low / o.band) - 1)
+        high = max(low, math.ceil(low / o.ratio) - 1)
         if n <= high:
             break
         low, tile = high + 1, tile + 1
     most = lambda top: (100 - o.percent) * 2 * top // (100 + o.percent)
     found = [(tile, most(high))]
     if 100 * n >= o.percent * (high + 1):
-        upper = max(high + 1, math.ceil((high + 1) / o.band) - 1)
+        upper = max(high + 1, math.ceil((high + 1) / o.ratio) - 1)
         found.append((tile + 1, most(upper)))
     return found
 

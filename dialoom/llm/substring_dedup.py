@@ -15,10 +15,10 @@ from dialoom.llm.common import narrow, words
 from dialoom.llm.wordhash import WordChunk, word_chunks
 from dialoom.session import stage_table
 
-_BUCKET_BYTES = 4 << 20  # text per bucket
-_ENTRIES_PER_BUCKET = 128  # held by a task before it sends a row to each bucket
+_BUCKET_BYTES = 8 << 20  # text per bucket
+_ENTRIES_PER_BUCKET = 256  # held by a task before it sends a row to each bucket
 _HOT = 256  # documents of one task with the same block, from which they are hits at once
-_ROWS = "bucket int, part bigint, docs binary, counts binary, values binary"
+_ROWS = "bucket int, part bigint, first bigint, width int, steps binary, values binary"
 _SECOND = 0x5D1F
 
 
@@ -47,8 +47,8 @@ def _starts(chunk: WordChunk, d: int, n: int) -> tuple[int, int]:
 
 
 class _Packer:
-    """Collects ``(bucket, document, value)`` and yields a row per bucket: the documents
-    once each with their number of values, and the values packed.
+    """Collects ``(bucket, document, value)`` and yields a row per bucket: the documents as
+    a first id and narrow steps, and the values packed.
 
     ``settle`` tells what the task knows already.  That goes to a part of its own, so the
     common part 0 of a bucket holds few rows of a value that very many documents share.
@@ -60,7 +60,7 @@ class _Packer:
     def add(self, doc: int, h: np.ndarray, values: np.ndarray) -> None:
         """``values`` is a two-dimensional array of bytes, one row per hash."""
         if len(h):
-            bucket = (h >> np.uint64(64 - self.bits)).astype(np.int32)
+            bucket = (h >> np.uint64(64 - self.bits)).astype(np.uint16)
             self.parts.append((np.full(len(h), doc, np.int64), bucket, values))
             self.held += len(h)
 
@@ -74,24 +74,41 @@ class _Packer:
         self.parts, self.held = [], 0
         sure, asked = self.settle(bucket, doc, values)
         rows = self._rows(bucket[asked], doc[asked], values[asked], 0)
-        rows += self._rows(bucket[sure], doc[sure], values[sure], int(doc[0]) | 1)
-        yield pd.DataFrame(rows, columns=["bucket", "part", "docs", "counts", "values"])
+        if sure.any():
+            rows += self._rows(bucket[sure], doc[sure], values[sure], int(doc[0]) | 1)
+        columns = ["bucket", "part", "first", "width", "steps", "values"]
+        yield pd.DataFrame(rows, columns=columns, dtype=object)
 
     @staticmethod
     def _rows(bucket: np.ndarray, doc: np.ndarray, values: np.ndarray, part: int) -> list:
-        order = np.lexsort((doc, bucket))
+        order = np.argsort(bucket, kind="stable")
         doc, bucket, values = doc[order], bucket[order], values[order]
-        if not len(doc):
-            return []
-        cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+        begin, size = _groups((bucket,))
+        steps = np.diff(doc, prepend=doc[:1])
         rows = []
-        for a, b in zip(cut, np.append(cut[1:], len(bucket)), strict=True):
-            ids, counts = np.unique(doc[a:b], return_counts=True)
-            packed = (ids.tobytes(), counts.astype(np.int32).tobytes(), values[a:b].tobytes())
-            rows.append((bucket[a], part, *packed))
+        for a, n in zip(begin, size, strict=True):
+            own = steps[a : a + n].copy()
+            own[0] = 0
+            most = np.abs(own).max()
+            width = 2 if most < 1 << 15 else 4 if most < 1 << 31 else 8
+            packed = own.astype(f"<i{width}").tobytes()
+            rows.append(
+                (int(bucket[a]), part, int(doc[a]), width, packed, values[a : a + n].tobytes())
+            )
         return rows
 
 
+def _unpack(rows: pd.DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    docs = np.concatenate(
+        [
+            first + np.cumsum(np.frombuffer(steps, f"<i{w}").astype(np.int64))
+            for first, w, steps in zip(rows["first"], rows["width"], rows["steps"], strict=True)
+        ]
+    )
+    values = np.frombuffer(b"".join(rows["values"]), np.uint8).reshape(-1, width)
+    return docs, values
+
+
 def _groups(keys: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Begins and sizes of the runs of equal keys in sorted arrays."""
     change = np.zeros(len(keys[0]), dtype=bool)
@@ -112,16 +129,17 @@ def _settle_blocks(bucket, doc, values):
     false hit changes nothing.  Only its first aligned and its last document are asked for,
     on behalf of the rest."""
     v = _block_values(values)
-    h, aligned = v >> 1, (v & 1).astype(bool)
-    order = np.lexsort((doc, ~aligned, h, bucket))
-    begin, size = _groups((bucket[order], h[order]))
-    hot = np.repeat(size >= _HOT, size)
-    sure, asked = np.zeros(len(v), bool), np.zeros(len(v), bool)
-    sure[order[hot]] = True
-    asked[order[~hot]] = True
-    many = size >= _HOT
-    asked[order[begin[many]]] = True
-    asked[order[begin[many] + size[many] - 1]] = True
+    key = bucket.astype(np.int64) << 23 | v >> 1
+    order = np.argsort(key, kind="stable")
+    begin, size = _groups((key[order],))
+    sure, asked = np.zeros(len(v), bool), np.ones(len(v), bool)
+    for a, n in zip(begin[size >= _HOT], size[size >= _HOT], strict=True):
+        at = order[a : a + n]
+        sure[at], asked[at] = True, False
+        aligned = at[(v[at] & 1) > 0]
+        if len(aligned):
+            asked[aligned[doc[aligned].argmin()]] = True
+        asked[at[doc[at].argmax()]] = True
     return sure, asked
 
 
@@ -143,17 +161,6 @@ def _settle_windows(bucket, doc, values):
     return sure, ~sure
 
 
-def _unpack(rows: pd.DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    docs = np.concatenate(
-        [
-            np.repeat(np.frombuffer(d, np.int64), np.frombuffer(c, np.int32))
-            for d, c in zip(rows["docs"], rows["counts"], strict=True)
-        ]
-    )
-    values = np.frombuffer(b"".join(rows["values"]), np.uint8).reshape(-1, width)
-    return docs, values
-
-
 def _probes(o: RepeatOptions, bits: int):
     """Every rolling block of every document with a window, and whether it is aligned in
     its document: the aligned ones are the index, the rolling ones the probes."""
@@ -185,25 +192,22 @@ def _anchor_hits(rows: pd.DataFrame) -> pd.DataFrame:
     the documents from the first of those on."""
     doc, raw = _unpack(rows, 3)
     v = _block_values(raw)
-    h, aligned = v >> 1, (v & 1).astype(bool)
-    order = np.lexsort((doc, h))
-    h, doc, aligned = h[order], doc[order], aligned[order]
+    order = np.argsort(v >> 1, kind="stable")
+    h, doc, aligned = (v >> 1)[order], doc[order], (v & 1)[order] > 0
     begin, size = _groups((h,))
-    most = np.iinfo(np.int64).max
-    first = np.minimum.reduceat(np.where(aligned, doc, most), begin)
-    last = doc[begin + size - 1]
+    first = np.minimum.reduceat(np.where(aligned, doc, np.iinfo(np.int64).max), begin)
     group_first = np.repeat(first, size)
-    hit = (np.repeat(last, size) > group_first) & (doc >= group_first)
+    hit = (np.repeat(np.maximum.reduceat(doc, begin), size) > group_first) & (doc >= group_first)
     hit |= bool(rows["part"].iat[0])
-    hit[1:] &= (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     doc, h = doc[hit], h[hit]
-    order = np.argsort(doc, kind="stable")
-    ids, at = np.unique(doc[order], return_index=True)
-    parts = np.split(h[order].astype(np.int32), at[1:]) if len(ids) else []
-    bucket = int(rows["bucket"].iat[0])
-    return pd.DataFrame(
-        {"doc_id": ids, "bucket": np.full(len(ids), bucket, np.int32), "blocks": [p.tolist() for p in parts]}
-    )
+    order = np.lexsort((h, doc))
+    doc, h = doc[order], h[order]
+    begin, _ = _groups((doc, h))
+    doc, h = doc[begin], h[begin]
+    ids, at = np.unique(doc, return_index=True)
+    parts = np.split(h.astype(np.int32), at[1:]) if len(ids) else []
+    blocks = pd.Series([p.tolist() for p in parts], dtype=object)
+    return pd.DataFrame({"doc_id": ids, "bucket": rows["bucket"].iat[0], "blocks": blocks})
 
 
 def _candidate_starts(chunk: WordChunk, d: int, runs: np.ndarray, hits: np.ndarray, o, bits: int):
@@ -257,7 +261,8 @@ def _repeated_windows(rows: pd.DataFrame) -> pd.DataFrame:
     order = np.argsort(doc, kind="stable")
     ids, at = np.unique(doc[order], return_index=True)
     parts = np.split(h[order], at[1:]) if len(ids) else []
-    return pd.DataFrame({"doc_id": ids, "windows": [p.tobytes() for p in parts]})
+    windows = pd.Series([p.tobytes() for p in parts], dtype=object)
+    return pd.DataFrame({"doc_id": ids, "windows": windows})
 
 
 def _removals(o: RepeatOptions):
@@ -298,9 +303,8 @@ def _removals(o: RepeatOptions):
                             spans,
                         )
                     )
-            yield pd.DataFrame(
-                rows, columns=["r_id", "r_sha", "n_removed", "kept_sha256", "removed"]
-            )
+            columns = ["r_id", "r_sha", "n_removed", "kept_sha256", "removed"]
+            yield pd.DataFrame(rows, columns=columns, dtype=object)
 
     return run
 
