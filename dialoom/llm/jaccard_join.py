@@ -109,28 +109,35 @@ def signature_keys(s: np.ndarray, o: JaccardOptions) -> np.ndarray:
     return np.concatenate(keys)
 
 
-def _bitmap(s: np.ndarray, bits: int) -> np.ndarray:
-    """Hashed bitmap of a set, packed into 64-bit words."""
-    flags = np.zeros(bits, dtype=np.uint8)
-    flags[(s & np.uint64(bits - 1)).astype(np.int64)] = 1
-    return np.packbits(flags).view(np.uint64)
+def bitmap(s: np.ndarray, bits: int | None = None) -> np.ndarray:
+    """Hashed bitmap of a set, as 64-bit words; about a bit per element if not told else."""
+    if bits is None:
+        bits = 64 << max(0, math.ceil(math.log2(max(1, len(s)) / 64)))
+    flags = np.zeros(bits, dtype=bool)
+    flags[(s & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(flags, bitorder="little").view(np.uint64)
 
 
-def links(a: np.ndarray, b: np.ndarray, percent: int, bits: int | None = None) -> bool:
-    """Exact test of two sorted sets.  Each bit set in one bitmap only stands for an
-    element that the other set lacks, which bounds the intersection from above."""
-    if not len(a) or not len(b):
-        return False
-    total = len(a) + len(b)
-    need = -(-percent * total // (100 + percent))
-    if min(len(a), len(b)) < need:
-        return False
-    if bits is None:
-        bits = 64 << max(0, math.ceil(math.log2(2 * max(len(a), len(b)) / 64)))
-    x, y = _bitmap(a, bits), _bitmap(b, bits)
-    only_a = int(np.bitwise_count(x & ~y).sum())
-    only_b = int(np.bitwise_count(y & ~x).sum())
-    if min(len(a) - only_a, len(b) - only_b) < need:
+def _folded(b: np.ndarray, words: int) -> np.ndarray:
+    return np.bitwise_or.reduce(b.reshape(-1, words), axis=0)
+
+
+def may_link(n: int, x: np.ndarray, m: int, y: np.ndarray, percent: int) -> bool:
+    """Bound from two bitmaps.  A bit set in one only stands for an element at least that
+    the other set lacks, which bounds the intersection from above.  The wider bitmap is
+    folded to the width of the other."""
+    need = -(-percent * (n + m) // (100 + percent))
+    words = min(len(x), len(y))
+    x, y = _folded(x, words), _folded(y, words)
+    only_x = int(np.bitwise_count(x & ~y).sum())
+    only_y = int(np.bitwise_count(y & ~x).sum())
+    return min(n - only_x, m - only_y) >= need
+
+
+def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Exact test of two sorted sets."""
+    need = -(-percent * (len(a) + len(b)) // (100 + percent))
+    if not len(a) or not len(b) or min(len(a), len(b)) < need:
         return False
     return len(np.intersect1d(a, b, assume_unique=True)) >= need
 
@@ -140,10 +147,13 @@ def _identities(o: JaccardOptions):
         for batch in batches:
             n = np.zeros(len(batch), np.int64)
             one, two = n.copy(), n.copy()
+            bits = np.empty(len(batch), dtype=object)
             for row, s in shingle_sets(batch["text"], o):
-                n[row] = len(s)
+                n[row], bits[row] = len(s), bitmap(s).tobytes()
                 one[row], two[row] = set_identity(s)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n": n, "set_id": one, "check": two})
+            yield pd.DataFrame(
+                {"doc_id": batch["doc_id"], "n": n, "set_id": one, "check": two, "bits": bits}
+            )
 
     return run
 
@@ -239,12 +249,40 @@ def _compare(o: JaccardOptions):
     return run
 
 
+def _within_bound(percent: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = [
+                may_link(
+                    r.n, np.frombuffer(r.bits, np.uint64), r.hub_n, np.frombuffer(r.hub_bits, np.uint64), percent
+                )
+                for r in batch.itertuples(index=False)
+            ]
+            yield batch.loc[np.array(keep, dtype=bool), ["set_id", "hub"]]
+
+    return run
+
+
+def _bounded(pairs: DataFrame, classes: DataFrame, o: JaccardOptions) -> DataFrame:
+    """The pairs ``(set_id, hub)`` whose bitmaps allow a link: an eighth of a byte per
+    element moves, and no set yet."""
+    own = classes.select("set_id", "n", "bits")
+    hubs = classes.select(F.col("set_id").alias("hub"), F.col("n").alias("hub_n"), F.col("bits").alias("hub_bits"))
+    sized = pairs.join(own, "set_id").join(hubs, "hub")
+    smaller, larger = F.least("n", "hub_n"), F.greatest("n", "hub_n")
+    near = sized.filter(smaller * 100 >= larger * o.percent)
+    return stage_table(
+        near.mapInPandas(_within_bound(o.percent), "set_id bigint, hub bigint"), "bounded"
+    )
+
+
 def _verify(pairs: DataFrame, classes: DataFrame, rows: DataFrame, o: JaccardOptions) -> DataFrame:
     """Links ``(u, v)`` among the pairs ``(set_id, hub)``.
 
-    A text is read once and its set sent to each of its hubs.  A hub with many members is
+    Pairs that the bitmaps rule out go first.  Of the rest a text is read once and its set sent to each of its hubs.  A hub with many members is
     cut by salts, and its own set goes to each of them.
     """
+    pairs = _bounded(pairs, classes, o)
     sizes = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("n"))
     salted = sizes.select("hub", (F.floor(F.col("n") / _MEMBERS_PER_TASK) + 1).alias("salts"))
     members = pairs.join(salted, "hub").select(
@@ -280,8 +318,8 @@ def jaccard_components(
     * Equal sets are one vertex.  A tile is a band of set sizes; in it the signature of a
       set is cut into segments so that linked sets share one (``signature_keys``).
     * The sets that share a key are a star around its smallest.  The pairs of all stars are
-      made distinct, then tested: bit counts bound the intersection, what passes is
-      intersected exactly.
+      made distinct; bit counts bound the intersection from above, and the sets of what
+      passes are intersected exactly.
     * A key whose sets are not all in one component is looked at again: its sets of
       different components are compared, but for pairs tested before.  So every pair that
       shares a key is tested or already connected, and no link is lost.
@@ -295,18 +333,20 @@ def jaccard_components(
     rows = narrow(docs, doc_id=id_col, text=text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
     sets = stage_table(
-        rows.mapInPandas(_identities(o), f"doc_id {kind}, n bigint, set_id bigint, check bigint"),
+        rows.mapInPandas(_identities(o), f"doc_id {kind}, n bigint, set_id bigint, check bigint, bits binary"),
         "sets",
     )
     usable = sets.filter(F.col("n") > 0).filter(F.col("doc_id").isNotNull())
     grouped = usable.groupBy("set_id").agg(
         F.min("doc_id").alias("first_id"),
         (F.min("check") == F.max("check")).alias("one_set"),
+        F.first("n").alias("n"),
+        F.first("bits").alias("bits"),
     )
     same = F.when(F.col("one_set"), F.col("first_id")).otherwise(
         F.raise_error(F.lit("two sets with one identity")).cast(kind)
     )
-    classes = stage_table(grouped.select("set_id", same.alias("first_id")), "classes")
+    classes = stage_table(grouped.select("set_id", same.alias("first_id"), "n", "bits"), "classes")
     signed = rows.filter(F.col("doc_id").isNotNull()).mapInPandas(
         _signatures(o), "root bigint, part bigint, set_id bigint"
     )
@@ -355,7 +395,7 @@ def jaccard_components(
     )
     names = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_set = stage_table(named.join(names, "component").select("set_id", "component_id"), "names")
-    joined = sets.join(by_set, "set_id", "left")
+    joined = sets.drop("bits").join(by_set, "set_id", "left")
     linked = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id"))
     return joined.select(
         "doc_id",

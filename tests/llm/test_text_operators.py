@@ -170,8 +170,10 @@ def test_linked_sets_share_a_key_and_bounds_hold():
             a, b = np.unique(base), np.unique(other)
             both = len(np.intersect1d(a, b))
             linked = len(b) > 0 and 100 * both >= percent * (len(a) + len(b) - both)
-            for bits in (None, 64, 128):
-                assert jaccard_join.links(a, b, percent, bits) == linked
+            assert jaccard_join.links(a, b, percent) == linked
+            for bits in (None, 64, 1024):
+                x, y = jaccard_join.bitmap(a, bits), jaccard_join.bitmap(b)
+                assert not linked or jaccard_join.may_link(len(a), x, len(b), y, percent)
             if linked:
                 keys = set(jaccard_join.signature_keys(a, o).tolist())
                 assert keys & set(jaccard_join.signature_keys(b, o).tolist())
