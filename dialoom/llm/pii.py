@@ -55,6 +55,7 @@ def _valid(kind: str, value: Column) -> Column:
 
 
 _CONTEXT_TAIL = 200
+_CONTEXT_WORDS = 3
 _FLAGS = 1 << 17  # size of the table of context flags: the bound of what is shipped
 # a word that holds a digit or an @: what could be an identifier of an unseen form
 _MENTION = r"(?<!\S)[\S&&[^0-9@]]*+[0-9@]\S*+"
@@ -68,9 +69,12 @@ def _plain(text: Column) -> Column:
 
 
 def _context(before: Column) -> Column:
-    """The two words before a span, or null."""
+    """The words before a span, or null if there are too few."""
     last = _plain(F.substring(before, -_CONTEXT_TAIL, _CONTEXT_TAIL))
-    return F.when(F.size(last) >= 2, F.array_join(F.slice(last, -2, 2), " "))
+    return F.when(
+        F.size(last) >= _CONTEXT_WORDS,
+        F.array_join(F.slice(last, -_CONTEXT_WORDS, _CONTEXT_WORDS), " "),
+    )
 
 
 def _located(text: Column, pattern: str, needs: str | None = None) -> Column:
@@ -137,23 +141,21 @@ def _all_kinds(make) -> Column:
 def _context_totals(texts: DataFrame, contexts: DataFrame) -> DataFrame:
     """How often each of ``contexts`` occurs in all texts, whatever follows it.
 
-    A table of flags of fixed size tells the pairs of words that cannot be one of them, so
-    the shuffle sees few of the pairs.
+    A table of flags of fixed size tells the runs of words that cannot be one of them, so
+    the shuffle sees few of the others.
     """
     key = F.xxhash64("context")
     table = bytearray(_FLAGS)
     for row in contexts.select(F.pmod(key, F.lit(_FLAGS)).cast("int").alias("at")).distinct().toLocalIterator():
         table[row["at"]] = 1
     flags = F.lit(table)
-    tokens = texts.select(_plain(F.col("text")).alias("words")).filter(F.size("words") >= 2)
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.size("words") - 1),
-        lambda i: F.concat(
-            F.element_at("words", i), F.lit(" "), F.element_at("words", i + 1)
-        ),
+    tokens = texts.select(_plain(F.col("text")).alias("words")).filter(F.size("words") >= _CONTEXT_WORDS)
+    runs = F.transform(
+        F.sequence(F.lit(1), F.size("words") - (_CONTEXT_WORDS - 1)),
+        lambda i: F.array_join(F.slice("words", i, _CONTEXT_WORDS), " "),
     )
     flagged = F.filter(
-        pairs,
+        runs,
         lambda p: F.substring(flags, F.pmod(F.xxhash64(p), F.lit(_FLAGS)).cast("int") + 1, F.lit(1))
         == F.lit(bytearray(b"\x01")),
     )
@@ -161,7 +163,6 @@ def _context_totals(texts: DataFrame, contexts: DataFrame) -> DataFrame:
         tokens.select(F.explode(flagged).alias("context"))
         .groupBy("context")
         .agg(F.count(F.lit(1)).alias("n_all"))
-        .join(contexts, "context", "left_semi")
     )
 
 
@@ -177,7 +178,7 @@ def find_personal_data(
 
     ``base`` has the matches of the stated patterns.  ``added`` is found from contexts:
 
-    * the two words before a base match are a pattern; the pattern is kept if it stands
+    * the three words before a base match are a pattern; the pattern is kept if it stands
       before ``min_support`` different base values of a kind;
     * patterns and values form a graph.  In each round the confidence of a pattern is the
       mean confidence of what follows it in the whole corpus, with 0 for ordinary words;
