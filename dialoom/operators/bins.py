@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,10 +14,6 @@ from dialoom.operators.scores import two_stage_filter
 from dialoom.session import stage_table
 
 
-# one size row becomes one row per candidate, so larger histograms are spread out
-_SIZES_PER_TASK = 4096
-
-
 @dataclass(frozen=True)
 class Binning:
     """``nbins`` equal bins from ``low`` to ``high``; the largest size has a bin of its
@@ -73,35 +72,60 @@ def size_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("nbytes").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def _square_sum(counts: np.ndarray) -> int:
+    """Sum of squares in whole numbers of any size."""
+    high, low = counts >> 20, counts & ((1 << 20) - 1)
+    parts = [int((x * y).sum()) for x, y in ((high, high), (high, low), (low, low))]
+    return (parts[0] << 40) + (parts[1] << 21) + parts[2]
+
+
+def _judge(sizes: np.ndarray, cumulative: np.ndarray, low: int, high: int):
+    """Judges candidates on the cumulative histogram: the count of a bin is a difference of
+    two of its entries."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = int(cumulative[-1])
+        for batch in batches:
+            rows = []
+            for n in batch["nbins"]:
+                n = int(n)
+                if high == low:
+                    counts = np.array([total])
+                else:
+                    # the first size of bin b is the least x with (x - low) * n >= b * width
+                    firsts = low + -(-np.arange(n + 1, dtype=np.int64) * (high - low) // n)
+                    at = np.append(np.searchsorted(sizes, firsts), len(sizes))
+                    counts = np.diff(cumulative[at])
+                filled = int((counts > 0).sum())
+                squares = _square_sum(counts)
+                # exact until the division, so near ties do not depend on an order
+                variance = (squares * (n + 1) - total * total) / ((n + 1) * (n + 1))
+                average = total / filled
+                score = max(average / n, float(low)) / variance**0.5 if variance > 1e-9 else None
+                rows.append((n, average, max(variance, 0.0) ** 0.5, score, n > average))
+            columns = ["nbins", "average", "deviation", "score", "stop"]
+            yield pd.DataFrame(rows, columns=columns)
+
+    return run
+
+
 def bin_candidates(
     sizes: DataFrame, low: int, high: int, first: int, last: int
 ) -> DataFrame:
-    """Judge the bin numbers ``first`` … ``last`` on the size histogram.
+    """Judge the bin numbers ``first`` … ``last`` on the size histogram ``(nbytes, cnt)``.
 
     ``score`` is the smallest allowed count over the deviation of the counts, lower is
-    better; ``stop`` is set once there are more bins than records per bin.
+    better; ``stop`` is set once there are more bins than records per bin.  The histogram
+    has one row per possible size, which the size cap bounds, and travels with the tasks;
+    the candidates are spread over them and nothing is shuffled.
     """
-    n = F.col("nbins")
-    spread = sizes.select(
-        "nbytes", "cnt", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("nbins")
-    )
-    bin_ = n if high == low else bin_number(F.col("nbytes"), n, low, high)
-    filled = spread.groupBy("nbins", bin_.alias("bin")).agg(F.sum("cnt").alias("c"))
-    judged = filled.groupBy("nbins").agg(
-        F.sum("c").cast("double").alias("total"),
-        F.count(F.lit(1)).alias("filled"),
-        F.sum(F.col("c").cast("double") * F.col("c")).alias("squares"),
-    )
-    slots = n + 1
-    average = F.col("total") / F.col("filled")
-    variance = F.col("squares") / slots - (F.col("total") / slots) * (F.col("total") / slots)
-    least = F.greatest(average / n, F.lit(float(low)))
-    return judged.select(
-        F.col("nbins").cast("bigint").alias("nbins"),
-        average.alias("average"),
-        F.sqrt(F.greatest(variance, F.lit(0.0))).alias("deviation"),
-        F.when(variance > 1e-9, least / F.sqrt(F.greatest(variance, F.lit(1e-300)))).alias("score"),
-        (n > average).alias("stop"),
+    rows = sizes.orderBy("nbytes").toPandas()
+    counts = rows["cnt"].to_numpy(np.int64)
+    cumulative = np.concatenate(([0], np.cumsum(counts)))
+    judge = _judge(rows["nbytes"].to_numpy(np.int64), cumulative, low, high)
+    candidates = sizes.sparkSession.range(first, last + 1).withColumnRenamed("id", "nbins")
+    return candidates.mapInPandas(
+        judge, "nbins bigint, average double, deviation double, score double, stop boolean"
     )
 
 
@@ -112,32 +136,31 @@ def optimal_bins(df: DataFrame, force: int | None = None, chunk: int = 256) -> B
     are taken chunk by chunk until the stop rule fires, and each chunk comes back as
     one row.  None for no records.
     """
+    if force is not None:
+        limits = size_range(df)
+        return Binning(force, limits[0], limits[1]) if limits else None
     sizes = stage_table(size_counts(df), "sizes")
-    if sizes.count() > _SIZES_PER_TASK:
-        sizes = sizes.repartition(df.sparkSession.sparkContext.defaultParallelism)
     limits = sizes.agg(F.min("nbytes").alias("low"), F.max("nbytes").alias("high")).first()
     if limits.low is None:
         return None
     low, high = limits.low, limits.high
-    if force is not None:
-        return Binning(force, low, high)
     best: tuple[float, int] | None = None
     first = 2
     while first <= high:
         last = min(first + chunk - 1, high)
         judged = bin_candidates(sizes, low, high, first, last)
-        until = Window.orderBy("nbins").rowsBetween(Window.unboundedPreceding, -1)
-        # the chunk is small: one row per candidate
-        reached = judged.withColumn(
-            "after_stop", F.coalesce(F.max("stop").over(until), F.lit(False))
-        ).where(~F.col("after_stop"))
-        row = reached.agg(
-            F.min(F.when(F.col("score").isNotNull(), F.struct("score", "nbins"))).alias("best"),
-            F.max("stop").alias("stop"),
+        until = F.min(F.when(F.col("stop"), F.col("nbins")))
+        row = judged.agg(
+            until.alias("stop"),
+            # the least score up to each candidate that may be the stop
+            F.sort_array(
+                F.collect_list(F.when(F.col("score").isNotNull(), F.struct("score", "nbins")))
+            ).alias("scores"),
         ).first()
-        if row.best is not None and (best is None or row.best.score < best[0]):
-            best = (row.best.score, row.best.nbins)
-        if row.stop:
+        reached = [s for s in row.scores if row.stop is None or s.nbins <= row.stop]
+        if reached and (best is None or reached[0].score < best[0]):
+            best = (reached[0].score, reached[0].nbins)
+        if row.stop is not None:
             break
         first, chunk = last + 1, min(chunk * 2, 4096)
     return Binning(1, low, high, single=True) if best is None else Binning(best[1], low, high)

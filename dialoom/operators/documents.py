@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dialoom.functions import documents as D
@@ -33,16 +33,32 @@ def build_documents(df: DataFrame) -> DataFrame:
 
 
 def new_documents(documents: DataFrame, stored: DataFrame) -> DataFrame:
-    """Documents whose id is not stored, each id once."""
-    return documents.join(stored.select("id"), "id", "left_anti").dropDuplicates(["id"])
+    """Documents whose id is not stored, each id once: the one of the smallest ``conv_id``.
+
+    Ids decide; the documents follow in one join on the id and its holder.
+    """
+    chosen = (
+        documents.select("id", "conv_id")
+        .groupBy("id")
+        .agg(F.min("conv_id").alias("conv_id"))
+        .join(stored.select("id"), "id", "left_anti")
+    )
+    return documents.join(chosen, ["id", "conv_id"], "left_semi").dropDuplicates(
+        ["id", "conv_id"]
+    )
 
 
 def upsert_documents(documents: DataFrame, path: str) -> int:
     """Append the documents that the Parquet table at ``path`` does not hold; returns
-    how many there were.  A second run with the same input adds none."""
+    how many there were.  A second run with the same input adds none.
+
+    The rows are counted while they are written: neither table is read for it.
+    """
     spark = documents.sparkSession
     documents.where(F.lit(False)).write.mode("append").parquet(path)
     stored = spark.read.schema(documents.schema).parquet(path)
-    before = stored.count()
-    new_documents(documents, stored).write.mode("append").parquet(path)
-    return spark.read.schema(documents.schema).parquet(path).count() - before
+    added = Observation()
+    new_documents(documents, stored).observe(added, F.count(F.lit(1)).alias("n")).write.mode(
+        "append"
+    ).parquet(path)
+    return added.get["n"]

@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
@@ -59,8 +61,14 @@ def hashed_bag(text: Column, dimensions: int) -> Column:
     return let(bucket, counts)
 
 
-def embed_hashed(df: DataFrame, dimensions: int = 64, max_tokens: int = 8192) -> DataFrame:
-    """Add ``embedding``: hashed question half, then hashed answer half."""
+def embed_hashed(
+    df: DataFrame, dimensions: int = 64, max_tokens: int | None = None
+) -> DataFrame:
+    """Add ``embedding``: hashed question half, then hashed answer half.
+
+    Whole texts count: there is no context window.  ``max_tokens`` is for comparisons with
+    a model that has one.
+    """
     half = dimensions // 2
     texts = qa_texts(df, max_tokens)
     return texts.withColumn(
@@ -117,20 +125,18 @@ def with_embeddings(
 def mean_pool(tokens: DataFrame, by: str = "conv_id") -> DataFrame:
     """Masked mean of token vectors: ``(by, pos, vector, mask)`` → ``(by, pooled)``.
 
-    The sums combine on the map side, so a long text is no hot key; a text whose mask
-    is empty gets zeros.
+    One weighted vector aggregate, combined on the map side, so a long text is no hot key
+    and no row per vector entry is made; a text whose mask is empty gets zeros.
     """
-    parts = tokens.select(
-        by, F.col("mask").cast("double").alias("mask"), F.posexplode("vector").alias("dim", "x")
-    )
-    sums = parts.groupBy(by, "dim").agg(
-        F.sum(F.col("x").cast("double") * F.col("mask")).alias("s"),
-        F.sum("mask").alias("m"),
+    weight = F.col("mask").cast("double")
+    vector = array_to_vector(V.as_double(F.col("vector")))
+    zeros = F.transform(F.first("vector"), lambda _: F.lit(0.0))
+    kept = tokens.where(weight > 0)
+    pooled = kept.groupBy(by).agg(
+        vector_to_array(Summarizer.mean(vector, weight)).alias("_pooled")
     )
-    value = F.col("s") / F.greatest(F.col("m"), F.lit(1e-9))
-    # one group holds one row per dimension
-    return (
-        sums.groupBy(by)
-        .agg(F.array_sort(F.collect_list(F.struct("dim", value.alias("v")))).alias("p"))
-        .select(by, F.transform("p", lambda e: e["v"]).alias("pooled"))
+    every = tokens.groupBy(by).agg(zeros.alias("_zeros"))
+    same = every[by].eqNullSafe(pooled[by])
+    return every.join(pooled, same, "left").select(
+        every[by], F.coalesce("_pooled", "_zeros").alias("pooled")
     )

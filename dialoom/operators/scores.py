@@ -112,7 +112,7 @@ def with_score(
 def select_top(scored: DataFrame, quota: DataFrame) -> DataFrame:
     """Keep, in each bin, the ``keep`` rows with the highest ``score``, ties by id.
 
-    NaN ranks first, then +inf.  ``quota`` is a written table ``(bin, cnt, keep)``; a
+    NaN ranks first, then +inf; rows without a score come last.  ``quota`` is a written table ``(bin, cnt, keep)``; a
     null ``keep`` keeps the whole bin.  Only bin, score and id are sorted.  The last row
     inside the quota gives one limit per bin, and the full rows are compared with it
     where they are: they are not shuffled.
@@ -131,7 +131,7 @@ def select_top(scored: DataFrame, quota: DataFrame) -> DataFrame:
         scored.join(limited.select("bin"), "bin", "left_semi").select(
             "bin", "score", "conv_id"
         ),
-        ["bin", F.desc("score"), "conv_id"],
+        ["bin", F.col("score").isNull(), F.desc("score"), "conv_id"],
     )
     limits = stage_table(
         ranked.join(last_rows, ["bin", "rank"]).select(
@@ -140,8 +140,14 @@ def select_top(scored: DataFrame, quota: DataFrame) -> DataFrame:
         "limits",
     )
     rules = quota.select("bin", "keep").join(limits, "bin", "left")
-    inside = (F.col("score") > F.col("_score")) | (
-        (F.col("score") == F.col("_score")) & (F.col("conv_id") <= F.col("_last"))
+    unscored = F.col("_score").isNull()
+    before_last = F.col("conv_id") <= F.col("_last")
+    inside = F.col("_last").isNotNull() & F.when(
+        F.col("score").isNull(), unscored & before_last
+    ).otherwise(
+        unscored
+        | (F.col("score") > F.col("_score"))
+        | ((F.col("score") == F.col("_score")) & before_last)
     )
     return (
         scored.join(rules, "bin")
@@ -183,26 +189,32 @@ def two_stage_filter(
     second stage sees unit vectors.  An unknown filter name keeps everything.
     """
     quotas = stage_table(keep_counts(df, ratios, first, second), "quotas")
-    original = df
-    columns = df.columns
+    if first not in SCORES and second not in SCORES:
+        return df.join(quotas.select("bin"), "bin", "left_semi").select(*df.columns)
+    # bin, id and vector decide; each score is computed once, and the full rows follow in
+    # one join on the ids that are left
+    whole = df.select("bin", "conv_id", "embedding")
+    left = whole
     if first in SCORES:
-        df = select_top(
-            with_score(df, first, seed), quotas.select("bin", "cnt", F.col("keep1").alias("keep"))
+        scored = stage_table(with_score(left, first, seed), "first-scores")
+        left = select_top(
+            scored, quotas.select("bin", "cnt", F.col("keep1").alias("keep"))
         ).drop("score")
     if second in SCORES:
-        rows = df
+        rows = left
         if first == "cosine" and second != "cosine":
-            rows = df.withColumn("_raw", F.col("embedding")).withColumn(
-                "embedding", V.l2_normalize(F.col("embedding"))
-            )
-        scored = with_score(rows, second, seed + 1, population=original)
-        if "_raw" in rows.columns:
-            scored = scored.withColumn("embedding", F.col("_raw")).drop("_raw")
-        df = select_top(
+            rows = left.withColumn("embedding", V.l2_normalize(F.col("embedding")))
+        scored = stage_table(
+            with_score(rows, second, seed + 1, population=whole).select("bin", "conv_id", "score"),
+            "second-scores",
+        )
+        left = select_top(
             scored,
             quotas.select("bin", F.col("keep1").alias("cnt"), F.col("keep2").alias("keep")),
-        ).drop("score")
-    return df.select(*columns)
+        )
+    return df.join(stage_table(left.select("conv_id"), "survivors"), "conv_id", "left_semi").select(
+        *df.columns
+    )
 
 
 def select_top_ratio(df: DataFrame, ratio: float) -> DataFrame:

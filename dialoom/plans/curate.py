@@ -49,16 +49,14 @@ def curate(
     """
     options = options or CurateOptions()
     f, out = options.filtering, options.output
+    if options.rewrite.enabled and make_generator is None:
+        raise ValueError("rewriting is on, but there is no generator")
     counts = {"input": df.count()}
     records = stage_table(preprocess(df, options.preprocess), "preprocessed")
     counts["preprocessed"] = records.count()
 
     if f.dedup or f.thin or options.store_path:
-        embed = embed or (
-            lambda rows: embed_hashed(
-                rows, options.embedding_dimensions, options.max_embedding_tokens
-            )
-        )
+        embed = embed or (lambda rows: embed_hashed(rows, options.embedding_dimensions))
         records = stage_table(with_embeddings(records, embed), "embedded")
         if options.store_path:
             counts["stored"] = upsert_documents(build_documents(records), options.store_path)
@@ -84,7 +82,7 @@ def curate(
             options.seed,
         ).drop("bin")
     records = drop_embedding_column(records)
-    if options.rewrite.enabled and make_generator is not None:
+    if options.rewrite.enabled:
         records = improve_system_prompts(records, make_generator, options.rewrite)
     records = swap_phrases(records, options.swaps, options.seed).drop("nbytes")
     if unmodified is not None:

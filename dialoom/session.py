@@ -8,7 +8,6 @@ size of a written table, so small ones are broadcast by its own threshold.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir``, or what the context
-    was given.  A temporary folder is made only in local mode."""
+    was given.  Only in local mode, where one machine holds all, a folder in the session's
+    warehouse is the fallback."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
@@ -26,8 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
-    return context.getCheckpointDir().rstrip("/")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staged"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -42,3 +41,29 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``new_folder`` named."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Stages:
+    """Tables staged during a run; all but those to keep go when it is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def table(self, df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+        path = new_folder(self.spark, label)
+        df.write.parquet(path)
+        if not keep:
+            self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        for path in self.paths:
+            drop_folder(self.spark, path)
+        self.paths = []

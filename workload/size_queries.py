@@ -133,12 +133,14 @@ def optimal_bins(t):
     "optimal_bins_candidates",
     f"""WITH {SEARCH} SELECT nbins, round(average, 6) AS average, round(dev, 6) AS deviation,
       round(m / dev, 6) AS score, CAST(nbins > average AS INT) AS stop
-    FROM judged WHERE nbins <= 60""",
+    FROM judged, stop WHERE nbins <= coalesce(last, nbins)""",
 )
 def candidates(t):
     df = W.sized(t)
     low, high, _ = B.size_range(df)
-    return B.bin_candidates(B.size_counts(df), low, high, 2, 60).select(
+    judged = B.bin_candidates(B.size_counts(df), low, high, 2, high)
+    last = judged.where("stop").agg(F.min("nbins")).first()[0]
+    return judged.where(F.col("nbins") <= (last or high)).select(
         "nbins",
         F.round("average", 6).alias("average"),
         F.round("deviation", 6).alias("deviation"),

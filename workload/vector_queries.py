@@ -374,7 +374,7 @@ halves AS (
 buckets AS (
   SELECT conv_id, role, ('0x' || substr(md5(w), 1, 8))::BIGINT % {DIMENSIONS // 2} AS b
   FROM (SELECT conv_id, role, unnest(list_filter(regexp_split_to_array(text, '{W.SQL_SPACE}+'),
-          lambda w: w <> '')[1:8192]) AS w FROM halves)),
+          lambda w: w <> '')) AS w FROM halves)),
 embedded AS (
   SELECT conv_id, CASE role WHEN 'human' THEN b ELSE b + {DIMENSIONS // 2} END AS dim,
          CAST(count(*) AS DOUBLE) AS x
