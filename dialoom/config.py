@@ -81,6 +81,5 @@ class CurateOptions:
     # phrase -> alternatives, applied in order
     swaps: Mapping[str, Sequence[str]] = field(default_factory=dict)
     embedding_dimensions: int = 64
-    max_embedding_tokens: int = 8192
     store_path: str | None = None
     seed: int = 7

@@ -18,17 +18,12 @@ from dialoom.functions.base import let, refine, strip
 
 def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split raw records into usable ones and ones that cannot be read: corrupt input,
-    no conversation, or a message without role or text."""
-    named = F.transform(
-        F.col("conversation"),
-        lambda m: ~(
-            (F.map_contains_key(m, "role") | F.map_contains_key(m, "from"))
-            & (F.map_contains_key(m, "content") | F.map_contains_key(m, "value"))
-        ),
-    )
-    bad = F.col("conversation").isNull() | F.coalesce(
-        F.exists(named, lambda b: F.coalesce(b, F.lit(True))), F.lit(True)
+    no conversation, or a message whose role or text is missing or null."""
+    unusable = F.exists(
+        M.rename_message_keys(F.col("conversation")),
+        lambda m: m["from"].isNull() | m["value"].isNull(),
     )
+    bad = F.col("conversation").isNull() | F.coalesce(unusable, F.lit(True))
     if "_corrupt_record" in df.columns:
         bad = bad | F.col("_corrupt_record").isNotNull()
     return df.where(~bad), df.where(bad)

@@ -9,23 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from dialoom.config import OutputOptions
+from dialoom.operators.ranking import rank_in_groups
 from dialoom.session import stage_table
 
 _RAW_MESSAGES = t.ArrayType(t.MapType(t.StringType(), t.StringType()))
 CONTAINERS = ("messages", "conversations", "conversation")
 
 
-def record_schema(extra_fields: Sequence[str] = ()) -> t.StructType:
-    """Declared schema of a raw record.  ``extra_fields`` are kept as strings."""
-    schema = t.StructType([t.StructField(c, _RAW_MESSAGES) for c in CONTAINERS])
-    schema = (
-        schema.add("source", t.StringType())
-        .add("nbytes", t.LongType())
-        .add("qa_pair_embeddings", t.ArrayType(t.FloatType()))
-    )
-    for name in extra_fields:
-        schema = schema.add(name, t.StringType())
-    return schema.add("_corrupt_record", t.StringType())
+#: Keys with a column of their own.  ``nbytes`` is always computed anew.
+_KNOWN = (*CONTAINERS, "source", "nbytes", "qa_pair_embeddings")
 
 
 def normalize_container_key(df: DataFrame) -> DataFrame:
@@ -46,73 +38,93 @@ def output_names(options: OutputOptions) -> list[str]:
     return [f"{stem}.{kind}" for kind in ("jsonl", "json") for stem in stems]
 
 
-def _pack_extras(df: DataFrame, extra_fields: Sequence[str]) -> DataFrame:
-    if not extra_fields:
-        return df
-    pairs = [x for name in extra_fields for x in (F.lit(name), F.col(name))]
-    return df.withColumn(
-        "extras", F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
-    ).drop(*extra_fields)
+def _parsed(lines: DataFrame) -> DataFrame:
+    """``(value, file_name)`` → records ``(conversation, source, qa_pair_embeddings, extras,
+    _corrupt_record, file_name)``.
+
+    A record is read as a map first, so no key is lost: those without a column go to
+    ``extras`` as their JSON text.  A side field that cannot be read is null and costs
+    nothing else.
+    """
+    is_array = F.startswith(F.ltrim("value"), F.lit("["))
+    fields = F.from_json(F.when(~is_array, F.col("value")), "map<string,variant>")
+    bare = F.from_json(F.when(is_array, F.col("value")), _RAW_MESSAGES)
+    as_text = lines.select(
+        "file_name",
+        "value",
+        bare.alias("_bare"),
+        F.transform_values(fields, lambda _, v: F.to_json(v)).alias("_fields"),
+    )
+
+    def text(name):
+        return F.try_element_at("_fields", F.lit(name))
+
+    lists = [F.from_json(text(c), _RAW_MESSAGES) for c in CONTAINERS]
+    vector = F.from_json(text("qa_pair_embeddings"), "array<float>")
+    whole = ~F.exists(vector, lambda x: x.isNull())
+    # a string in JSON, or the text of anything else
+    source = F.coalesce(
+        F.get_json_object(F.concat(F.lit('{"s":'), text("source"), F.lit("}")), "$.s"),
+        text("source"),
+    )
+    df = as_text.select(
+        F.coalesce("_bare", *lists).alias("conversation"),
+        F.when(text("source") != "null", source).alias("source"),
+        F.when(whole, vector).alias("qa_pair_embeddings"),
+        F.map_filter("_fields", lambda k, _: ~k.isin(*_KNOWN)).alias("extras"),
+        "value",
+        "file_name",
+    )
+    unread = F.when(F.col("conversation").isNull(), F.col("value"))
+    return df.withColumn("_corrupt_record", unread).drop("value")
+
+
+def _direct_files(
+    spark: SparkSession, directory: str, pattern: str, exclude: Sequence[str], whole: bool
+) -> DataFrame:
+    """Texts of the files of a folder that match, without its subfolders: what an earlier
+    run wrote below it is not read."""
+    path = f"{directory.rstrip('/')}/{pattern}"
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
+    files = [s.getPath().toString() for s in found or [] if s.isFile()]
+    names = set(exclude)
+    files = [f for f in files if f.rsplit("/", 1)[-1] not in names]
+    if not files:
+        return spark.createDataFrame([], "value string, file_name string")
+    return spark.read.text(files, wholetext=whole).select(
+        "value", F.col("_metadata.file_name").alias("file_name")
+    )
 
 
 def read_json_array(
-    spark: SparkSession,
-    directory: str,
-    pattern: str = "*.json",
-    exclude: Sequence[str] = (),
-    extra_fields: Sequence[str] = (),
+    spark: SparkSession, directory: str, pattern: str = "*.json", exclude: Sequence[str] = ()
 ) -> DataFrame:
     """Files that hold one JSON array of records each; not recursive.  A file that does
     not parse comes back as one row with ``_corrupt_record``."""
-    df = (
-        spark.read.schema(record_schema(extra_fields))
-        .option("multiLine", True)
-        .option("pathGlobFilter", pattern)
-        .json(directory)
-        .select("*", F.col("_metadata.file_name").alias("file_name"))
+    texts = _direct_files(spark, directory, pattern, exclude, whole=True)
+    elements = F.from_json("value", "array<string>")
+    rows = texts.select("file_name", "value", elements.alias("_elements"))
+    read = rows.where(F.col("_elements").isNotNull()).select(
+        F.explode("_elements").alias("value"), "file_name"
     )
-    return _pack_extras(
-        normalize_container_key(exclude_sources(df, exclude)), extra_fields
+    unread = rows.where(F.col("_elements").isNull() & (F.trim("value") != ""))
+    return _parsed(read).unionByName(
+        unread.select(F.col("value").alias("_corrupt_record"), "file_name"),
+        allowMissingColumns=True,
     )
 
 
 def read_jsonl(
-    spark: SparkSession,
-    directory: str,
-    pattern: str = "*.jsonl",
-    exclude: Sequence[str] = (),
-    extra_fields: Sequence[str] = (),
+    spark: SparkSession, directory: str, pattern: str = "*.jsonl", exclude: Sequence[str] = ()
 ) -> DataFrame:
-    """Files with one JSON value per line: a record, or a bare message array.
+    """Files with one JSON value per line: a record, or a bare message array; not recursive.
 
     A bad line comes back with ``_corrupt_record``; the lines after it are read.
     """
-    lines = (
-        spark.read.option("pathGlobFilter", pattern)
-        .text(directory)
-        .select("value", F.col("_metadata.file_name").alias("file_name"))
-    )
-    lines = exclude_sources(lines, exclude).where(F.trim("value") != "")
-    schema = record_schema(extra_fields)
-    is_array = F.startswith(F.ltrim("value"), F.lit("["))
-    record = F.from_json(
-        F.when(~is_array, F.col("value")),
-        schema,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
-    )
-    parsed = lines.select(
-        "file_name",
-        "value",
-        record.alias("r"),
-        F.from_json(F.when(is_array, F.col("value")), _RAW_MESSAGES).alias("bare"),
-    )
-    flat = parsed.select("file_name", "value", "bare", "r.*")
-    df = normalize_container_key(flat).withColumn(
-        "conversation", F.coalesce("bare", "conversation")
-    )
-    unread = F.when(F.col("conversation").isNull(), F.col("value"))
-    df = df.withColumn("_corrupt_record", F.coalesce("_corrupt_record", unread))
-    return _pack_extras(df.drop("bare", "value"), extra_fields)
+    lines = _direct_files(spark, directory, pattern, exclude, whole=False)
+    return _parsed(lines.where(F.trim("value") != ""))
 
 
 def combine_sources(*frames: DataFrame) -> DataFrame:
@@ -124,17 +136,20 @@ def combine_sources(*frames: DataFrame) -> DataFrame:
 
 
 def with_record_ids(df: DataFrame) -> DataFrame:
-    """Add ``conv_id`` to records that come without one: content hash and row number.
+    """Add ``conv_id`` to records that come without one: the content's hash, and a number
+    among equal contents.
 
-    The rows are written at once, so every later step sees the same ids.
+    The number follows the hash of the whole row with its file name, so ids depend neither
+    on the order of files nor on partitions; rows equal in everything are interchangeable.
+    A content that many records share is numbered by many tasks.  The rows are written at
+    once, so every later step sees the same ids.
     """
-    key = F.sha2(F.to_json("conversation"), 256)
+    row = F.md5(F.to_json(F.struct(*df.columns)))
+    keyed = df.withColumn("_key", F.sha2(F.to_json("conversation"), 256)).withColumn("_row", row)
+    numbered = rank_in_groups(keyed, "_key", F.col("_row"), ["_row"], "_number")
+    name = F.concat("_key", F.lit("-"), F.lpad(F.hex("_number"), 16, "0"))
     return stage_table(
-        df.withColumn(
-            "conv_id",
-            F.concat(key, F.lit("-"), F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0")),
-        ),
-        "records",
+        numbered.withColumn("conv_id", name).drop("_key", "_row", "_number"), "records"
     )
 
 

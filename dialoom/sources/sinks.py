@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialoom.config import OutputOptions
@@ -13,9 +13,29 @@ def drop_embedding_column(df: DataFrame) -> DataFrame:
     return df.drop("embedding", "qa_pair_embeddings")
 
 
+def record_line(df: DataFrame) -> Column:
+    """A record as one JSON object; the keys that the reader kept in ``extras`` stand
+    beside the others, with the JSON text that they had."""
+    plain = F.to_json(F.struct(*[c for c in df.columns if c != "extras"]))
+    if "extras" not in df.columns:
+        return plain
+
+    def entry(e):
+        key = F.to_json(F.array(e["key"]))
+        return F.concat(F.substring(key, F.lit(2), F.length(key) - 2), F.lit(":"), e["value"])
+
+    extras = F.transform(
+        F.filter(F.map_entries("extras"), lambda e: e["value"].isNotNull()), entry
+    )
+    body = F.substring(plain, F.lit(1), F.length(plain) - 1)
+    gap = F.when(plain == "{}", F.lit("")).otherwise(F.lit(","))
+    joined = F.concat(body, gap, F.array_join(extras, ","), F.lit("}"))
+    return F.when(F.coalesce(F.size(extras), F.lit(0)) > 0, joined).otherwise(plain)
+
+
 def write_records_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Full records as JSON Lines, one part file per task, non-ASCII kept."""
-    df.write.mode(mode).json(path)
+    """Full records as JSON Lines, one text part file per task, non-ASCII kept."""
+    df.select(record_line(df).alias("value")).write.mode(mode).text(path)
 
 
 def write_conversations_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -39,7 +59,8 @@ def write_splits(
         F.when(F.col("split") == "test", options.test_name).otherwise(options.train_name),
     )
     if options.save_json:
-        named.write.partitionBy("split").json(f"{path}/json")
+        records = record_line(named.drop("split")).alias("value")
+        named.select("split", records).write.partitionBy("split").text(f"{path}/json")
         write_records_json(total, f"{path}/json/split={options.total_name}")
     if options.save_jsonl:
         lines = M.conversation_line(F.col("conversation")).alias("value")

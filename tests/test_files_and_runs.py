@@ -56,22 +56,44 @@ def heads(df):
 
 def test_readers(spark, folder):
     skip = [*S.output_names(OutputOptions()), "extra.json"]
-    arrays = S.read_json_array(spark, folder, exclude=skip, extra_fields=["note"])
+    arrays = S.read_json_array(spark, folder, exclude=skip)
     lines = S.read_jsonl(spark, folder, exclude=skip)
     good, bad = quarantine(S.combine_sources(arrays, lines))
     assert heads(good) == ["a1", "a2", "b1", "b2", "c1", "z"]
     assert bad.count() == 2
     assert {r.file_name for r in bad.collect()} == {"broken.json", "b.jsonl"}
     noted = good.where(F.map_contains_key("extras", "note")).first()
-    assert noted.extras == {"note": "kept"} and noted.source == "s"
+    assert noted.extras == {"note": '"kept"'} and noted.source == "s"
 
 
 def test_record_ids_are_stable_and_unique(spark, folder):
     df = S.read_jsonl(spark, folder)
     named = S.with_record_ids(quarantine(df.unionByName(df))[0])
     first = sorted(r.conv_id for r in named.collect())
-    assert first == sorted(r.conv_id for r in named.repartition(3).collect())
     assert len(set(first)) == len(first)
+    for parts in (1, 3, 8):
+        again = S.with_record_ids(quarantine(df.unionByName(df).repartition(parts))[0])
+        assert sorted(r.conv_id for r in again.collect()) == first
+
+
+def test_null_texts_and_bad_side_fields(spark, tmp_path):
+    turns = [msg("human", "q"), msg("gpt", "a")]
+    rows = [
+        {"messages": turns, "id": "k1", "topic": {"x": 1}, "nbytes": "12x"},
+        {"messages": turns, "qa_pair_embeddings": ["a"]},
+        {"messages": [msg("human", "q"), msg("gpt", None)]},
+        {"messages": [msg(None, "q"), msg("gpt", "a")]},
+        {"messages": "none"},
+    ]
+    (tmp_path / "a.jsonl").write_text("\n".join(json.dumps(r) for r in rows), encoding="utf-8")
+    (tmp_path / "split=x").mkdir()
+    (tmp_path / "split=x" / "b.jsonl").write_text("{}", encoding="utf-8")
+    good, bad = quarantine(S.read_jsonl(spark, str(tmp_path)))
+    extras = sorted((dict(r.extras) for r in good.collect()), key=len)
+    assert extras == [{}, {"id": '"k1"', "topic": '{"x":1}'}]
+    assert all(r.qa_pair_embeddings is None for r in good.collect())
+    assert bad.count() == 3
+    assert S.read_json_array(spark, str(tmp_path)).count() == 0
 
 
 def test_write_and_read_back(spark, folder):

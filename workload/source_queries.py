@@ -17,7 +17,7 @@ from workload import common as W
 from workload.registry import Tables, query
 from workload.size_queries import NBINS, sql_size_bins, sql_split
 
-_ID = "nbytes"  # the id of a conversation travels through files in a numeric field
+_ID = "id"  # the id of a conversation travels through files in a key of its own
 
 
 def _records(t: Tables) -> DataFrame:
@@ -48,7 +48,12 @@ def _write_arrays(df: DataFrame, path: str) -> None:
 def _long(df: DataFrame) -> DataFrame:
     """Readable records as one row per message."""
     good, _ = quarantine(df)
-    return W.rows(W.with_roles(good.withColumn("conv_id", F.col(_ID))))
+    return W.rows(W.with_roles(good.withColumn("conv_id", _id(df))))
+
+
+def _id(df: DataFrame):
+    """The id, also of a record that was read: unknown keys stay in ``extras``."""
+    return (F.col("extras")[_ID] if "extras" in df.columns else F.col(_ID)).cast("bigint")
 
 
 @query("read_json_array", f"WITH {W.SQL_MSGS} {W.LONG} FROM msgs")
@@ -96,9 +101,14 @@ def container_key(t):
     f"WITH {W.SQL_MSGS} {W.LONG} FROM msgs WHERE conv_id % 3 <> 0",
 )
 def exclude_sources(t):
-    """Source s0 stands for the engine's own output files."""
-    named = R.normalize_container_key(_records(t)).withColumn("file_name", F.col("source"))
-    return _long(R.exclude_sources(named, ["s0"]))
+    """The files that hold source s0 are left out by name."""
+    path = new_folder(t.spark, "named")
+    lines = _records(t).select("source", F.to_json(F.struct(*_records(t).columns)).alias("value"))
+    lines.where("source = 's0'").select("value").write.text(path)
+    own = t.spark.read.text(path).select(F.col("_metadata.file_name").alias("n")).distinct()
+    names = [r.n for r in own.collect()]
+    lines.where("source <> 's0'").select("value").write.mode("append").text(path)
+    return _long(R.read_jsonl(t.spark, path, "*.txt", exclude=names))
 
 
 @query(
@@ -116,7 +126,7 @@ def combine_sources(t):
     both = R.combine_sources(
         R.read_json_array(t.spark, arrays, "*.txt"), R.read_jsonl(t.spark, lines, "*.txt")
     )
-    return both.groupBy(F.col(_ID).alias("conv_id")).agg(F.count(F.lit(1)).alias("copies"))
+    return both.groupBy(_id(both).alias("conv_id")).agg(F.count(F.lit(1)).alias("copies"))
 
 
 @query(
@@ -137,27 +147,56 @@ def append_unmodified(t):
 
 @query(
     "with_record_ids",
-    """SELECT count(*) AS records, count(*) AS ids, count(*) // 2 AS contents
-    FROM (SELECT DISTINCT conv_id FROM conversations UNION ALL
-          SELECT DISTINCT conv_id FROM conversations)""",
+    """WITH c AS (
+      SELECT conv_id, sha256('[' || string_agg('{"role":' || to_json(role)::VARCHAR || ',"content":'
+        || to_json(text)::VARCHAR || '}', ',' ORDER BY turn) || ']') AS key
+      FROM conversations GROUP BY conv_id), twice AS (SELECT * FROM c UNION ALL SELECT * FROM c)
+    SELECT key || '-' || lpad(hex(row_number() OVER (PARTITION BY key)), 16, '0') AS conv_id
+    FROM twice""",
 )
 def record_ids(t):
-    """Every record twice: different ids, the same content hash."""
+    """Every record twice: the hash of the content and a number."""
     df = W.raw(t).drop("conv_id")
-    named = R.with_record_ids(df.unionByName(df))
-    return named.agg(
-        F.count(F.lit(1)).alias("records"),
-        F.countDistinct("conv_id").alias("ids"),
-        F.countDistinct(F.substring("conv_id", 1, 64)).alias("contents"),
-    )
+    return R.with_record_ids(df.unionByName(df).repartition(5)).select("conv_id")
 
 
 @query("write_records_json", f"WITH {W.SQL_MSGS} {W.LONG} FROM msgs")
 def write_records(t):
     path = new_folder(t.spark, "json")
-    df = W.with_roles(W.raw(t)).withColumn("nbytes", F.col("conv_id"))
+    df = W.with_roles(W.raw(t)).withColumn(_ID, F.col("conv_id")).drop("conv_id")
     K.write_records_json(df, path)
-    return _long(R.read_jsonl(t.spark, path, "*.json"))
+    return _long(R.read_jsonl(t.spark, path, "*.txt"))
+
+
+@query(
+    "unknown_keys_survive",
+    """SELECT DISTINCT conv_id, '{"a":[1,2],"b":"é"}' AS topic, 1.5::DOUBLE AS weight,
+      conv_id % 3 <> 2 AS good FROM conversations""",
+)
+def unknown_keys(t):
+    """Extra keys are read, written and read again; a bad side field costs nothing, a null
+    text costs the record."""
+    first, second = new_folder(t.spark, "lines"), new_folder(t.spark, "json")
+    records = F.to_json(F.struct(*_records(t).columns))
+    text = F.regexp_replace(
+        F.concat(
+            F.lit('{"topic":{"a":[1,2],"b":"é"},"weight":1.5,"nbytes":"12x","qa_pair_embeddings":"no",'),
+            F.substring(records, F.lit(2), F.length(records) - 1),
+        ),
+        r'"messages":\[\{"role":"[a-z]+"',
+        '"messages":[{"role":null',
+    )
+    _records(t).select(text.alias("value")).write.text(first)
+    K.write_records_json(R.read_jsonl(t.spark, first, "*.txt").drop("_corrupt_record"), second)
+    again = R.read_jsonl(t.spark, second, "*.txt")
+    good, bad = quarantine(again)
+    marked = good.withColumn("good", F.lit(True)).unionByName(bad.withColumn("good", F.lit(False)))
+    return marked.select(
+        _id(marked).alias("conv_id"),
+        F.col("extras")["topic"].alias("topic"),
+        F.col("extras")["weight"].cast("double").alias("weight"),
+        "good",
+    )
 
 
 SQL_LINE = """'[' || string_agg('{"from": ' || to_json(role)::VARCHAR || ', "value": '
