@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from dialoom.functions import vectors as V
-from dialoom.functions.base import order_hash
+from dialoom.operators.ranking import rank_by_range
 from dialoom.session import stage_table
 
-_COPY_SALTS = 64
-_MAX_PIVOTS = 1024
+_COPIES_PER_SALT = 100_000
+_PLANES = 48
+_PLANE_SEED = 5
+_BLOCKS_PER_GROUP = 256
+_BALLS = 16
+_NEAR_COSINE = 0.98
 _SLICE_ROWS = 512
-DEFAULT_TILE_ROWS = 8192
+DEFAULT_TILE_ROWS = 1024
 
 
 def content_key(column: str = "conversation"):
@@ -29,15 +33,17 @@ def drop_exact_duplicates(df: DataFrame, column: str = "conversation") -> DataFr
     """Keep the first record, by size and id, of each message list.
 
     The aggregate is computed on hashes and ids only and combines on the map side, so
-    a conversation with billions of copies reaches the shuffle as one row per task.
-    The full rows follow in a join on their unique id.
+    a conversation with billions of copies reaches the shuffle as one row per task.  The
+    lost ids are written, narrow; the full rows are held against them, and while those
+    are few the planner leaves the full rows where they are.
     """
-    keep = (
-        df.groupBy(content_key(column).alias("_key"))
-        .agg(F.min(F.struct("nbytes", "conv_id")).alias("_first"))
-        .select(F.col("_first.conv_id").alias("conv_id"))
+    keyed = df.select(content_key(column).alias("_key"), "nbytes", "conv_id")
+    firsts = keyed.groupBy("_key").agg(
+        F.min(F.struct("nbytes", "conv_id")).alias("_first"), F.count(F.lit(1)).alias("_n")
     )
-    return df.join(keep, "conv_id", "left_semi")
+    repeated = firsts.where("_n > 1").select("_key", F.col("_first.conv_id").alias("_kept"))
+    lost = keyed.join(repeated, "_key").where(F.col("conv_id") != F.col("_kept"))
+    return df.join(stage_table(lost.select("conv_id"), "lost"), "conv_id", "left_anti")
 
 
 def _partner_schema(rows: DataFrame) -> t.StructType:
@@ -52,26 +58,29 @@ def _partner_schema(rows: DataFrame) -> t.StructType:
 
 
 def _tile_search(threshold: float):
-    """Search one tile: build rows against probe rows, or, if ``build`` and ``probe`` are
-    the same block, the rows of that block among themselves.
+    """Search one pair of blocks: the rows of two blocks against each other, or those of
+    one block among themselves.
 
     Emits, for each row with an earlier row above the threshold, the earliest one; at
     most one output row per input row.  Similarities are computed in slices, so memory
-    grows with the tile and not with its square.
+    grows with the block and not with its square.
     """
 
-    nothing = pd.DataFrame({"conv_id": [], "partner_nbytes": [], "partner_id": []})
-
-    def search(tile: pd.DataFrame) -> pd.DataFrame:
-        tile = tile.sort_values(["nbytes", "conv_id"], kind="stable", ignore_index=True)
-        unit = np.stack(tile["unit"].to_numpy()).astype(np.float64, copy=False)
-        build = np.flatnonzero(tile["is_build"].to_numpy())
-        probe = np.flatnonzero(~tile["is_build"].to_numpy())
-        same_block = tile["build"].iat[0] == tile["probe"].iat[0]
-        if same_block:
-            probe = build
-        if len(build) == 0 or len(probe) == 0:
-            return nothing
+    def search(pair: pd.DataFrame) -> pd.DataFrame:
+        ids = np.concatenate([np.asarray(x, dtype=object) for x in pair["ids"]])
+        sizes = np.concatenate([np.asarray(x, dtype=np.int64) for x in pair["sizes"]])
+        own = np.repeat(pair["block"].to_numpy(), [len(x) for x in pair["ids"]])
+        unit = np.concatenate(
+            [
+                np.frombuffer(u, np.float64).reshape(len(i), -1)
+                for u, i in zip(pair["units"], pair["ids"], strict=True)
+            ]
+        )
+        order = np.array(sorted(range(len(ids)), key=lambda i: (sizes[i], ids[i])))
+        ids, sizes, unit, own = ids[order], sizes[order], unit[order], own[order]
+        same_block = pair["a"].iat[0] == pair["b"].iat[0]
+        build = np.flatnonzero(own == pair["a"].iat[0])
+        probe = build if same_block else np.flatnonzero(own == pair["b"].iat[0])
         found = []
         first = np.full(len(probe), -1)  # earliest build row of each probe row
         for start in range(0, len(build), _SLICE_ROWS):
@@ -85,110 +94,153 @@ def _tile_search(threshold: float):
                 any_later = later.any(axis=1)
                 found.append((rows[any_later], probe[later.argmax(axis=1)[any_later]]))
         found.append((probe[first >= 0], first[first >= 0]))
-        late = np.concatenate([f[0] for f in found])
-        early = np.concatenate([f[1] for f in found])
+        late = np.concatenate([f[0] for f in found]).astype(int)
+        early = np.concatenate([f[1] for f in found]).astype(int)
         return pd.DataFrame(
-            {
-                "conv_id": tile["conv_id"].to_numpy()[late],
-                "partner_nbytes": tile["nbytes"].to_numpy()[early],
-                "partner_id": tile["conv_id"].to_numpy()[early],
-            }
+            {"conv_id": ids[late], "partner_nbytes": sizes[early], "partner_id": ids[early]}
         )
 
     return search
 
 
-def _assign_cells(pivots: np.ndarray, threshold: float):
-    """Home cell of a vector (its nearest pivot) and the lower-numbered cells that can
-    hold a vector above the threshold.
+@F.pandas_udf(t.LongType())
+def _signature(units: pd.Series) -> pd.Series:
+    """On which side of each of a few fixed planes a vector lies.  Near vectors share most
+    of the leading bits, so an order by signature puts them close together."""
+    if not len(units):
+        return pd.Series([], dtype="int64")
+    unit = np.stack(units.to_numpy()).astype(np.float64, copy=False)
+    planes = np.random.default_rng(_PLANE_SEED).normal(size=(unit.shape[1], _PLANES))
+    return pd.Series(((unit @ planes) > 0) @ (1 << np.arange(_PLANES)[::-1]))
+
+
+def _balls(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``_BALLS`` directions and angles that hold all vectors: each next direction is
+    the vector farthest from those before, until all are near one.  A zero vector is near
+    nothing and needs no ball."""
+    directed = unit[np.linalg.norm(unit, axis=1) > 0.5]
+    if not len(directed):
+        return np.zeros((0, unit.shape[1])), np.zeros(0)
+    centers = [directed[0]]
+    best = directed @ centers[0]
+    home = np.zeros(len(directed), dtype=int)
+    while len(centers) < _BALLS and best.min() < _NEAR_COSINE:
+        centers.append(directed[best.argmin()])
+        cosines = directed @ centers[-1]
+        closer = cosines > best
+        home[closer], best[closer] = len(centers) - 1, cosines[closer]
+    angles = np.arccos(np.clip(best, -1, 1))
+    return np.stack(centers), np.array([angles[home == k].max() for k in range(len(centers))])
+
+
+def _pack(rows: pd.DataFrame) -> pd.DataFrame:
+    """A block as one row: its ids, sizes and vectors, and balls that hold the vectors."""
+    unit = np.stack(rows["unit"].to_numpy()).astype(np.float64, copy=False)
+    centers, radii = _balls(unit)
+    return pd.DataFrame(
+        {
+            "bin": [rows["bin"].iat[0]],
+            "block": [rows["block"].iat[0]],
+            "centers": [centers.tobytes()],
+            "radii": [radii.tolist()],
+            "ids": [rows["conv_id"].tolist()],
+            "sizes": [rows["nbytes"].tolist()],
+            "units": [unit.tobytes()],
+        }
+    )
+
 
-    Rows of cell c are at least as near to pivot c as to the pivot of this row's home.
-    They lie on one side of the plane between the two pivots, so an angle below
-    acos(threshold) needs this row within that angle of the plane: its distance from
-    the plane is at most sin(acos(threshold)).  A necessary condition, so no pair is
-    lost.  Every pair of cells is searched once, from the lower one.  ``n_cells`` of a
-    row says how many of the pivots its bin uses; small bins use one.
-    """
-    reach = math.sin(math.acos(threshold)) + 1e-9 if threshold >= 0 else math.inf
-
-    def assign(batches):
-        gaps = pivots[:, None, :] - pivots[None, :, :]
-        lengths = np.linalg.norm(gaps, axis=2)
-        for batch in batches:
-            if len(batch) == 0:
-                continue
-            unit = np.stack(batch["unit"].to_numpy()).astype(np.float64, copy=False)
-            near = unit @ pivots.T
-            unused = np.arange(len(pivots))[None, :] >= batch["n_cells"].to_numpy()[:, None]
-            near[unused] = -np.inf
-            home = near.argmax(axis=1)
-            own = near[np.arange(len(home)), home]
-            gap = lengths[home]
-            margin = np.where(gap > 0, (own[:, None] - near) / np.where(gap > 0, gap, 1), 0)
-            lower = np.arange(len(pivots))[None, :] < home[:, None]
-            guest = lower & (margin <= reach)
-            rows, cells = np.nonzero(guest)
-            rows = np.concatenate([np.arange(len(home)), rows])
-            cells = np.concatenate([home, cells])
-            out = batch.drop(columns="n_cells").iloc[rows].copy()
-            out["cell"] = cells.astype(np.int32)
-            out["at_home"] = cells == home[rows]
-            yield out
-
-    return assign
-
-
-def _tiles(cells: DataFrame, tile_rows: int) -> DataFrame:
-    """Cut each cell into blocks of about ``tile_rows`` rows and pair the blocks up.
-
-    A block of home rows meets itself, the later home blocks and all guest blocks of its
-    cell.  A row is copied once per block it meets, and no group has more than two blocks.
+def _blocks(rows: DataFrame, tile_rows: int) -> DataFrame:
+    """Cut each bin, in the order of signatures, into blocks of ``tile_rows`` vectors.
+
+    Only bin, signature and id are sorted; the vectors follow in one join, and each of them
+    is written once, in the row of its block.
     """
-    sizes = stage_table(
-        cells.groupBy("bin", "cell").agg(
-            F.greatest(F.ceil(F.count_if("at_home") / tile_rows), F.lit(1)).alias("homes"),
-            F.ceil(F.count_if(~F.col("at_home")) / tile_rows).alias("guests"),
-        ),
-        "cell-sizes",
+    ranked = rank_by_range(
+        rows.select("bin", _signature("unit").alias("signature"), "conv_id"),
+        ["bin", "signature", "conv_id"],
     )
-    # the planner knows the size of a written table and broadcasts it only if small
-    placed = cells.join(sizes, ["bin", "cell"]).withColumn(
-        "own",
-        F.pmod(
-            F.xxhash64("conv_id"),
-            F.when(F.col("at_home"), F.col("homes")).otherwise(F.col("guests")),
-        ),
+    firsts = ranked.groupBy("bin").agg(F.min("rank").alias("first"))
+    placed = ranked.join(firsts, "bin").select(
+        "bin", "conv_id", F.floor((F.col("rank") - F.col("first")) / tile_rows).alias("block")
     )
-    last_home = F.col("homes") - 1
-
-    def pair(build, probe, is_build):
-        return F.struct(
-            build.cast("bigint").alias("build"),
-            probe.cast("bigint").alias("probe"),
-            F.lit(is_build).alias("is_build"),
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    packed = (
+        rows.join(placed, ["bin", "conv_id"])
+        .groupBy("bin", "block")
+        .applyInPandas(
+            _pack,
+            f"bin {kinds['bin']}, block bigint, centers binary, radii array<double>, "
+            f"ids array<{kinds['conv_id']}>, sizes array<bigint>, units binary",
         )
+    )
+    return stage_table(packed, "blocks")
 
-    def count_to(first, last):
-        return F.when(first <= last, F.sequence(first, last)).otherwise(
-            F.array().cast("array<bigint>")
-        )
 
-    own = F.col("own")
-    # probe numbers: home blocks first, then guest blocks
-    as_build = F.transform(
-        count_to(own, F.col("homes") + F.col("guests") - 1), lambda p: pair(own, p, True)
+def _all_balls(blocks: pd.DataFrame):
+    """Centres and radii of the balls of some blocks, and where those of each begin."""
+    counts = np.array([len(r) for r in blocks["radii"]])
+    radii = np.concatenate([np.asarray(r, dtype=float) for r in blocks["radii"]])
+    centers = np.frombuffer(b"".join(blocks["centers"]), np.float64)
+    begins = np.concatenate(([0], np.cumsum(counts)[:-1]))
+    return centers.reshape(len(radii), -1), radii, begins
+
+
+def _near_blocks(threshold: float):
+    """Block pairs of two groups of blocks that can hold a pair above the threshold.
+
+    Two vectors within ``acos(threshold)`` lie in balls whose centres are within that angle
+    and both radii (angles are a metric), so no pair is lost.
+    """
+    reach = math.acos(threshold) + 1e-7 if threshold >= 0 else math.inf
+
+    def run(groups: pd.DataFrame) -> pd.DataFrame:
+        if reach < math.inf:  # below an angle, a block of zero vectors meets nothing
+            groups = groups[groups["radii"].map(len) > 0]
+        left = groups[groups["side"] == 0]
+        right = groups[groups["side"] == 1] if (groups["g"] != groups["h"]).any() else left
+        if not len(left) or not len(right):
+            return pd.DataFrame({"bin": [], "a": [], "b": []})
+        if reach < math.inf:
+            a, wide_a, at_a = _all_balls(left)
+            b, wide_b, at_b = _all_balls(right)
+            near = np.arccos(np.clip(a @ b.T, -1, 1)) <= wide_a[:, None] + wide_b[None, :] + reach
+            near = np.logical_or.reduceat(np.logical_or.reduceat(near, at_a, axis=0), at_b, axis=1)
+        else:
+            near = np.ones((len(left), len(right)), dtype=bool)
+        rows, columns = np.nonzero(near)
+        first, second = left["block"].to_numpy()[rows], right["block"].to_numpy()[columns]
+        keep = first <= second
+        return pd.DataFrame({"bin": left["bin"].iat[0], "a": first[keep], "b": second[keep]})
+
+    return run
+
+
+def _block_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
+    """``(bin, a, b)``, ``a <= b``: only numbers, balls and radii of blocks take part.
+
+    A bin of very many blocks is cut into groups of them, and the groups are paired.
+    """
+    meta = blocks.select("bin", "block", "centers", "radii").withColumn(
+        "own", F.floor(F.col("block") / _BLOCKS_PER_GROUP)
+    )
+    groups = meta.groupBy("bin").agg(F.max("own").alias("last"))
+    sided = meta.join(groups, "bin")
+    as_left = F.transform(
+        F.sequence("own", "last"), lambda g: F.struct(F.col("own").alias("g"), g.alias("h"), F.lit(0).alias("side"))
     )
-    as_probe = F.transform(
-        count_to(F.lit(0).cast("bigint"), own - 1), lambda b: pair(b, own, False)
+    as_right = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.col("own")),
+        lambda g: F.struct(g.alias("g"), F.col("own").alias("h"), F.lit(1).alias("side")),
     )
-    as_guest = F.transform(
-        count_to(F.lit(0).cast("bigint"), last_home),
-        lambda b: pair(b, F.col("homes") + own, False),
+    met = sided.withColumn(
+        "at", F.explode(F.concat(as_left, F.filter(as_right, lambda p: p["g"] < p["h"])))
+    ).select("bin", "block", "centers", "radii", "at.*")
+    kind = blocks.schema["bin"].dataType.simpleString()
+    pairs = met.groupBy("bin", "g", "h").applyInPandas(
+        _near_blocks(threshold), f"bin {kind}, a bigint, b bigint"
     )
-    meetings = F.when(F.col("at_home"), F.concat(as_build, as_probe)).otherwise(as_guest)
-    return placed.select(
-        "bin", "cell", "conv_id", "nbytes", "unit", F.explode(meetings).alias("at")
-    ).select("bin", "cell", "at.*", "conv_id", "nbytes", "unit")
+    return stage_table(pairs, "block-pairs")
 
 
 def _distinct_vectors(df: DataFrame) -> DataFrame:
@@ -205,54 +257,23 @@ def _distinct_vectors(df: DataFrame) -> DataFrame:
     )
 
 
-def _cells(
-    rows: DataFrame, sizes: DataFrame, largest: int, threshold: float, tile_rows: int
-) -> DataFrame:
-    """Rows with ``cell`` and ``at_home``: once in their home cell, and once as a guest in
-    each lower cell that may hold a partner.  A bin gets about one cell per tile."""
-    most = min(_MAX_PIVOTS, largest // tile_rows)
-    if threshold < 0 or most < 2:
-        # no angle to prune by
-        return rows.withColumn("cell", F.lit(0)).withColumn("at_home", F.lit(True))
-    # a bounded number of pivot vectors, the same ones in every run
-    chosen = (
-        rows.orderBy(order_hash("pivot", F.col("conv_id")), "conv_id").limit(most).collect()
-    )
-    pivots = np.array([r.unit for r in chosen], dtype=np.float64)
-    n_cells = F.greatest(
-        F.lit(1), F.least(F.lit(len(pivots)), F.floor(F.col("n") / tile_rows))
-    )
-    wide = rows.join(sizes, "bin").withColumn("n_cells", n_cells.cast("int")).drop("n")
-    schema = t.StructType(
-        rows.schema.fields
-        + [t.StructField("cell", t.IntegerType()), t.StructField("at_home", t.BooleanType())]
-    )
-    return stage_table(
-        wide.mapInPandas(_assign_cells(pivots, threshold), schema), "cells"
-    )
-
-
 def _first_partners(vectors: DataFrame, threshold: float, tile_rows: int) -> DataFrame:
-    """Earliest partner of every distinct vector that has an earlier one in its bin."""
+    """Earliest partner of every distinct vector that has an earlier one in its bin.
+
+    One path for all sizes: a small bin is one block that meets itself.
+    """
     rows = vectors.select("bin", "conv_id", "nbytes", "unit")
-    sizes = stage_table(rows.groupBy("bin").agg(F.count(F.lit(1)).alias("n")), "bin-sizes")
-    largest = sizes.agg(F.max("n").alias("n")).first().n or 0
-    search = _tile_search(threshold)
+    blocks = _blocks(rows, tile_rows)
+    pairs = _block_pairs(blocks, threshold)
+    wanted = pairs.select("bin", "a", "b", F.col("a").alias("block")).unionByName(
+        pairs.where("a <> b").select("bin", "a", "b", F.col("b").alias("block"))
+    )
+    packed = blocks.select("bin", "block", "ids", "sizes", "units")
     schema = _partner_schema(rows)
-    if largest <= tile_rows:
-        tiles = rows.select(
-            "*",
-            F.lit(True).alias("is_build"),
-            F.lit(0).alias("build"),
-            F.lit(0).alias("probe"),
-        )
-        found = tiles.groupBy("bin").applyInPandas(search, schema)
-    else:
-        found = (
-            _tiles(_cells(rows, sizes, largest, threshold, tile_rows), tile_rows)
-            .groupBy("bin", "cell", "build", "probe")
-            .applyInPandas(search, schema)
-        )
+    search = _tile_search(threshold)
+    found = (
+        wanted.join(packed, ["bin", "block"]).groupBy("bin", "a", "b").applyInPandas(search, schema)
+    )
     return (
         found.groupBy("conv_id")
         .agg(F.min(F.struct("partner_nbytes", "partner_id")).alias("partner"))
@@ -273,21 +294,38 @@ def duplicate_pairs(df: DataFrame, threshold: float, tile_rows: int = DEFAULT_TI
     heads = vectors.join(partners, "conv_id", "left")
     of_heads = heads.where(F.col("partner_id").isNotNull()).select("conv_id", "partner_id")
     # further holders of a vector: the head's partner is theirs too, else the head
-    salts = F.sequence(F.lit(0), F.lit(_COPY_SALTS - 1))
+    # a vector with many holders is cut by salts, by their number
+    salts = F.floor(F.col("holders") / _COPIES_PER_SALT) + 1
     groups = heads.where(
         (F.col("holders") > 1) & (V.dot(F.col("unit"), F.col("unit")) > threshold)
     ).select(
         "bin",
         F.xxhash64("unit").alias("unit_key"),
         "unit",
-        F.explode(salts).alias("salt"),
+        salts.alias("salts"),
         F.col("conv_id").alias("head_id"),
         F.coalesce("partner_id", "conv_id").alias("partner_id"),
     )
+    # the few vectors of many salts, by their key: all others have one
+    spread = stage_table(
+        groups.where("salts > 1").groupBy("unit_key").agg(F.max("salts").alias("key_salts")),
+        "copy-salts",
+    )
+    groups = (
+        groups.join(spread, "unit_key", "left")
+        .withColumn("key_salts", F.coalesce("key_salts", F.lit(1)))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("key_salts") - 1)))
+        .drop("salts", "key_salts")
+    )
     copies = (
         df.select("bin", "conv_id", V.l2_normalize(F.col("embedding")).alias("unit"))
         .withColumn("unit_key", F.xxhash64("unit"))
-        .withColumn("salt", F.pmod(F.xxhash64("conv_id"), F.lit(_COPY_SALTS)).cast("int"))
+        .join(spread, "unit_key", "left")
+        .withColumn(
+            "salt",
+            F.pmod(F.xxhash64("conv_id"), F.coalesce("key_salts", F.lit(1))),
+        )
+        .drop("key_salts")
         .join(groups, ["bin", "unit_key", "unit", "salt"])
         .where(F.col("conv_id") != F.col("head_id"))
         .select("conv_id", "partner_id")

@@ -141,6 +141,21 @@ def test_pairs_against_brute_force(spark, threshold, tile_rows):
     assert kept == {i for i, *_ in rows} - set(wanted)
 
 
+def test_blocks_of_clusters_meet_few_others(spark):
+    """Wide vectors in tight clusters: each vector is written once and sent to few tasks."""
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(40, 768))
+    vectors = [centers[i % 40] + 0.02 * rng.normal(size=768) for i in range(1600)]
+    df = spark.createDataFrame(rows_of(vectors), SCHEMA)
+    unit = D._distinct_vectors(df).select("bin", "conv_id", "nbytes", "unit")
+    blocks = D._blocks(unit, 40)
+    pairs = D._block_pairs(blocks, 0.95).collect()
+    n = blocks.count()
+    assert n == 40 and sum(len(r.ids) for r in blocks.select("ids").collect()) == 1600
+    copies = sum(2 if p.a != p.b else 1 for p in pairs) / n
+    assert copies < 8
+
+
 def test_exact_duplicates_keep_the_first(spark):
     c = [("human", "a"), ("gpt", "b")]
     other_roles = [("human", "a"), ("system", "b")]
