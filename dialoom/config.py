@@ -82,4 +82,6 @@ class CurateOptions:
     swaps: Mapping[str, Sequence[str]] = field(default_factory=dict)
     embedding_dimensions: int = 64
     store_path: str | None = None
+    # table of what has been rewritten, for a run that goes on after a stop
+    rewrite_path: str | None = None
     seed: int = 7

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dialoom.config import CurateOptions
@@ -16,10 +16,10 @@ from dialoom.operators.clean import size_and_cap, swap_phrases
 from dialoom.operators.documents import build_documents, upsert_documents
 from dialoom.operators.duplicates import near_duplicates
 from dialoom.operators.embed import embed_hashed, with_embeddings
-from dialoom.operators.rewrite import Generator, improve_system_prompts
+from dialoom.operators.rewrite import Generator, improve_system_prompts, resume_processing
 from dialoom.operators.split import split_by_segment, split_by_size_bin
 from dialoom.plans.preprocess import preprocess
-from dialoom.session import stage_table
+from dialoom.session import Stages, stage_table
 from dialoom.sources.records import append_unmodified
 from dialoom.sources.sinks import drop_embedding_column
 
@@ -51,22 +51,28 @@ def curate(
     f, out = options.filtering, options.output
     if options.rewrite.enabled and make_generator is None:
         raise ValueError("rewriting is on, but there is no generator")
-    counts = {"input": df.count()}
-    records = stage_table(preprocess(df, options.preprocess), "preprocessed")
-    counts["preprocessed"] = records.count()
+    stages = Stages(df.sparkSession)
+    read = Observation()
+    # the raw input is read once: it is counted while it is cleaned and written
+    seen = df.observe(read, F.count(F.lit(1)).alias("n"))
+    records = stages.table(preprocess(seen, options.preprocess), "preprocessed")
+    counts = {"input": read.get["n"], "preprocessed": records.count()}
 
     if f.dedup or f.thin or options.store_path:
         embed = embed or (lambda rows: embed_hashed(rows, options.embedding_dimensions))
-        records = stage_table(with_embeddings(records, embed), "embedded")
+        records = stages.table(with_embeddings(records, embed), "embedded")
         if options.store_path:
             counts["stored"] = upsert_documents(build_documents(records), options.store_path)
         if f.dedup:
             binning = B.optimal_bins(records, f.force_num_bins)
             if binning is not None:
-                binned = B.assign_bins(records, binning)
-                records = stage_table(
-                    near_duplicates(binned, f.similarity_threshold, f.tile_rows).drop("bin"),
-                    "deduplicated",
+                # id, size and vector decide; the records follow in one join
+                narrow = records.select("conv_id", "nbytes", "embedding")
+                kept = near_duplicates(
+                    B.assign_bins(narrow, binning), f.similarity_threshold, f.tile_rows
+                ).select("conv_id")
+                records = stages.table(
+                    records.join(kept, "conv_id", "left_semi"), "deduplicated"
                 )
         counts["deduplicated"] = records.count()
 
@@ -83,11 +89,20 @@ def curate(
         ).drop("bin")
     records = drop_embedding_column(records)
     if options.rewrite.enabled:
-        records = improve_system_prompts(records, make_generator, options.rewrite)
+        if options.rewrite_path:
+            # what an earlier, stopped run has rewritten is read back, not generated again
+            records = resume_processing(
+                records, options.rewrite_path, make_generator, options.rewrite
+            )
+        else:
+            records = improve_system_prompts(records, make_generator, options.rewrite)
     records = swap_phrases(records, options.swaps, options.seed).drop("nbytes")
     if unmodified is not None:
         records = append_unmodified(records, unmodified)
-    total = stage_table(size_and_cap(records, options.preprocess.max_nbytes), "final")
+    total = stages.table(
+        size_and_cap(records, options.preprocess.max_nbytes), "final", keep=True
+    )
+    stages.drop()
     counts["final"] = total.count()
 
     if out.balance and nbins:
@@ -100,8 +115,9 @@ def curate(
         place = stage_table(
             parts.select("conv_id", "position", "chunk", "segment", "split"), "placed"
         )
-        # the list is in curriculum order: one sort of the full rows, for the sinks
-        total = total.join(place, "conv_id").orderBy("position")
+        # the list is in curriculum order: one join and one sort of the full rows, written
+        # once for all sinks; train and test need no order of their own
+        total = stage_table(total.join(place, "conv_id").orderBy("position"), "ordered")
         split = total
     else:
         split = split_by_size_bin(

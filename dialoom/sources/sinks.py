@@ -46,7 +46,11 @@ def write_conversations_jsonl(df: DataFrame, path: str, mode: str = "errorifexis
 
 
 def write_splits(
-    total: DataFrame, split: DataFrame, path: str, options: OutputOptions | None = None
+    total: DataFrame,
+    split: DataFrame,
+    path: str,
+    options: OutputOptions | None = None,
+    mode: str = "errorifexists",
 ) -> None:
     """Write train, test and total in each enabled format.
 
@@ -60,9 +64,9 @@ def write_splits(
     )
     if options.save_json:
         records = record_line(named.drop("split")).alias("value")
-        named.select("split", records).write.partitionBy("split").text(f"{path}/json")
-        write_records_json(total, f"{path}/json/split={options.total_name}")
+        named.select("split", records).write.mode(mode).partitionBy("split").text(f"{path}/json")
+        write_records_json(total, f"{path}/json/split={options.total_name}", mode)
     if options.save_jsonl:
         lines = M.conversation_line(F.col("conversation")).alias("value")
-        named.select("split", lines).write.partitionBy("split").text(f"{path}/jsonl")
-        write_conversations_jsonl(total, f"{path}/jsonl/split={options.total_name}")
+        named.select("split", lines).write.mode(mode).partitionBy("split").text(f"{path}/jsonl")
+        write_conversations_jsonl(total, f"{path}/jsonl/split={options.total_name}", mode)

@@ -14,6 +14,7 @@ from dialoom.operators import rewrite as R
 from dialoom.operators.clean import clean, quarantine, require_both_roles
 from dialoom.plans.curate import curate
 from dialoom.plans.preprocess import preprocess
+from dialoom.plans.run import run_directory
 from dialoom.session import new_folder, shared_dir, stage_table
 from dialoom.sources import records as S
 from dialoom.sources import sinks as K
@@ -215,3 +216,36 @@ def test_curate(spark, balance):
 def test_curate_of_nothing(spark):
     done = curate(simple(spark, 1).where("false"), CurateOptions(output=OutputOptions(balance=True)))
     assert done.total.count() == 0 and done.split.count() == 0
+
+
+def test_run_over_a_folder_twice(spark, folder):
+    """Own outputs lie in the folder; a second run reads and writes the same."""
+    options = CurateOptions(output=OutputOptions(test_ratio=0.5))
+    found = []
+    for _ in range(2):
+        run_directory(spark, folder, options, unmodified=["extra.json"])
+        lines = spark.read.text(f"{folder}/curated/jsonl")
+        found.append(sorted((r.split, r.value) for r in lines.collect()))
+    assert found[0] == found[1]
+    total = [v for s, v in found[0] if s == "total"]
+    assert len(total) == 7 and not any("own output" in v for v in total)
+    assert any('"unmodified"' in v for v in total)
+
+
+def test_rewriting_needs_a_generator(spark):
+    with pytest.raises(ValueError, match="generator"):
+        curate(simple(spark, 1), CurateOptions(rewrite=RewriteOptions(enabled=True)))
+
+
+def test_curate_goes_on_after_a_stop(spark):
+    path = new_folder(spark, "rewritten")
+    options = CurateOptions(rewrite=RewriteOptions(enabled=True), rewrite_path=path)
+    first = curate(simple(spark, 4), options, make_generator=make_generator)
+
+    def never():
+        raise AssertionError("all has been generated")
+
+    again = curate(simple(spark, 4), options, make_generator=lambda: lambda prompts: never())
+    assert sorted(map(str, first.total.select("conversation").collect())) == sorted(
+        map(str, again.total.select("conversation").collect())
+    )
