@@ -18,6 +18,7 @@ from dialoom.session import stage_table
 
 _HOT = 64  # rows of one key in one chunk of a task, from which they get a group of their own
 _CHUNK_ROWS = 1 << 19
+_COMMON = 32  # sets of one key, from which the key says little
 _MEMBERS_PER_TASK = 2000
 
 
@@ -28,6 +29,7 @@ class JaccardOptions:
     shingle: int = 5
     percent: int = 80
     spare: int = 2
+    common: int = 6
     band: float = 0.7
 
     @property
@@ -87,16 +89,16 @@ def tiles_of(n: int, o: JaccardOptions) -> list[tuple[int, int]]:
 def signature_keys(s: np.ndarray, o: JaccardOptions) -> np.ndarray:
     """Keys of a set, such that two linked sets of a tile share one at least.
 
-    The hash space is cut into ``most + 1 + spare`` segments.  Every differing element
-    spoils one segment at most, so linked sets agree on ``spare + 1`` segments or more.
-    Empty segments say nothing and are left out, but for a set with more than ``spare`` of
-    them, which any set that agrees on no other segment has as well.
+    The hash space is cut into ``most + 1 + common + spare`` segments.  Every differing
+    element spoils one segment at most, so linked sets agree on ``common + spare + 1``
+    segments or more.  Empty segments say nothing and are left out, but for a set with more
+    than ``spare`` of them.  Either way linked sets share ``common + 1`` keys or more.
     """
     keys = []
     mixed = mix(s)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)))
     for tile, most in tiles_of(len(s), o):
-        m = most + 1 + o.spare
+        m = most + 1 + o.common + o.spare
         bounds = np.arange(m + 1, dtype=np.float64) * (2.0**64 / m)
         inner = bounds[1:-1].astype(np.uint64)
         cuts = np.concatenate(([0], np.searchsorted(s, inner), [len(s)]))
@@ -307,6 +309,37 @@ def _verify(pairs: DataFrame, classes: DataFrame, rows: DataFrame, o: JaccardOpt
     return stage_table(met.mapInPandas(_compare(o), "u bigint, v bigint"), "links")
 
 
+def _informative(shared: DataFrame, o: JaccardOptions) -> DataFrame:
+    """The members of the keys, without those that other keys cover.
+
+    A key of very many sets is most often a common line.  Linked sets share more than
+    ``common`` keys; if one of them has no more than ``common`` keys of many sets, they meet
+    at a key of few sets as well.  So a key of many sets is only needed for the sets that
+    have more such keys: those of large groups of near copies.
+    """
+    many = stage_table(
+        shared.groupBy("root")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > _COMMON)
+        .select("root", F.lit(True).alias("many")),
+        "many",
+    )
+    marked = shared.join(many, "root", "left")
+    heavy = stage_table(
+        marked.filter("many")
+        .groupBy("set_id")
+        .agg(F.count_distinct("root").alias("n"))
+        .filter(F.col("n") > o.common)
+        .select("set_id", F.lit(True).alias("heavy")),
+        "heavy",
+    )
+    return (
+        marked.join(heavy, "set_id", "left")
+        .filter("many is null or heavy")
+        .select("root", "part", "set_id")
+    )
+
+
 def jaccard_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -317,9 +350,10 @@ def jaccard_components(
 
     * Equal sets are one vertex.  A tile is a band of set sizes; in it the signature of a
       set is cut into segments so that linked sets share one (``signature_keys``).
-    * The sets that share a key are a star around its smallest.  The pairs of all stars are
-      made distinct; bit counts bound the intersection from above, and the sets of what
-      passes are intersected exactly.
+    * Keys of many sets are left to the sets that have no others (``_informative``).
+    * The sets that share a key are a star around its smallest, and each set is paired with
+      the smallest of all its stars: one pair a set.  Bit counts bound the intersection from
+      above, and the sets of what passes are intersected exactly.
     * A key whose sets are not all in one component is looked at again: its sets of
       different components are compared, but for pairs tested before.  So every pair that
       shares a key is tested or already connected, and no link is lost.
@@ -351,18 +385,17 @@ def jaccard_components(
         _signatures(o), "root bigint, part bigint, set_id bigint"
     )
     group = Window.partitionBy("root", "part")
-    members = stage_table(
-        signed.withColumns(
-            {"hub": F.min("set_id").over(group), "top": F.max("set_id").over(group)}
-        )
+    least, most = F.min("set_id").over(group), F.max("set_id").over(group)
+    shared = stage_table(
+        signed.withColumns({"hub": least, "top": most})
         .filter("hub <> top")
-        .select("root", "set_id", "hub")
+        .select("root", "part", "set_id")
         .distinct(),
-        "members",
-    )
-    pairs = stage_table(
-        members.filter("set_id <> hub").select("set_id", "hub").distinct(), "pairs"
+        "shared",
     )
+    members = stage_table(_informative(shared, o), "members")
+    stars = members.withColumn("hub", least).filter("set_id <> hub")
+    pairs = stage_table(stars.groupBy("set_id").agg(F.min("hub").alias("hub")), "pairs")
     found = _verify(pairs, classes, rows, o)
     parts = connected_components(found)
     labelled = members.select("root", "set_id").distinct().join(
