@@ -129,33 +129,20 @@ def swap_phrases(
     """
     if not swaps:
         return text
-    table = F.array(
-        *[
-            F.struct(
-                F.lit(phrase).alias("phrase"),
-                _fold_case(F.lit(phrase)).alias("folded"),
-                F.lit("(?iu)" + re.escape(phrase)).alias("pattern"),
-                F.array(*[F.lower(F.lit(a)) for a in alternatives]).alias("alternatives"),
-            )
-            for phrase, alternatives in swaps.items()
-        ]
-    )
 
-    def swapped(old: Column, entry: Column) -> Column:
-        matches = F.regexp_extract_all(old, entry["pattern"], F.lit(0))
+    def swapped(old: Column, phrase: str, alternatives: Sequence[str]) -> Column:
+        # a constant pattern is compiled once, and not at each text that holds the phrase
+        pattern = F.lit("(?iu)" + re.escape(phrase))
+        choices = F.array(*[F.lower(F.lit(a)) for a in alternatives])
+        number = F.lit(len(alternatives))
         chosen = F.transform(
-            matches,
+            F.regexp_extract_all(old, pattern, F.lit(0)),
             lambda match, k: match_capitalization(
                 match,
-                F.get(
-                    entry["alternatives"],
-                    hash_choice(
-                        F.size(entry["alternatives"]), seed, *identity, entry["phrase"], k
-                    ).cast("int"),
-                ),
+                F.get(choices, hash_choice(number, seed, *identity, F.lit(phrase), k).cast("int")),
             ),
         )
-        between = F.split(old, entry["pattern"], F.lit(-1))
+        between = F.split(old, pattern, F.lit(-1))
         return F.array_join(
             F.zip_with(
                 between, chosen, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))
@@ -163,20 +150,23 @@ def swap_phrases(
             "",
         )
 
+    def step(state: Column, phrase: str, alternatives: Sequence[str]) -> Column:
+        return let(
+            state,
+            lambda acc: F.when(
+                F.contains(acc["folded"], _fold_case(F.lit(phrase))),
+                let(
+                    swapped(acc["text"], phrase, alternatives),
+                    lambda new: F.struct(new.alias("text"), _fold_case(new).alias("folded")),
+                ),
+            ).otherwise(acc),
+        )
+
     # the folded text rides along, so that it is computed again only after a hit
-    start = F.struct(text.alias("text"), _fold_case(text).alias("folded"))
-    done = F.aggregate(
-        table,
-        start,
-        lambda acc, entry: F.when(
-            F.contains(acc["folded"], entry["folded"]),
-            let(
-                swapped(acc["text"], entry),
-                lambda new: F.struct(new.alias("text"), _fold_case(new).alias("folded")),
-            ),
-        ).otherwise(acc),
-    )
-    return done["text"]
+    state = F.struct(text.alias("text"), _fold_case(text).alias("folded"))
+    for phrase, alternatives in swaps.items():
+        state = step(state, phrase, alternatives)
+    return state["text"]
 
 
 def truncate_tokens(text: Column, max_tokens: int) -> Column:
