@@ -18,6 +18,7 @@ from dialoom.session import stage_table
 
 _HOT = 64  # rows of one key in one chunk of a task, from which they get a group of their own
 _CHUNK_ROWS = 1 << 19
+_CORE_ROUNDS = 2
 _COMMON = 32  # sets of one key, from which the key says little
 _MEMBERS_PER_TASK = 2000
 
@@ -309,6 +310,28 @@ def _verify(pairs: DataFrame, classes: DataFrame, rows: DataFrame, o: JaccardOpt
     return stage_table(met.mapInPandas(_compare(o), "u bigint, v bigint"), "links")
 
 
+def _core(shared: DataFrame, o: JaccardOptions) -> DataFrame:
+    """``shared`` without the sets that cannot link: linked sets share more than ``common``
+    keys, so a set that shares fewer with all others together has no link.  What such sets
+    leave behind as keys of one set goes too, and the test is made again."""
+    for number in range(_CORE_ROUNDS):
+        strong = (
+            shared.groupBy("set_id")
+            .agg(F.count_distinct("root").alias("n"))
+            .filter(F.col("n") > o.common)
+            .select("set_id")
+        )
+        left = shared.join(strong, "set_id")
+        met = (
+            left.groupBy("root")
+            .agg((F.min("set_id") < F.max("set_id")).alias("met"))
+            .filter("met")
+            .select("root")
+        )
+        shared = stage_table(left.join(met, "root").select("root", "part", "set_id"), f"core{number}")
+    return shared
+
+
 def _informative(shared: DataFrame, o: JaccardOptions) -> DataFrame:
     """The members of the keys, without those that other keys cover.
 
@@ -350,6 +373,7 @@ def jaccard_components(
 
     * Equal sets are one vertex.  A tile is a band of set sizes; in it the signature of a
       set is cut into segments so that linked sets share one (``signature_keys``).
+    * Sets that share few keys with all others together have no link (``_core``).
     * Keys of many sets are left to the sets that have no others (``_informative``).
     * The sets that share a key are a star around its smallest, and each set is paired with
       the smallest of all its stars: one pair a set.  Bit counts bound the intersection from
@@ -393,7 +417,7 @@ def jaccard_components(
         .distinct(),
         "shared",
     )
-    members = stage_table(_informative(shared, o), "members")
+    members = stage_table(_informative(_core(shared, o), o), "members")
     stars = members.withColumn("hub", least).filter("set_id <> hub")
     pairs = stage_table(stars.groupBy("set_id").agg(F.min("hub").alias("hub")), "pairs")
     found = _verify(pairs, classes, rows, o)
