@@ -19,6 +19,7 @@ from dialoom.session import stage_table
 _HOT = 64  # rows of one key in one chunk of a task, from which they get a group of their own
 _CHUNK_ROWS = 1 << 19
 _CORE_ROUNDS = 2
+_HUBS = 4  # stars that a set is tested at before components are looked at
 _COMMON = 32  # sets of one key, from which the key says little
 _MEMBERS_PER_TASK = 2000
 
@@ -376,7 +377,7 @@ def jaccard_components(
     * Sets that share few keys with all others together have no link (``_core``).
     * Keys of many sets are left to the sets that have no others (``_informative``).
     * The sets that share a key are a star around its smallest, and each set is paired with
-      the smallest of all its stars: one pair a set.  Bit counts bound the intersection from
+      the smallest of its stars, a few pairs a set.  Bit counts bound the intersection from
       above, and the sets of what passes are intersected exactly.
     * A key whose sets are not all in one component is looked at again: its sets of
       different components are compared, but for pairs tested before.  So every pair that
@@ -419,7 +420,11 @@ def jaccard_components(
     )
     members = stage_table(_informative(_core(shared, o), o), "members")
     stars = members.withColumn("hub", least).filter("set_id <> hub")
-    pairs = stage_table(stars.groupBy("set_id").agg(F.min("hub").alias("hub")), "pairs")
+    nearest = F.slice(F.array_sort(F.collect_set("hub")), 1, _HUBS)  # of one hub a key
+    pairs = stage_table(
+        stars.groupBy("set_id").agg(nearest.alias("hubs")).select("set_id", F.explode("hubs").alias("hub")),
+        "pairs",
+    )
     found = _verify(pairs, classes, rows, o)
     parts = connected_components(found)
     labelled = members.select("root", "set_id").distinct().join(
