@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialoom.llm.common import narrow
@@ -19,6 +19,7 @@ from dialoom.session import stage_table
 _HOT = 64  # rows of one key in one chunk of a task, from which they get a group of their own
 _CHUNK_ROWS = 1 << 19
 _CORE_ROUNDS = 2
+_SKETCH_BITS = 512
 _HUBS = 4  # stars that a set is tested at before components are looked at
 _COMMON = 32  # sets of one key, from which the key says little
 _MEMBERS_PER_TASK = 2000
@@ -151,12 +152,16 @@ def _identities(o: JaccardOptions):
         for batch in batches:
             n = np.zeros(len(batch), np.int64)
             one, two = n.copy(), n.copy()
-            bits = np.empty(len(batch), dtype=object)
+            bits, sketch = np.empty(len(batch), dtype=object), np.empty(len(batch), dtype=object)
             for row, s in shingle_sets(batch["text"], o):
                 n[row], bits[row] = len(s), bitmap(s).tobytes()
+                sketch[row] = bitmap(s, _SKETCH_BITS).view(np.int64).tolist()
                 one[row], two[row] = set_identity(s)
             yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "n": n, "set_id": one, "check": two, "bits": bits}
+                {
+                    "doc_id": batch["doc_id"], "n": n, "set_id": one, "check": two,
+                    "bits": bits, "sketch": sketch,
+                }
             )
 
     return run
@@ -311,6 +316,19 @@ def _verify(pairs: DataFrame, classes: DataFrame, rows: DataFrame, o: JaccardOpt
     return stage_table(met.mapInPandas(_compare(o), "u bigint, v bigint"), "links")
 
 
+def _sketches_allow(percent: int) -> Column:
+    """The bound of ``may_link`` on two bitmaps of one fixed width, inside a join: a pair
+    that it rules out is not made."""
+
+    def only(x: str, y: str) -> Column:
+        missing = F.zip_with(x, y, lambda i, j: F.bit_count(i.bitwiseAND(F.bitwise_not(j))))
+        return F.aggregate(missing, F.lit(0), lambda total, k: total + k)
+
+    most = F.least(F.col("na") - only("sa", "sb"), F.col("nb") - only("sb", "sa"))
+    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    return near & (most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
+
+
 def _core(shared: DataFrame, o: JaccardOptions) -> DataFrame:
     """``shared`` without the sets that cannot link: linked sets share more than ``common``
     keys, so a set that shares fewer with all others together has no link.  What such sets
@@ -392,7 +410,7 @@ def jaccard_components(
     rows = narrow(docs, doc_id=id_col, text=text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
     sets = stage_table(
-        rows.mapInPandas(_identities(o), f"doc_id {kind}, n bigint, set_id bigint, check bigint, bits binary"),
+        rows.mapInPandas(_identities(o), f"doc_id {kind}, n bigint, set_id bigint, check bigint, bits binary, sketch array<bigint>"),
         "sets",
     )
     usable = sets.filter(F.col("n") > 0).filter(F.col("doc_id").isNotNull())
@@ -401,11 +419,12 @@ def jaccard_components(
         (F.min("check") == F.max("check")).alias("one_set"),
         F.first("n").alias("n"),
         F.first("bits").alias("bits"),
+        F.first("sketch").alias("sketch"),
     )
     same = F.when(F.col("one_set"), F.col("first_id")).otherwise(
         F.raise_error(F.lit("two sets with one identity")).cast(kind)
     )
-    classes = stage_table(grouped.select("set_id", same.alias("first_id"), "n", "bits"), "classes")
+    classes = stage_table(grouped.select("set_id", same.alias("first_id"), "n", "bits", "sketch"), "classes")
     signed = rows.filter(F.col("doc_id").isNotNull()).mapInPandas(
         _signatures(o), "root bigint, part bigint, set_id bigint"
     )
@@ -437,12 +456,16 @@ def jaccard_components(
         .filter("mixed")
         .select("root")
     )
-    open_rows = labelled.join(mixed, "root")
-    left = open_rows.select("root", F.col("set_id").alias("a"), F.col("component").alias("ca"))
-    right = open_rows.select("root", F.col("set_id").alias("b"), F.col("component").alias("cb"))
+    open_rows = labelled.join(mixed, "root").join(classes.select("set_id", "n", "sketch"), "set_id")
+
+    def side(x: str) -> DataFrame:
+        names = {"set_id": x, "component": f"c{x}", "n": f"n{x}", "sketch": f"s{x}"}
+        return open_rows.select("root", *[F.col(k).alias(v) for k, v in names.items()])
+
     crossed = (
-        left.join(right, "root")
-        .filter("ca < cb")
+        side("a")
+        .join(side("b"), "root")
+        .filter(F.expr("ca < cb") & _sketches_allow(o.percent))
         .select(F.greatest("a", "b").alias("set_id"), F.least("a", "b").alias("hub"))
         .distinct()
         .join(pairs, ["set_id", "hub"], "left_anti")
@@ -457,7 +480,7 @@ def jaccard_components(
     )
     names = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_set = stage_table(named.join(names, "component").select("set_id", "component_id"), "names")
-    joined = sets.drop("bits").join(by_set, "set_id", "left")
+    joined = sets.drop("bits", "sketch").join(by_set, "set_id", "left")
     linked = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id"))
     return joined.select(
         "doc_id",
