@@ -19,51 +19,90 @@ UNITS = (
 ).split()
 
 _NAME = "\u0001"
+_JOIN = "\u0002"  # between the words of one slot
 _FLAGS = 1 << 17  # size of the table of window flags: the bound of what is shipped
+_W = r"\x20\x09-\x0D"
+#: How capitalised words are read: as names inside a sentence only, or everywhere, with
+#: the words of one name, or a number and its unit, in one slot.
+INSIDE, EVERYWHERE = 0, 1
 
 
-def _marked(text: Column) -> Column:
+def _marked(text: Column, reading: int) -> Column:
     """Lower-cased words without punctuation; a name keeps a mark in front.
 
-    A name is a capitalised word that does not follow the end of a sentence.
+    A name is a capitalised word, for ``INSIDE`` one that does not follow the end of a
+    sentence.
     """
-    name = r"(?<=[^.!?:;\x20\x09-\x0D][\x20\x09-\x0D])(?=[\"'(]?\p{Lu}\p{Ll})"
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), name, _NAME)
-    plain = F.regexp_replace(marked, r"[^\p{L}\p{M}\p{N}\x01\x20\x09-\x0D]+", "")
-    return F.lower(plain)
-
-
-def _template(marked: Column) -> Column:
+    after = rf"(?<=[^.!?:;{_W}][{_W}])" if reading == INSIDE else rf"(?<![^{_W}])"
+    marked = F.regexp_replace(
+        F.coalesce(text, F.lit("")), after + r"(?=[\"'(]?\p{Lu}\p{Ll})", _NAME
+    )
+    if reading == EVERYWHERE:
+        run = rf"(\x01[^{_W}]*[\p{{L}}\p{{M}}\p{{N}}])[{_W}]+(?=\x01[\p{{L}}])"
+        marked = F.regexp_replace(marked, run, f"$1{_JOIN}")
+    plain = F.lower(F.regexp_replace(marked, rf"[^\p{{L}}\p{{M}}\p{{N}}\x01\x02{_W}]+", ""))
+    if reading == INSIDE:
+        return plain
+    # "in" before a number or a name is no inch
+    unit = rf"(?:in(?![{_W}]+[\p{{N}}\x01])|{'|'.join(u for u in UNITS if u != 'in')})(?![^{_W}])"
+    number = rf"(?<![^{_W}])(\p{{N}}++)"
+    glued = F.regexp_replace(plain, rf"{number}[{_W}]+({unit})", "$1$2")
+    run = rf"{number}((?:{'|'.join(UNITS)}))[{_W}]+(?=\p{{N}}++(?:{'|'.join(UNITS)})(?![^{_W}]))"
+    return F.regexp_replace(glued, run, f"$1$2{_JOIN}")
+
+
+def _template(marked: Column, reading: int) -> Column:
     """The same words with numbers, names and units replaced by their type."""
     named = F.regexp_replace(marked, r"\x01[^\x20\x09-\x0D]*", "<name>")
     numbered = F.regexp_replace(
         named, r"(?:^|(?<=[\x20\x09-\x0D]))\p{N}[^\x20\x09-\x0D]*", "<num>"
     )
+    if reading == EVERYWHERE:
+        return numbered
     unit = rf"(?<=<num>[\x20\x09-\x0D])(?:{'|'.join(UNITS)})(?![^\x20\x09-\x0D])"
     return F.regexp_replace(numbered, unit, "<unit>")
 
 
 def _windows(rows: DataFrame, width: int, keep: Column | None = None) -> DataFrame:
-    """``(..., pos, h)``: one row per window of the template, of those ``keep`` allows."""
-    clean = rows.withColumn("marked", _marked(F.col("text"))).drop("text")
+    """``(..., reading, n_tokens, pos, h)``: one row per window of either template, of those
+    ``keep`` allows."""
+    readings = (INSIDE, EVERYWHERE)
+    clean = rows.select(
+        "*", *[_marked(F.col("text"), r).alias(f"marked{r}") for r in readings]
+    ).drop("text")
     split = clean.select(
-        *[c for c in clean.columns if c != "marked"],
-        F.array_remove(F.split("marked", SPACE), "").alias("raw"),
-        F.array_remove(F.split(_template(F.col("marked")), SPACE), "").alias("tpl"),
-    )
-    starts = F.when(
-        F.size("tpl") >= width, F.sequence(F.lit(1), F.size("tpl") - (width - 1))
-    ).otherwise(F.array().cast("array<int>"))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice("tpl", i, width)))
-    found = F.transform(hashes, lambda h, i: F.struct((i + 1).alias("pos"), h.alias("h")))
-    if keep is not None:
-        found = F.filter(found, lambda w: _flag_set(keep, w["h"]))
-    return split.withColumn("w", F.explode(found)).select(
         *rows.drop("text").columns,
+        *[F.array_remove(F.split(f"marked{r}", SPACE), "").alias(f"raw{r}") for r in readings],
+        *[
+            F.array_remove(F.split(_template(F.col(f"marked{r}"), r), SPACE), "").alias(f"tpl{r}")
+            for r in readings
+        ],
+    )
+
+    def found(r: int) -> Column:
+        tpl = f"tpl{r}"
+        starts = F.when(
+            F.size(tpl) >= width, F.sequence(F.lit(1), F.size(tpl) - (width - 1))
+        ).otherwise(F.array().cast("array<int>"))
+        hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(tpl, i, width)))
+        windows = F.transform(
+            hashes, lambda h, i: F.struct(F.lit(r).alias("reading"), (i + 1).alias("pos"), h.alias("h"))
+        )
+        return windows if keep is None else F.filter(windows, lambda w: _flag_set(keep, w["h"]))
+
+    def of(name: str) -> Column:
+        return F.when(F.col("w.reading") == INSIDE, F.col(f"{name}{INSIDE}")).otherwise(
+            F.col(f"{name}{EVERYWHERE}")
+        )
+
+    return split.withColumn("w", F.explode(F.concat(*[found(r) for r in readings]))).select(
+        *rows.drop("text").columns,
+        "w.reading",
+        F.size(of("tpl")).alias("n_tokens"),
         F.col("w.pos").alias("pos"),
         F.col("w.h").alias("h"),
-        F.slice("raw", F.col("w.pos"), width).alias("raw"),
-        F.slice("tpl", F.col("w.pos"), width).alias("tpl"),
+        F.slice(of("raw"), F.col("w.pos"), width).alias("raw"),
+        F.slice(of("tpl"), F.col("w.pos"), width).alias("tpl"),
     )
 
 
@@ -85,9 +124,11 @@ def contaminated(
     """Documents that hold a benchmark item, also with other numbers, names or units.
 
     Returns ``doc_id, item_id, n_windows, n_item_windows, n_slots, n_changed``, one row per
-    pair.  A template window is ``width`` words with typed placeholders.  A document and an
-    item match along a diagonal (document position minus item position).  The pair is
-    reported if on one diagonal
+    pair.  A template window is ``width`` words with typed placeholders.  Texts are read
+    twice: with capitalised words as names inside sentences only, and with every capitalised
+    word as a name, where the words of a name, and a number with its unit, are one slot.
+    A document and an item match along a diagonal of one reading (document position minus
+    item position).  The pair is reported if on one diagonal
 
     * the windows cover ``min_words`` words, or the whole item if that is shorter, and
     * the slots are consistent: along the diagonal each value of the item stands for one
@@ -104,19 +145,26 @@ def contaminated(
     bench = stage_table(
         _windows(items, width).filter(F.size(plain) > 0), "bench"
     )
-    sizes = bench.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_item_windows"))
+    sizes = bench.groupBy("item_id", "reading").agg(
+        F.count_distinct("pos").alias("n_item_windows")
+    )
     at = bench.select(F.pmod("h", F.lit(_FLAGS)).cast("int").alias("at")).distinct()
     table = bytearray(_FLAGS)
     for row in at.toLocalIterator():  # at most _FLAGS numbers
         table[row["at"]] = 1
     windows = _windows(narrow(docs, doc_id=id_col, text=text_col), width, F.lit(table))
     left = windows.select(
-        "doc_id", F.col("pos").alias("doc_pos"), "h", "tpl", F.col("raw").alias("doc_raw")
+        "doc_id", "reading", F.col("pos").alias("doc_pos"), "h", "tpl", F.col("raw").alias("doc_raw")
     )
-    right = bench.select("item_id", F.col("pos").alias("item_pos"), "h", "tpl", "raw")
-    hits = left.join(right, ["h", "tpl"]).select(
+    right = bench.select(
+        "item_id", "reading", "n_tokens", F.col("pos").alias("item_pos"), "h", "tpl", "raw"
+    )
+    # a name at either end of the item may have run together with its neighbours
+    at_end = lambda s: (s["at"] == 1) | (s["at"] == F.col("n_tokens"))
+    hits = left.join(right, ["reading", "h", "tpl"]).select(
         "doc_id",
         "item_id",
+        "reading",
         (F.col("doc_pos") - F.col("item_pos")).alias("diagonal"),
         "item_pos",
         F.filter(
@@ -129,11 +177,12 @@ def contaminated(
                     s["doc_raw"].alias("doc_value"),
                 ),
             ),
-            lambda s: s["type"].startswith("<"),
+            lambda s: s["type"].startswith("<")
+            & ~(at_end(s) & F.contains(s["doc_value"], F.lit(_JOIN)) & (s["item_value"] != s["doc_value"])),
         ).alias("slots"),
     )
     hits = stage_table(hits, "hits")
-    key = ["doc_id", "item_id", "diagonal"]
+    key = ["doc_id", "item_id", "reading", "diagonal"]
     covered = hits.groupBy(*key).agg(F.count_distinct("item_pos").alias("n_windows"))
     slots = hits.select(*key, F.explode("slots").alias("s")).select(*key, "s.*").distinct()
     pairs = slots.groupBy(*key, "type", "item_value").agg(
@@ -161,12 +210,21 @@ def contaminated(
     needed = F.least(F.lit(min_words - width + 1), F.col("n_item_windows"))
     good = (
         covered.join(renamed, same, "left")
-        .join(sizes.withColumnRenamed("item_id", "s_item"), F.col("item_id").eqNullSafe(F.col("s_item")))
+        .join(
+            sizes.select(F.col("item_id").alias("s_item"), F.col("reading").alias("s_reading"), "n_item_windows"),
+            F.col("item_id").eqNullSafe(F.col("s_item")) & (F.col("reading") == F.col("s_reading")),
+        )
         .filter((F.col("n_windows") >= needed) & (F.coalesce(F.col("worst"), F.lit(1)) <= 1))
     )
-    return good.groupBy("doc_id", "item_id").agg(
-        F.max("n_windows").alias("n_windows"),
-        F.first("n_item_windows").alias("n_item_windows"),
-        F.max(F.coalesce("n_slots", F.lit(0))).alias("n_slots"),
-        F.max(F.coalesce("n_changed", F.lit(0))).alias("n_changed"),
+    best = F.max(
+        F.struct(
+            "n_windows",
+            (-F.col("reading")).alias("order"),
+            "n_item_windows",
+            F.coalesce("n_slots", F.lit(0)).alias("n_slots"),
+            F.coalesce("n_changed", F.lit(0)).alias("n_changed"),
+        )
+    )
+    return good.groupBy("doc_id", "item_id").agg(best.alias("best")).select(
+        "doc_id", "item_id", *[f"best.{c}" for c in ("n_windows", "n_item_windows", "n_slots", "n_changed")]
     )

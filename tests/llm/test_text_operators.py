@@ -340,6 +340,28 @@ def test_decontamination_finds_verbatim_passages(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == want
 
 
+def found_pairs(spark, docs, items, **options):
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    got = decontaminate.contaminated(df, bench, **options)
+    return {(r.doc_id, r.item_id) for r in got.collect()}
+
+
+def test_decontamination_of_short_sentences_and_slots_of_other_lengths(spark):
+    item = "Anna has 3 apples. Ben has 5. Anna gives Ben 2 apples. How many apples does Anna have now?"
+    docs = [
+        "Carol has 4 apples. Dan has 7. Carol gives Dan 1 apples. How many apples does Carol have now?",
+        "Mary Ann has 4 apples. Dan has 7. Mary Ann gives Dan 1 apples. How many apples does Mary Ann have now?",
+        "Question\n" + item,
+        # Carol becomes Eve: no consistent replacement
+        "Carol has 4 apples. Dan has 7. Eve gives Dan 1 apples. How many apples does Carol have now?",
+    ]
+    assert found_pairs(spark, docs, [item]) == {(0, 0), (1, 0), (2, 0)}
+    item = "The old car drives 5 km in 2 hours and then stops for a while near the big lake"
+    docs = ["The old car drives 8km in 30 minutes and then stops for a while near the big lake"]
+    assert found_pairs(spark, docs, [item]) == {(0, 0)}
+
+
 # --- language identification
 
 
