@@ -39,7 +39,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    lost = contaminated(docs, benchmark).select("doc_id").distinct()
+    lost = contaminated(docs, benchmark, short_items=True).select("doc_id").distinct()
     return keep_rows(docs, lost, "doc_id", "left_anti")
 
 

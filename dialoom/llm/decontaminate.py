@@ -63,9 +63,11 @@ def _template(marked: Column, reading: int) -> Column:
     return F.regexp_replace(numbered, unit, "<unit>")
 
 
-def _windows(rows: DataFrame, width: int, keep: Column | None = None) -> DataFrame:
+def _windows(
+    rows: DataFrame, width: int, short: list[int], keep: Column | None = None
+) -> DataFrame:
     """``(..., reading, n_tokens, pos, h)``: one row per window of either template, of those
-    ``keep`` allows."""
+    ``keep`` allows.  Windows of the widths ``short`` are made of the first reading."""
     readings = (INSIDE, EVERYWHERE)
     clean = rows.select(
         "*", *[_marked(F.col("text"), r).alias(f"marked{r}") for r in readings]
@@ -79,14 +81,17 @@ def _windows(rows: DataFrame, width: int, keep: Column | None = None) -> DataFra
         ],
     )
 
-    def found(r: int) -> Column:
+    def found(r: int, n: int) -> Column:
         tpl = f"tpl{r}"
         starts = F.when(
-            F.size(tpl) >= width, F.sequence(F.lit(1), F.size(tpl) - (width - 1))
+            F.size(tpl) >= n, F.sequence(F.lit(1), F.size(tpl) - (n - 1))
         ).otherwise(F.array().cast("array<int>"))
-        hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(tpl, i, width)))
+        hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(tpl, i, n)))
         windows = F.transform(
-            hashes, lambda h, i: F.struct(F.lit(r).alias("reading"), (i + 1).alias("pos"), h.alias("h"))
+            hashes,
+            lambda h, i: F.struct(
+                F.lit(r).alias("reading"), F.lit(n).alias("n"), (i + 1).alias("pos"), h.alias("h")
+            ),
         )
         return windows if keep is None else F.filter(windows, lambda w: _flag_set(keep, w["h"]))
 
@@ -95,14 +100,37 @@ def _windows(rows: DataFrame, width: int, keep: Column | None = None) -> DataFra
             F.col(f"{name}{EVERYWHERE}")
         )
 
-    return split.withColumn("w", F.explode(F.concat(*[found(r) for r in readings]))).select(
+    made = [found(r, width) for r in readings] + [found(INSIDE, n) for n in short]
+    return split.withColumn("w", F.explode(F.concat(*made))).select(
         *rows.drop("text").columns,
         "w.reading",
         F.size(of("tpl")).alias("n_tokens"),
         F.col("w.pos").alias("pos"),
         F.col("w.h").alias("h"),
-        F.slice(of("raw"), F.col("w.pos"), width).alias("raw"),
-        F.slice(of("tpl"), F.col("w.pos"), width).alias("tpl"),
+        F.slice(of("raw"), F.col("w.pos"), F.col("w.n")).alias("raw"),
+        F.slice(of("tpl"), F.col("w.pos"), F.col("w.n")).alias("tpl"),
+    )
+
+
+def _first_word_either_way(windows: DataFrame) -> DataFrame:
+    """The windows, and those at the start of an item with its first word read the other
+    way: whether it is marked depends on what stands before it."""
+    word, rest = F.col("raw")[0], lambda c: F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0)))
+    named = F.col("tpl")[0] == "<name>"
+    other = (
+        windows.filter(
+            (F.col("pos") == 1)
+            & (named | ~F.col("tpl")[0].startswith("<"))
+            & ~F.contains(word, F.lit(_JOIN))
+        )
+        .withColumn("first", F.when(named, F.substring(word, 2, 1 << 30)).otherwise(F.concat(F.lit(_NAME), word)))
+        .withColumn("tpl", F.concat(F.array(F.when(named, F.col("first")).otherwise(F.lit("<name>"))), rest("tpl")))
+        .withColumn("raw", F.concat(F.array("first"), rest("raw")))
+        .withColumn("h", F.xxhash64("tpl"))
+        .drop("first")
+    )
+    return windows.withColumn("turned", F.lit(False)).unionByName(
+        other.withColumn("turned", F.lit(True))
     )
 
 
@@ -120,6 +148,7 @@ def contaminated(
     item_text_col: str = "text",
     width: int = 8,
     min_words: int = 13,
+    short_items: bool = False,
 ) -> DataFrame:
     """Documents that hold a benchmark item, also with other numbers, names or units.
 
@@ -134,17 +163,27 @@ def contaminated(
     * the slots are consistent: along the diagonal each value of the item stands for one
       value in the document, and the other way round.
 
-    Windows made of slots only carry no words of the item, and are left out.  Items shorter
-    than a window, null and empty texts match nothing.  The windows of the benchmark are
+    Windows made of slots only carry no words of the item, and are left out.  The first word
+    of an item matches itself whether it is read as a name or not.  Null and empty texts
+    match nothing, nor do items shorter than a window; with ``short_items`` these have one
+    window of their whole length, in the first reading.  The windows of the benchmark are
     written once and joined by hash and compared as words.  Before the join a document's
     windows are held against a table of 131,072 flags (its size never grows), so those that
     cannot match are not shuffled; a benchmark of any size gives the same result.
     """
     items = narrow(benchmark, item_id=item_col, text=item_text_col)
     plain = F.filter("tpl", lambda t: ~t.startswith("<"))
+    made = _windows(items, width, [])
+    if short_items:
+        whole = _windows(items, width, list(range(1, width))).filter(
+            (F.size("tpl") < width) & (F.size("tpl") == F.col("n_tokens"))
+        )
+        made = made.unionByName(whole)
     bench = stage_table(
-        _windows(items, width).filter(F.size(plain) > 0), "bench"
+        _first_word_either_way(made.filter(F.size(plain) > 0)).filter(F.size(plain) > 0), "bench"
     )
+    widths = bench.select(F.size("tpl").alias("n")).distinct().collect()  # width at most
+    short = sorted(r["n"] for r in widths if r["n"] < width)
     sizes = bench.groupBy("item_id", "reading").agg(
         F.count_distinct("pos").alias("n_item_windows")
     )
@@ -152,16 +191,20 @@ def contaminated(
     table = bytearray(_FLAGS)
     for row in at.toLocalIterator():  # at most _FLAGS numbers
         table[row["at"]] = 1
-    windows = _windows(narrow(docs, doc_id=id_col, text=text_col), width, F.lit(table))
+    windows = _windows(narrow(docs, doc_id=id_col, text=text_col), width, short, F.lit(table))
     left = windows.select(
         "doc_id", "reading", F.col("pos").alias("doc_pos"), "h", "tpl", F.col("raw").alias("doc_raw")
     )
     right = bench.select(
-        "item_id", "reading", "n_tokens", F.col("pos").alias("item_pos"), "h", "tpl", "raw"
+        "item_id", "reading", "n_tokens", F.col("pos").alias("item_pos"), "h", "tpl", "raw", "turned"
+    )
+    # a word that is a name for its place only stands for itself
+    itself = (F.col("doc_raw")[0] == F.col("raw")[0]) | F.endswith(
+        F.col("doc_raw")[0], F.concat(F.lit(_JOIN + _NAME), F.substring(F.col("raw")[0], 2, 1 << 30))
     )
     # a name at either end of the item may have run together with its neighbours
     at_end = lambda s: (s["at"] == 1) | (s["at"] == F.col("n_tokens"))
-    hits = left.join(right, ["reading", "h", "tpl"]).select(
+    hits = left.join(right, ["reading", "h", "tpl"]).filter(~F.col("turned") | itself).select(
         "doc_id",
         "item_id",
         "reading",

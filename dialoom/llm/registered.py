@@ -100,7 +100,7 @@ def op5_mix_sources(spark, sf_dir):
 @_query("op6_decontaminate")
 def op6_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(
-        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), short_items=True
     )
 
 

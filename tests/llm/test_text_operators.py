@@ -362,6 +362,20 @@ def test_decontamination_of_short_sentences_and_slots_of_other_lengths(spark):
     assert found_pairs(spark, docs, [item]) == {(0, 0)}
 
 
+def test_decontamination_of_short_items(spark):
+    items = ["What is the capital of the old northern country called?", "Who wrote the long book?", "42"]
+    docs = [
+        "Question " + items[0] + " Answer",
+        "Heading\n" + items[0],
+        "Quiz: so what is the capital of the old northern country called then",
+        "Question " + items[1] + " Answer",
+        "so who wrote the long book",
+        "Anna wrote the long book 42",
+    ]
+    want = {(0, 0), (1, 0), (2, 0), (3, 1), (4, 1)}
+    assert found_pairs(spark, docs, items, short_items=True) == want
+
+
 # --- language identification
 
 
