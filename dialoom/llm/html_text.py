@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -32,6 +32,8 @@ BOILER_NAMES = frozenset(
     "social sponsor sponsored subscribe toolbar widget widgets".split()
 )
 CONTENT_NAMES = frozenset("article body content entry main post story text".split())
+#: Start tags that may stand in a head; any other block or text element ends it.
+HEAD_TAGS = frozenset("html head title style script noscript template object base link meta".split())
 #: Names that reach into an article as well.
 _INNER = BOILER_NAMES - {"header"}
 _SPACE = re.compile(r"\s+")
@@ -72,6 +74,8 @@ class _Blocks(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
         self.stack: list[tuple[str, int, bool, bool, bool, bool]] = []
+        self.paths: list[list[tuple[str, int, bool, bool, bool, bool]]] = []
+        self.shapes: list[tuple[str, int]] = []
         self.number = 0
         self.text: list[str] = []
         self.linked = 0
@@ -80,18 +84,46 @@ class _Blocks(HTMLParser):
     def _flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            self.blocks.append(self._block(text))
+            self.paths.append(list(self.stack))
+            self.shapes.append((text, self.linked))
         self.text, self.linked = [], 0
 
-    def _block(self, text: str) -> Block:
-        tags = {e[0] for e in self.stack}
-        content_tag = any(e[0] in CONTENT_TAGS for e in self.stack)
+    def finish(self) -> list[Block]:
+        """The blocks, once it is known how much of the page each element holds.
+
+        Names of ``html``, ``body`` and of an element that holds most of the text are about
+        the page, not about what is in it.  An element inside ``article`` or ``main``, or
+        beside one, is not such an element, however much it holds.
+        """
+        self._flush()
+        held: Counter[int] = Counter()
+        landmarks: Counter[int] = Counter()
+        rows = list(zip(self.paths, self.shapes, strict=True))
+        for path, (text, _) in rows:
+            first = next((k for k, e in enumerate(path) if e[0] in CONTENT_TAGS), None)
+            for k, e in enumerate(path):
+                held[e[1]] += len(text)
+                landmarks[e[1]] += len(text) if first is not None and k <= first else 0
+            landmarks[0] += len(text) if first is not None else 0
+        half = sum(len(text) for _, (text, _) in rows) / 2
+        for path, (text, linked) in rows:
+            named = [
+                e for e in path
+                if e[0] not in ("html", "body")
+                and (held[e[1]] <= half or landmarks[e[1]] < landmarks[0])
+            ]
+            self.blocks.append(self._block(text, linked, path, named))
+        return self.blocks
+
+    def _block(self, text: str, linked: int, stack: list, named: list) -> Block:
+        tags = {e[0] for e in stack}
+        content_tag = any(e[0] in CONTENT_TAGS for e in stack)
         boiler_tag = bool(tags & BOILER_TAGS) or ("header" in tags and not content_tag)
-        boiler_name = any(e[2] for e in self.stack) if content_tag else any(
-            e[2] or e[3] for e in self.stack
+        boiler_name = any(e[2] for e in named) if content_tag else any(
+            e[2] or e[3] for e in named
         )
-        content_name = any(e[4] for e in self.stack)
-        inner = next((e for e in reversed(self.stack) if e[0] not in VOID_TAGS), None)
+        content_name = any(e[4] for e in stack if e[0] not in ("html", "body"))
+        inner = next((e for e in reversed(stack) if e[0] not in VOID_TAGS), None)
         tag = inner[0] if inner else ""
         words = text.split(" ")
         values = np.array(
@@ -101,7 +133,7 @@ class _Blocks(HTMLParser):
                 boiler_name,
                 content_tag,
                 content_name,
-                min(1.0, self.linked / max(1, len(text))),
+                min(1.0, linked / max(1, len(text))),
                 np.log1p(len(words)) / 2,
                 min(1.0, sum(text.count(c) for c in ".!?;:,") / len(words) * 4),
                 tag in ("h1", "h2", "h3", "h4", "h5", "h6"),
@@ -114,6 +146,8 @@ class _Blocks(HTMLParser):
         return Block(text, inner[1] if inner else -1, values, label)
 
     def handle_starttag(self, tag, attrs):
+        if tag not in HEAD_TAGS:
+            self._close_head()
         if tag == "a":
             self.links += 1
         if tag not in BLOCK_TAGS and tag not in SILENT_TAGS:
@@ -137,6 +171,13 @@ class _Blocks(HTMLParser):
              bool(names & CONTENT_NAMES), tag in SILENT_TAGS)
         )
 
+    def _close_head(self) -> None:
+        """Ends an open head whose end tag was left out; one inside a silent element of the
+        head, such as ``noscript``, is still there."""
+        if self.stack and self.stack[-1][0] == "head":
+            self._flush()
+            self.stack.pop()
+
     def handle_endtag(self, tag):
         if tag == "a":
             self.links = max(0, self.links - 1)
@@ -149,6 +190,8 @@ class _Blocks(HTMLParser):
                 break
 
     def handle_data(self, data):
+        if data.strip():
+            self._close_head()
         if not any(e[5] for e in self.stack):
             self.text.append(data)
             if self.links:
@@ -162,8 +205,7 @@ def page_blocks(html: str | None) -> list[Block]:
     parser = _Blocks()
     parser.feed(html)
     parser.close()
-    parser._flush()
-    return parser.blocks
+    return parser.finish()
 
 
 def fit_weights(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float) -> np.ndarray:

@@ -145,6 +145,27 @@ def test_main_text_of_a_page(spark):
     assert html_text.extract_main_text(df.limit(0)).count() == 0
 
 
+def test_names_of_the_whole_page_and_an_open_head_lose_no_text():
+    o = html_text.HtmlOptions()
+    said = "A long paragraph, with words. And more of them, as articles have."
+    paragraphs = f"<h1>Title</h1><p>{said}</p><p>{said}</p><p>{said}</p>"
+    want = "\n".join(["Title", said, said, said])
+    side = "<nav><a href=/>Home</a></nav>"
+    for page in (
+        f"<html class='has-sidebar'><body class='no-sidebar'>{side}{paragraphs}</body></html>",
+        f"<body><div class='widget-ready'>{side}<div class='x'>{paragraphs}</div></div></body>",
+        f"<html><head><title>T</title><meta charset=utf-8><body>{side}{paragraphs}</body></html>",
+        f"<html><head><title>T</title><article>{paragraphs}</article></html>",
+    ):
+        assert html_text.main_text(page, html_text.PRIOR, o) == want
+        assert all(b.label != 0 for b in html_text.page_blocks(page) if b.text == said)
+    inner = f"<body><div class='sidebar'><p>{said}</p></div>{paragraphs}</body>"
+    assert html_text.main_text(inner, html_text.PRIOR, o) == want
+    talk = f"<section class='comments'>{'<p>' + said + '</p>'}</section>"
+    for page in (f"<article><p>Short one.</p>{talk}</article>", f"<article><p>Short one.</p></article>{talk}"):
+        assert [b.label for b in html_text.page_blocks(page)] == [1, 0]
+
+
 def test_given_pages_hold_their_articles(spark):
     import html as entities
 
