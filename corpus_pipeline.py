@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.llm.common import keep_rows
@@ -16,6 +16,8 @@ from dialoom.session import stage_table
 #: A document is rejected if its best language is less likely than this.
 MIN_LANGUAGE_SCORE = 0.35
 
+ROW = "__row"
+
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known: their text has letters and a likely language."""
@@ -24,23 +26,49 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return docs.filter((found["lang"] != UNKNOWN) & (found["score"] >= MIN_LANGUAGE_SCORE))
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, Column]:
+    """The rows, written once with a number of their own, and an order over them.
+
+    The order is the id, null last, then a hash of all columns; the number only tells equal
+    rows apart, so which of them has which number does not change a result.
+    """
+    rows = stage_table(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    order = F.struct(
+        rows["doc_id"].isNull().alias("no_id"),
+        rows["doc_id"].alias("id"),
+        F.xxhash64(*[rows[f"`{c}`"] for c in docs.columns]).alias("hash"),
+        rows[ROW].alias("row"),
+    )
+    return rows, order
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts: the longest original."""
-    lost = exact_groups(docs).filter(~F.col("kept")).select("doc_id")
-    return keep_rows(docs, lost, "doc_id", "left_anti")
+    """One row of each group of equal texts: the longest original, then the smallest id.
+
+    Rows with one id, or without any, are told apart, and of repeated rows one stays.
+    """
+    rows, order = _keyed(docs)
+    groups = exact_groups(rows.select(order.alias("key"), "text"), id_col="key")
+    lost = groups.filter(~F.col("kept")).select("doc_id.row")
+    return keep_rows(rows, lost, ROW, "left_anti").drop(ROW)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates: the smallest id."""
-    lost = jaccard_components(docs).filter(F.col("doc_id") != F.col("component_id"))
-    return keep_rows(docs, lost.select("doc_id"), "doc_id", "left_anti")
+    """One row of each component of near duplicates: the smallest id, null last."""
+    rows, order = _keyed(docs)
+    found = jaccard_components(rows, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    found = stage_table(found.join(rows.select(ROW, order.alias("key")), ROW), "components")
+    kept = found.groupBy("component_id").agg(F.min("key")["row"].alias("kept"))
+    lost = found.join(kept, "component_id").filter(F.col(ROW) != F.col("kept")).select(ROW)
+    return keep_rows(rows, lost, ROW, "left_anti").drop(ROW)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
+    """Rows that hold no item of the benchmark, each row judged by its own text."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    lost = contaminated(docs, benchmark, short_items=True).select("doc_id").distinct()
-    return keep_rows(docs, lost, "doc_id", "left_anti")
+    rows, _ = _keyed(docs)
+    lost = contaminated(rows, benchmark, id_col=ROW, short_items=True).select("doc_id").distinct()
+    return keep_rows(rows, lost, ROW, "left_anti").drop(ROW)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

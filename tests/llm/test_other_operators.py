@@ -331,6 +331,29 @@ def test_pipeline_stages(spark):
         assert all(before[i] == t for i, t in after)
 
 
+def test_pipeline_stages_tell_rows_of_one_id_apart(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    base = " ".join(f"word{i}" for i in range(60))
+    other = " ".join(f"other{i}" for i in range(60))
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+
+    def left(stage, rows):
+        df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema)
+        return sorted(
+            ((r.doc_id, r.text) for r in stage(spark, df.repartition(3), SF).collect()), key=str
+        )
+
+    copies = [(None, base), (None, base), (1, base), (None, other), (7, "a b"), (7, "c d"), (7, "a b")]
+    assert left(corpus_pipeline.exact_stage, copies) == sorted(
+        [(1, base), (None, other), (7, "a b"), (7, "c d")], key=str
+    )
+    near = [(None, base), (None, base + " end"), (None, other), (5, other), (5, other), (5, "x y z")]
+    kept = left(corpus_pipeline.near_stage, near)
+    assert len(kept) == 3 and (5, other) in kept and (5, "x y z") in kept
+    leaks = [(None, item), (None, other), (3, item), (3, base)]
+    assert left(corpus_pipeline.benchmark_stage, leaks) == sorted([(None, other), (3, base)], key=str)
+
+
 def test_pipeline_reruns_agree(spark):
     one = sorted(r.doc_id for r in corpus_pipeline.run(spark, SF).select("doc_id").collect())
     two = sorted(r.doc_id for r in corpus_pipeline.run(spark, SF).select("doc_id").collect())
