@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +13,12 @@ from dialoom.llm import (
     chat_format,
     decontaminate,
     exact_dedup,
+    filter_audit,
     html_text,
     jaccard_join,
     language_id,
     mixing,
+    periodic_runs,
     pii,
     secrets,
     substring_dedup,
@@ -231,3 +235,103 @@ def op2_jaccard_join(spark, sf_dir):
 def op4_substring_dedup(spark, sf_dir):
     done = substring_dedup.repeated_spans(_table(spark, sf_dir, "documents"))
     return done.drop("removed")
+
+
+@_query(
+    "op12_filter_audit",
+    r"""
+    WITH w AS (
+      SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+      FROM documents),
+    m AS (SELECT text, min(doc_id) AS first FROM w GROUP BY text),
+    marks AS (
+      SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic
+      FROM labels GROUP BY doc_id),
+    f AS (
+      SELECT w.part, coalesce(marks.good, 0) AS good, coalesce(marks.toxic, 0) AS toxic,
+        {'A': len(words) < 200,
+         'B': 100 * len(list_distinct(words)) < 50 * len(words),
+         'C': 100 * length(regexp_replace(w.text, '[^A-Z]', '', 'g')) > 2 * length(w.text),
+         'D': regexp_matches(w.text, '[#$%&*|]'),
+         'E': coalesce(w.doc_id > m.first, false)} AS fails
+      FROM w JOIN m ON m.text = w.text LEFT JOIN marks ON marks.doc_id = w.doc_id),
+    cells AS (
+      SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+      FROM f GROUP BY part, fails),
+    bits AS (
+      SELECT part, n, good, toxic, map(['A', 'B', 'C', 'D', 'E'],
+        [fails['A'], fails['B'], fails['C'], fails['D'], fails['E']]) AS fails FROM cells),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+    orders AS (
+      SELECT a.c || b.c || d.c || e.c || g.c AS filter_order
+      FROM letters a, letters b, letters d, letters e, letters g
+      WHERE len(list_distinct([a.c, b.c, d.c, e.c, g.c])) = 5),
+    steps AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders),
+    x AS (
+      SELECT part, filter_order, step, n, good, toxic,
+             fails[filter_order[step]] AS here,
+             len(list_filter(range(1, step), lambda i: fails[filter_order[i]])) > 0 AS earlier,
+             len(list_filter(map_values(fails), lambda v: v)) AS n_fails
+      FROM bits, steps),
+    agg AS (
+      SELECT part, filter_order, step, filter_order[step] AS letter,
+        coalesce(sum(n) FILTER (NOT here AND NOT earlier), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (here AND NOT earlier), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (here AND earlier), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (here AND n_fails = 1), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (here AND NOT earlier), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (here AND NOT earlier), 0)::BIGINT AS toxic_lost
+      FROM x GROUP BY ALL)
+    SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails,
+           good_lost, toxic_lost,
+           (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+    FROM agg""",
+)
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit_filters(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
+def repeat_words(doc_id: str | None, text: str | None) -> str | None:
+    """A tenth of the texts, chosen by the decimal id, made periodic from some word on; the
+    others and those without id stay."""
+    if doc_id is None or not text:
+        return text
+    g, rest = divmod(zlib.crc32(doc_id.encode()), 10)
+    if rest:
+        return text
+    found = periodic_runs.split_words(text)
+    n = len(found)
+    if not n:
+        return text
+    begin = g % n
+    period = 1 + (n - begin) // (3 + g % 8)
+    found[begin:] = [found[begin + i % period] for i in range(n - begin)]
+    return b" ".join(found).decode("utf-8", "surrogatepass")
+
+
+@_query("op13_periodic_runs")
+def op13_periodic_runs(spark, sf_dir):
+    @F.pandas_udf("string")
+    def repeated(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for ids, texts in batches:
+            yield pd.Series(list(map(repeat_words, ids, texts)), dtype=object)
+
+    docs = _table(spark, sf_dir, "documents")
+    edited = repeated(F.col("doc_id").cast("string"), F.col("text"))
+    found = periodic_runs.periodic_runs(
+        docs.select("doc_id", edited.alias("text"))
+    )
+    longest = periodic_runs.longest_run(F.col("runs"))
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        (-F.col("longest.shorter")).alias("length"),
+        F.col("longest.period").alias("period"),
+        F.floor(1000 * -F.col("longest.shorter") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(periodic_runs.run_lines(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
