@@ -22,6 +22,7 @@ from dialoom.llm import (
     pii,
     secrets,
     substring_dedup,
+    toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -237,6 +238,13 @@ def op4_substring_dedup(spark, sf_dir):
     return done.drop("removed")
 
 
+@_query("op11_toxicity")
+def op11_toxicity(spark, sf_dir):
+    return toxicity.score_toxicity(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
 @_query(
     "op12_filter_audit",
     r"""
