@@ -19,13 +19,13 @@ from pyspark.sql import functions as F
 from dialoom.llm.common import narrow
 from dialoom.session import stage_table
 
-# longer stretches without white space are read in pieces
-_TOKEN = re.compile(r"\S{1,32}")
+# a word without the punctuation around it; longer ones are read in pieces
+_TOKEN = re.compile(r"\w(?:\S{0,30}\w)?")
 _SPACE = re.compile(r"\s")
 _PIECE_CHARS, _PIECE_TOKENS = 1 << 20, 1 << 16
 _GROUP_TOKENS, _CACHE = 1 << 17, 1 << 18
+_PART = 1 << 13  # tokens whose features are worked out together
 _ORDERS = (3, 4, 5)
-_PUNCTUATION = ".,;:!?\"'()[]{}<>|#$%&*"
 
 
 @dataclass(frozen=True)
@@ -85,11 +85,10 @@ def _hash(points: np.ndarray, n: int) -> np.ndarray:
 def token_features(tokens: Sequence[str], o: ToxicityOptions) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word row of each token; rows of its character n-grams, and where each token's
     n-grams begin (one more entry than tokens).  Every token has at least one."""
-    marked = [f"^{t.strip(_PUNCTUATION) or t}$" for t in tokens]
-    points = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    size = np.array([len(m) for m in marked], dtype=np.int64)
+    points = np.frombuffer("".join([f"^{t}$" for t in tokens]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    size = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens)) + 2
     first = np.concatenate(([0], np.cumsum(size)))
-    owner = np.repeat(np.arange(len(marked)), size)
+    owner = np.repeat(np.arange(len(tokens)), size)
     left = first[owner + 1] - np.arange(len(points))  # code points up to the token's end
     own, rows = [], []
     for n in _ORDERS:
@@ -99,15 +98,26 @@ def token_features(tokens: Sequence[str], o: ToxicityOptions) -> tuple[np.ndarra
         rows.append(h[inside])
     own, rows = np.concatenate(own), np.concatenate(rows)
     order = np.argsort(own, kind="stable")
-    begins = np.searchsorted(own[order], np.arange(len(marked) + 1))
+    begins = np.searchsorted(own[order], np.arange(len(tokens) + 1))
     # a word's hash is the polynomial sum of its code points
     weight = np.cumprod(np.full(int(size.max(initial=1)), 0x9E3779B1, dtype=np.uint32), dtype=np.uint32)
     place = np.arange(len(points)) - first[owner]
     with np.errstate(over="ignore"):
         terms = (points + np.uint32(7)) * weight[place]
-    word = np.add.reduceat(terms, first[:-1], dtype=np.uint32) if len(marked) else np.zeros(0, np.uint32)
+    word = np.add.reduceat(terms, first[:-1], dtype=np.uint32) if len(tokens) else np.zeros(0, np.uint32)
     word = (word ^ (word >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-    return (word >> np.uint32(32 - o.word_bits)).astype(np.int64), rows[order].astype(np.int64), begins
+    word = (word >> np.uint32(32 - o.word_bits)).astype(np.int32)
+    return word, rows[order].astype(np.int32), begins
+
+
+def _many_features(tokens: Sequence[str], o: ToxicityOptions) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``token_features`` of a whole vocabulary, worked out in parts."""
+    parts = [
+        token_features(tokens[start : start + _PART], o) for start in range(0, len(tokens), _PART)
+    ]
+    counts = np.concatenate([np.diff(begins) for *_, begins in parts])
+    words, rows = (np.concatenate([part[k] for part in parts]) for k in (0, 1))
+    return words, rows, np.concatenate(([0], np.cumsum(counts)))
 
 
 def window_starts(n: int, o: ToxicityOptions) -> np.ndarray:
@@ -276,8 +286,8 @@ class _Scorer:
             self._flush()
             self.known = {}
             new = list(tokens)
-        for start in range(0, len(new), 8192):
-            part = new[start : start + 8192]
+        for start in range(0, len(new), _PART):
+            part = new[start : start + _PART]
             at = len(self.known) + 1
             rows = _project(self.p, _inputs(self.p, token_features(part, self.o)))[1:]
             self.table[at : at + len(part)] = rows
@@ -338,20 +348,14 @@ class _Scorer:
         return self.best
 
 
-def _log_odds(
-    rows: np.ndarray, docs: np.ndarray, labels: np.ndarray, size: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Cautious log odds of label 1 for each row, over the documents that hold it, and the
-    number of these."""
-    pairs = np.unique(rows.astype(np.int64) * len(labels) + docs)
-    row, toxic = pairs // len(labels), labels[pairs % len(labels)].astype(bool)
-    ones, zeros = np.bincount(row[toxic], minlength=size), np.bincount(row[~toxic], minlength=size)
-    n = max(1, labels.sum()), max(1, (1 - labels).sum())
-    odds = np.log((ones + 0.5) / (n[0] + 1.0)) - np.log((zeros + 0.5) / (n[1] + 1.0))
+def _log_odds(seen: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Cautious log odds of label 1 from ``seen[label, row]``, the documents that hold it."""
+    zeros, ones = seen
+    n = max(1, (labels == 0).sum()), max(1, (labels == 1).sum())
+    odds = np.log((ones + 0.5) / (n[1] + 1.0)) - np.log((zeros + 0.5) / (n[0] + 1.0))
     # only as much as two standard errors leave of it, so rare rows say nothing
     error = np.sqrt(1 / (ones + 0.5) + 1 / (zeros + 0.5))
-    sure = np.sign(odds) * np.clip(np.abs(odds) - 2 * error, 0, 3)
-    return sure.astype(np.float32), ones + zeros
+    return (np.sign(odds) * np.clip(np.abs(odds) - 2 * error, 0, 3)).astype(np.float32)
 
 
 class _Adam:
@@ -395,6 +399,16 @@ def _slice_features(features: tuple, tokens: np.ndarray) -> tuple:
     return word[tokens], rows[at], np.concatenate(([0], ends))
 
 
+def _all_inputs(p: dict, features: tuple) -> np.ndarray:
+    """``_inputs`` of a whole vocabulary, in parts of bounded memory."""
+    n = len(features[0])
+    parts = [
+        _inputs(p, _slice_features(features, np.arange(start, min(n, start + _PART))))
+        for start in range(0, n, _PART)
+    ]
+    return np.concatenate(parts)
+
+
 def _calibrate(logits: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Scale and shift of least weighted loss, Platt's smoothed targets, by Newton steps;
     a weak pull to scale 1 and shift 0 keeps them finite."""
@@ -453,22 +467,19 @@ def fit_toxicity(
             for piece in token_pieces(text)
         ]
         coded.append(np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32))
-    features = token_features(list(known) or ["-"], o)
+    features = _many_features(list(known) or ["-"], o)
     fit = np.flatnonzero(~held)
     p = _initial(o)
-    pairs = [np.unique(coded[d]) - 1 for d in fit]
-    doc = np.repeat(np.arange(len(fit)), [len(t) for t in pairs])
-    token = np.concatenate(pairs) if pairs else np.zeros(0, dtype=np.int64)
-    flat = _slice_features(features, token)
     adam = _Adam(p, o)
-    for name, rows, docs in (
-        ("word", flat[0], doc),
-        ("char", flat[1], np.repeat(doc, np.diff(flat[2]))),
-    ):
-        odds, seen = _log_odds(rows, docs, y[fit], len(p[name]))
-        p[name][:, 0] += odds
-        adam.learned[name] = seen >= o.min_docs
-    x = _inputs(p, features)
+    seen = {name: np.zeros((2, len(p[name])), dtype=np.int64) for name in ("word", "char")}
+    for d in fit:
+        held_words, held_chars, _ = _slice_features(features, np.unique(coded[d]) - 1)
+        seen["word"][y[d], np.unique(held_words)] += 1
+        seen["char"][y[d], np.unique(held_chars)] += 1
+    for name, counts in seen.items():
+        p[name][:, 0] += _log_odds(counts, y[fit])
+        adam.learned[name] = counts.sum(axis=0) >= o.min_docs
+    x = _all_inputs(p, features)
     guess = np.concatenate(([-9.0], x[:, 0] + 2 * x[:, o.word_size]))
     read = [windows(ids, window_starts(len(ids), o), o) for ids in coded]
     order = np.concatenate([np.full(len(r), d) for d, r in enumerate(read)])
@@ -476,7 +487,7 @@ def fit_toxicity(
     first = np.searchsorted(order, np.arange(len(y) + 1))
 
     def logits_of(chosen: np.ndarray) -> np.ndarray:
-        table = _project(p, _inputs(p, features))
+        table = _project(p, _all_inputs(p, features))
         return np.concatenate(
             [_forward(p, table, every[chosen[i : i + 1024]]) for i in range(0, len(chosen), 1024)]
         )

@@ -72,7 +72,7 @@ def test_all_windows_of_every_text(monkeypatch, group, piece):
     rng, p = np.random.default_rng(1), T._initial(SMALL)
     vocabulary = [f"w{i}," if i % 3 else f"Ä{i}" for i in range(60)]
     texts = [" ".join(rng.choice(vocabulary, n)) for n in [*range(0, 24), 60, 41]]
-    texts += [None, "", "   ", "!!!", "x" * 200]
+    texts += [None, "", "   ", "!!!", "x" * 200, "(st*pid), 'w1'", "_ ü"]
     got = T._Scorer(p, SMALL).logits(texts)
     # a cache smaller than a group starts anew within it
     assert got == pytest.approx([plain_score(p, SMALL, t) for t in texts], abs=1e-4)
