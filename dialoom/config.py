@@ -57,6 +57,12 @@ class RewriteOptions:
     )
     stop_markers: Sequence[str] = fixed.GENERATION_STOP_MARKERS
     min_characters: int = 10
+    # tries of a prompt that fails alone, after the first one
+    retries: int = 1
+    # a task or slice with a larger share of failed prompts stops the run
+    max_error_share: float = 0.5
+    # parts of a resumable run that are saved one by one
+    slices: int = 64
 
 
 @dataclass(frozen=True)
@@ -70,6 +76,8 @@ class OutputOptions:
     train_name: str = "train"
     test_name: str = "test"
     total_name: str = "total"
+    # positions per part file of an ordered set
+    rows_per_file: int = 100_000
 
 
 @dataclass(frozen=True)

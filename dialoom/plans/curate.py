@@ -16,6 +16,7 @@ from dialoom.operators.clean import size_and_cap, swap_phrases
 from dialoom.operators.documents import build_documents, upsert_documents
 from dialoom.operators.duplicates import near_duplicates
 from dialoom.operators.embed import embed_hashed, with_embeddings
+from dialoom.operators.ranking import rank_by_range
 from dialoom.operators.rewrite import Generator, improve_system_prompts, resume_processing
 from dialoom.operators.split import split_by_segment, split_by_size_bin
 from dialoom.plans.preprocess import preprocess
@@ -26,7 +27,8 @@ from dialoom.sources.sinks import drop_embedding_column
 
 @dataclass
 class Curated:
-    """``total`` holds every record that is left, ``split`` the train and test ones."""
+    """``total`` holds every record that is left, ``split`` the train and test ones; both
+    have the ``position`` that the sinks write them in: the curriculum's, or that by size."""
 
     total: DataFrame
     split: DataFrame
@@ -115,20 +117,16 @@ def curate(
         place = stage_table(
             parts.select("conv_id", "position", "chunk", "segment", "split"), "placed"
         )
-        # the list is in curriculum order: one join and one sort of the full rows, written
-        # once for all sinks; train and test need no order of their own
-        total = stage_table(total.join(place, "conv_id").orderBy("position"), "ordered")
-        split = total
     else:
-        split = split_by_size_bin(
-            total.select("conv_id", "nbytes"),
-            max(1, nbins),
-            out.test_ratio,
-            options.seed,
-            out.include_max,
+        narrow = total.select("conv_id", "nbytes")
+        parts = split_by_size_bin(
+            narrow, max(1, nbins), out.test_ratio, options.seed, out.include_max
         ).select("conv_id", "split")
-        split = total.join(split, "conv_id")
-        total = total.orderBy("nbytes", "conv_id")
+        ranked = rank_by_range(narrow, ["nbytes", "conv_id"], "position").drop("nbytes")
+        place = stage_table(ranked.join(parts, "conv_id", "left"), "placed")
+    # one join of the full rows, written once for all sinks, which sort by position
+    total = stage_table(total.join(place, "conv_id"), "ordered")
+    split = total.where(F.col("split").isNotNull())
     return Curated(total, split, nbins, counts)
 
 

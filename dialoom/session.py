@@ -42,12 +42,30 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
 
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that ``new_folder`` named."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    target, files = _file_system(spark, path)
+    files.delete(target, True)
+
+
+def create_marker(spark: SparkSession, path: str) -> None:
+    """Create an empty file; it is there or not, never in between."""
+    target, files = _file_system(spark, path)
+    if not files.createNewFile(target):
+        raise FileExistsError(path)
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, sorted; none if there is no folder."""
+    target, files = _file_system(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(target))
 
 
 class Stages:

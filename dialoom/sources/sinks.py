@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dialoom.config import OutputOptions
 from dialoom.functions import messages as M
 
 
+#: Part files have five digits, so more of them would not sort by name.
+MAX_FILES = 99_999
+#: Columns that place a record in its set and are no part of it.
+PLACEMENT = ("position", "chunk", "segment", "split")
+
+
 def drop_embedding_column(df: DataFrame) -> DataFrame:
     return df.drop("embedding", "qa_pair_embeddings")
 
@@ -45,6 +51,78 @@ def write_conversations_jsonl(df: DataFrame, path: str, mode: str = "errorifexis
     ).text(path)
 
 
+def write_ordered(
+    df: DataFrame,
+    line: Column,
+    path: str,
+    rows_per_file: int = 100_000,
+    partition: str | None = None,
+    mode: str = "errorifexists",
+) -> None:
+    """Write ``line`` of each row so that file names, and the lines of a file, are in the
+    order of the column ``position`` (numbers from 0, each once; gaps are allowed).
+
+    Part file ``i`` holds the positions from ``i * rows_per_file`` on: a row's file is known
+    from its position, so the rows are shuffled once, straight to their file, and sorted
+    there.  With ``partition`` every value of that column gets its own folder, written in
+    the same pass.  ``_manifest`` below ``path`` holds for each file its number, first and
+    last position and number of lines; readers of the lines skip it.
+    """
+    keys = [partition] if partition else []
+    number = F.floor(F.col("position") / F.lit(rows_per_file)).cast("int")
+    last = df.agg(F.max("position").alias("last")).first().last
+    n_files = 1 if last is None else last // rows_per_file + 1
+    if n_files > MAX_FILES:
+        raise ValueError(f"{n_files} files of {rows_per_file} rows: take more rows per file")
+    placed = (
+        df.select(*keys, "position", line.alias("value"))
+        .repartitionById(n_files, number)
+        .sortWithinPartitions(*keys, "position")
+        .drop("position")
+    )
+    writer = placed.write.mode(mode)
+    (writer.partitionBy(partition) if partition else writer).text(path)
+    manifest = df.groupBy(*keys, number.alias("file")).agg(
+        F.min("position").alias("first"),
+        F.max("position").alias("last"),
+        F.count(F.lit(1)).alias("lines"),
+    )
+    # one row per file
+    manifest.coalesce(1).write.mode("overwrite").json(f"{path}/_manifest")
+
+
+def read_ordered(spark: SparkSession, path: str, partition: str | None = None) -> DataFrame:
+    """``line_number, value`` (and the partition column) of a folder of ``write_ordered``:
+    lines counted from 0 through the files in the order of their names."""
+    keys = [partition] if partition else []
+    kinds = "file int, first bigint, last bigint, lines bigint"
+    manifest = spark.read.schema(
+        f"{partition} string, {kinds}" if partition else kinds
+    ).json(f"{path}/_manifest")
+    before = Window.partitionBy(*keys).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = manifest.select(
+        *keys, "file", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("_before")
+    )
+    name = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
+    lines = spark.read.text(path)
+    if partition:
+        # other sets below the folder have their own manifest
+        lines = lines.withColumn(partition, F.col(partition).cast("string"))
+    lines = lines.select(
+        *keys,
+        "value",
+        name.alias("file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),  # grows within a block
+    )
+    within = F.row_number().over(Window.partitionBy(*keys, "file").orderBy("_block", "_row")) - 1
+    return (
+        lines.withColumn("_within", within)
+        .join(offsets, [*keys, "file"])
+        .select(*keys, (F.col("_before") + F.col("_within")).alias("line_number"), "value")
+    )
+
+
 def write_splits(
     total: DataFrame,
     split: DataFrame,
@@ -55,18 +133,27 @@ def write_splits(
     """Write train, test and total in each enabled format.
 
     ``split`` has a ``split`` column; train and test are written in one pass, as
-    partitions ``split=train`` and ``split=test``.
+    partitions ``split=train`` and ``split=test``.  If both tables have a ``position``, every
+    set is written in its order (``write_ordered``); what places a record is left out of it.
     """
     options = options or OutputOptions()
     named = split.withColumn(
         "split",
         F.when(F.col("split") == "test", options.test_name).otherwise(options.train_name),
     )
+    ordered = "position" in total.columns and "position" in split.columns
+    formats = []
     if options.save_json:
-        records = record_line(named.drop("split")).alias("value")
-        named.select("split", records).write.mode(mode).partitionBy("split").text(f"{path}/json")
-        write_records_json(total, f"{path}/json/split={options.total_name}", mode)
+        formats.append(("json", lambda df: record_line(df.drop(*PLACEMENT))))
     if options.save_jsonl:
-        lines = M.conversation_line(F.col("conversation")).alias("value")
-        named.select("split", lines).write.mode(mode).partitionBy("split").text(f"{path}/jsonl")
-        write_conversations_jsonl(total, f"{path}/jsonl/split={options.total_name}", mode)
+        formats.append(("jsonl", lambda df: M.conversation_line(F.col("conversation"))))
+    for kind, line in formats:
+        folder = f"{path}/{kind}"
+        whole = f"{folder}/split={options.total_name}"
+        if ordered:
+            write_ordered(named, line(named), folder, options.rows_per_file, "split", mode)
+            write_ordered(total, line(total), whole, options.rows_per_file, None, mode)
+        else:
+            lines = named.select("split", line(named).alias("value"))
+            lines.write.mode(mode).partitionBy("split").text(folder)
+            total.select(line(total).alias("value")).write.mode(mode).text(whole)

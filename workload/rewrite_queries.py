@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from dialoom.config import RewriteOptions
@@ -9,7 +11,7 @@ from dialoom.fixed_values import DEFAULT_CURRENT_PROMPT, GENERATION_STOP_MARKERS
 from dialoom.functions import text as T
 from dialoom.operators import rewrite as R
 from dialoom.operators.clean import with_nbytes
-from dialoom.session import new_folder
+from dialoom.session import new_folder, stage_table
 from workload import common as W
 from workload.registry import query
 from workload.size_queries import SIZES
@@ -154,3 +156,49 @@ def resume(t):
     started = df.where(F.col("conversation")[0]["from"] != "system")
     R.resume_processing(started, path, make_generator, OPTIONS)
     return W.rows(R.resume_processing(df, path, make_generator, OPTIONS))
+
+
+def make_raising_generator():
+    """As ``make_generator``, but raises on a batch that holds a prompt whose length is
+    divisible by seven."""
+    inner = make_generator()
+
+    def generate(prompts):
+        for p in prompts:
+            if len(p) % 7 == 0:
+                raise ValueError(f"length {len(p)}")
+        return inner(prompts)
+
+    return generate
+
+
+@query(
+    "generate_text_errors",
+    f"""WITH {_PROMPTS} SELECT conv_id,
+      CASE WHEN length(prompt) % 7 <> 0 THEN {_ANSWER.format(p='prompt')} END AS generated,
+      CASE WHEN length(prompt) % 7 = 0 THEN 'ValueError: length ' || length(prompt) END AS error
+    FROM prompts WHERE {_FITS}""",
+)
+def generate_errors(t):
+    """A prompt that the model raises on costs itself only."""
+    fitting = records(t).where(R.prompt_size_gate(F.col("nbytes"), CONTEXT))
+    return R.two_pass_generate(fitting, make_raising_generator, OPTIONS, "error").select(
+        "conv_id", "generated", "error"
+    )
+
+
+@query(
+    "resume_in_parts",
+    f"""WITH {_GENERATED} SELECT m.conv_id, m.pos, m.role,
+      CASE WHEN m.pos = 0 AND m.role = 'system' AND length(s.g1) > 10 THEN s.g1 ELSE m.value END
+        AS value FROM msgs m JOIN second s USING (conv_id)""",
+)
+def resume_in_parts(t):
+    """Two of four slices of some records, then all records: the others of those slices
+    are done as well."""
+    path = new_folder(t.spark, "rewritten")
+    df = stage_table(records(t), "records")
+    options = replace(OPTIONS, slices=4)
+    early = df.where(F.col("conv_id") % 5 != 0)
+    R.resume_processing(early, path, make_generator, options, max_slices=2)
+    return W.rows(R.resume_processing(df, path, make_generator, options))

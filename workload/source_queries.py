@@ -10,12 +10,19 @@ from dialoom.config import OutputOptions
 from dialoom.functions import messages as M
 from dialoom.operators import split as S
 from dialoom.operators.clean import cap_size, quarantine, with_nbytes
-from dialoom.session import new_folder
+from dialoom.session import new_folder, stage_table
 from dialoom.sources import records as R
 from dialoom.sources import sinks as K
 from workload import common as W
 from workload.registry import Tables, query
-from workload.size_queries import NBINS, sql_size_bins, sql_split
+from workload.size_queries import (
+    NBINS,
+    _curriculum,
+    sql_balance,
+    sql_segments,
+    sql_size_bins,
+    sql_split,
+)
 
 _ID = "id"  # the id of a conversation travels through files in a key of its own
 
@@ -254,6 +261,39 @@ def write_splits(t):
     return counted[0].unionByName(counted[1])
 
 
+@query(
+    "ordered_splits",
+    f"""WITH RECURSIVE {sql_balance(NBINS, True)}, {sql_segments(NBINS)},
+    s AS ({sql_split('segs', 'segment')}),
+    lines AS (SELECT conv_id, {SQL_LINE} AS line FROM msgs GROUP BY conv_id),
+    p AS (
+      SELECT c.conv_id, c.position, s.split, l.line
+      FROM curriculum c JOIN s USING (conv_id) JOIN lines l USING (conv_id)),
+    sets AS (SELECT * FROM p UNION ALL SELECT conv_id, position, 'total', line FROM p)
+    SELECT kind, split, row_number() OVER (PARTITION BY kind, split ORDER BY position) - 1
+      AS line_number, CASE kind WHEN 'jsonl' THEN line ELSE conv_id::VARCHAR END AS content
+    FROM sets, (SELECT unnest(['json', 'jsonl']) AS kind)""",
+)
+def ordered_splits(t):
+    """The curriculum through files of 16 positions each: content by line of the files."""
+    path = new_folder(t.spark, "ordered")
+    df = with_nbytes(W.with_roles(W.raw(t)))
+    placed = S.split_by_segment(_curriculum(t), NBINS, 0.2, W.SEED)
+    place = stage_table(placed.select("conv_id", "position", "chunk", "segment", "split"), "place")
+    total = df.join(place, "conv_id")
+    K.write_splits(total, total, path, OutputOptions(rows_per_file=16))
+    found = []
+    for kind in ("json", "jsonl"):
+        parts = K.read_ordered(t.spark, f"{path}/{kind}", "split")
+        whole = K.read_ordered(t.spark, f"{path}/{kind}/split=total")
+        lines = parts.unionByName(whole.withColumn("split", F.lit("total")))
+        content = F.get_json_object("value", "$.conv_id") if kind == "json" else F.col("value")
+        found.append(
+            lines.select(F.lit(kind).alias("kind"), "split", "line_number", content.alias("content"))
+        )
+    return found[0].unionByName(found[1])
+
+
 @query(
     "drop_embedding_column",
     "SELECT vec_id AS conv_id, label FROM embeddings",
