@@ -231,7 +231,9 @@ def _windows(
 ) -> DataFrame:
     """``(..., reading, n_tokens, pos, h)``: one row per window of either template, of those
     ``keep`` allows.  Windows of the widths ``short`` are made of the first reading."""
-    split = rows.withColumn("read", _read(F.col("text"), True)).drop("text")
+    # exploded, so that each of its fields does not read the text again
+    read = F.explode(F.array(_read(F.col("text"), True))).alias("read")
+    split = rows.select(*rows.drop("text").columns, read)
 
     def found(r: int, n: int) -> Column:
         windows = F.transform(
@@ -292,7 +294,8 @@ def _first_word_either_way(windows: DataFrame, widths: Sequence[int]) -> DataFra
 
 def _places(h: Column, size: int) -> list[Column]:
     return [
-        F.shiftright(h, bits).bitwiseAND(F.lit(size - 1)).cast("int") for bits in _PROBES
+        (F.shiftright(h, bits) if bits else h).bitwiseAND(F.lit(size - 1)).cast("int")
+        for bits in _PROBES
     ]
 
 
