@@ -188,14 +188,16 @@ def _read(text: Column, values: bool) -> Column:
 
 
 def _run_hashes(hashes: Column, n: int) -> Column:
-    """Hash of the ``n`` words from each word on, from those of halves; the last ``n - 1``
-    mean nothing."""
+    """Hash of the ``n`` words from each word on, from those of halves: the words' hashes,
+    shifted by their place, joined by exclusive or.  The last ``n - 1`` mean nothing."""
     if n == 1:
         return hashes
     half = 1 << ((n - 1).bit_length() - 1)
 
     def joined(left: Column, right: Column) -> Column:
-        return F.transform(left, lambda h, i: F.xxhash64(h, F.get(right, i + half)))
+        return F.transform(
+            left, lambda h, i: F.shiftleft(h, n - half).bitwiseXOR(F.get(right, i + half))
+        )
 
     def rest(left: Column) -> Column:
         return joined(left, left) if n == 2 * half else let(_run_hashes(hashes, n - half), lambda r: joined(left, r))
