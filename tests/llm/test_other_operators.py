@@ -299,7 +299,7 @@ def test_threshold_keeps_the_recall_on_held_out_findings():
 
 def test_query_names():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in registered.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):
