@@ -424,3 +424,15 @@ def test_common_helpers(spark):
     ).collect()
     assert [r.n for r in got] == ["abc d", ""]
     assert [r.w for r in got] == [["a", "b", "c d"], []]
+
+
+def test_decontamination_judges_rows_of_one_id_apart(spark):
+    words = [f"plain{chr(97 + i)}" for i in range(20)]
+    bench = spark.createDataFrame([(7, " ".join(words))], "item_id bigint, text string")
+    other = [f"other{chr(97 + i)}" for i in range(8)]
+    # five windows each, on one diagonal: together they would be enough
+    halves = [(1, " ".join(words[:12])), (1, " ".join(other + words[8:]))]
+    whole = [(2, " ".join(words)), (2, " ".join(words)), (None, " ".join(words)), (2, "short")]
+    docs = frame(spark, [(i, t, "en", "s") for i, t in halves + whole])
+    got = decontaminate.contaminated(docs, bench).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.n_windows) for r in got) == [(False, 2, 13), (True, None, 13)]
