@@ -23,6 +23,9 @@ _SKETCH_BITS = 512
 _HUBS = 4  # stars that a set is tested at before components are looked at
 _COMMON = 32  # sets of one key, from which the key says little
 _MEMBERS_PER_TASK = 2000
+_SLOT_BITS = (16, 22)  # least and most: the table of counts takes 4 MB at most
+_SLOTS_PER_SET = 16
+_PART_BITS = 14  # slots of one part of the table
 
 
 @dataclass(frozen=True)
@@ -31,14 +34,22 @@ class JaccardOptions:
 
     shingle: int = 5
     percent: int = 80
-    spare: int = 2
     common: int = 6
     band: float = 0.7
 
     @property
     def ratio(self) -> float:
-        """Smallest size of a band over the largest: linked sets are one band apart at most."""
-        return min(self.band, self.percent / 100)
+        """Smallest size of a band over the largest, a little less than linked sets can
+        differ by: these are one band apart at most, whatever the rounding."""
+        return 0.99 * min(self.band, self.percent / 100)
+
+    def least_overlap(self, n: int) -> int:
+        """Elements that a set of ``n`` shares with any linked set."""
+        return -(-self.percent * n // 100)
+
+    def shared_keys(self, n: int) -> int:
+        """Keys that a set of ``n`` shares with any linked set."""
+        return min(self.common + 1, self.least_overlap(n))
 
 
 def shingle_sets(texts, options: JaccardOptions) -> Iterator[tuple[int, np.ndarray]]:
@@ -69,49 +80,76 @@ def set_identity(s: np.ndarray) -> tuple[int, int]:
     )
 
 
-def tiles_of(n: int, o: JaccardOptions) -> list[tuple[int, int]]:
-    """``(tile, most)``: the tiles of a set of ``n`` elements, with the largest symmetric
-    difference of two linked sets there.
+def tile_of(n: int, o: JaccardOptions) -> int:
+    """The band of sizes that ``n`` is in: linked sets are in one or in neighbouring ones."""
+    return int(math.log(n) / -math.log(o.ratio))
+
+
+def prefix_order(s: np.ndarray, levels: np.ndarray, o: JaccardOptions) -> np.ndarray:
+    """The keys of a set: its rarest elements, in one order for all sets.
 
-    A tile takes a band of sizes, and the smaller sets that can link into the band.
+    The order is the level of an element, then its hash.  Of a set of ``n`` elements the last
+    ``least_overlap(n) - 1 - common`` are left out.  Take the ``common + 1`` first elements
+    that two linked sets share (or all, if these are fewer): from the last of these on, each
+    set holds ``least_overlap - common`` shared ones at least, so it is not among those left
+    out, and neither are those before it.  Any order will do; the rarest first keep lines and
+    passages that many texts share out of the keys.
     """
-    low, tile = 1, 0
-    while True:
-        high = max(low, math.ceil(low / o.ratio) - 1)
-        if n <= high:
-            break
-        low, tile = high + 1, tile + 1
-    most = lambda top: (100 - o.percent) * 2 * top // (100 + o.percent)
-    found = [(tile, most(high))]
-    if 100 * n >= o.percent * (high + 1):
-        upper = max(high + 1, math.ceil((high + 1) / o.ratio) - 1)
-        found.append((tile + 1, most(upper)))
-    return found
-
-
-def signature_keys(s: np.ndarray, o: JaccardOptions) -> np.ndarray:
-    """Keys of a set, such that two linked sets of a tile share one at least.
-
-    The hash space is cut into ``most + 1 + common + spare`` segments.  Every differing
-    element spoils one segment at most, so linked sets agree on ``common + spare + 1``
-    segments or more.  Empty segments say nothing and are left out, but for a set with more
-    than ``spare`` of them.  Either way linked sets share ``common + 1`` keys or more.
+    shift = np.uint64(64 - (len(levels).bit_length() - 1))
+    order = np.argsort(levels[(s >> shift).astype(np.int64)], kind="stable")
+    return s[order[: min(len(s), len(s) - o.least_overlap(len(s)) + 1 + o.common)]]
+
+
+def _count_shingles(o: JaccardOptions, bits: int):
+    """How often the shingles of a task fall in each slot of the hash space, 255 at most.
+    Parts of the table without any are not sent."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(1 << bits, np.uint32)
+        for batch in batches:
+            for chunk in word_chunks(batch["text"], lower_ascii=True):
+                runs = chunk.runs(o.shingle)
+                np.add.at(counts, (runs >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
+        parts = np.minimum(counts, 255).astype(np.uint8).reshape(-1, 1 << _PART_BITS)
+        for part in np.flatnonzero(parts.any(axis=1)):
+            yield pd.DataFrame({"part": [int(part)], "counts": [parts[part].tobytes()]})
+
+    return run
+
+
+def _total_levels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sums rows that come in the order of their part, and takes logarithms."""
+    part, total = None, None
+
+    def done() -> pd.DataFrame:
+        levels = np.ceil(np.log2(total + 1.0)).astype(np.uint8)
+        return pd.DataFrame({"part": [part], "levels": [levels.tobytes()]})
+
+    for batch in batches:
+        for r in batch.itertuples(index=False):
+            if r.part != part:
+                if part is not None:
+                    yield done()
+                part, total = r.part, np.zeros(1 << _PART_BITS, np.int64)
+            total += np.frombuffer(r.counts, np.uint8)
+    if part is not None:
+        yield done()
+
+
+def shingle_levels(rows: DataFrame, sets: int, o: JaccardOptions) -> np.ndarray:
+    """Logarithms of approximate counts of shingles, a byte per slot of the hash space.
+
+    The table has about 16 slots a set, 2^22 at most: it is what the driver gets and tasks
+    are sent.  It decides what work is done, not what is found.
     """
-    keys = []
-    mixed = mix(s)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)))
-    for tile, most in tiles_of(len(s), o):
-        m = most + 1 + o.common + o.spare
-        bounds = np.arange(m + 1, dtype=np.float64) * (2.0**64 / m)
-        inner = bounds[1:-1].astype(np.uint64)
-        cuts = np.concatenate(([0], np.searchsorted(s, inner), [len(s)]))
-        full = cuts[1:] > cuts[:-1]
-        if m - full.sum() > o.spare:
-            full[:] = True
-        segment = np.flatnonzero(full).astype(np.uint64)
-        content = (sums[cuts[1:]] - sums[cuts[:-1]])[full]
-        keys.append(mix(content ^ mix(segment + np.uint64(tile << 32) + np.uint64(1))))
-    return np.concatenate(keys)
+    low, high = _SLOT_BITS
+    bits = min(high, max(low, (_SLOTS_PER_SET * sets).bit_length()))
+    counted = rows.select("text").mapInPandas(_count_shingles(o, bits), "part int, counts binary")
+    summed = counted.repartition("part").sortWithinPartitions("part")
+    levels = np.zeros((1 << (bits - _PART_BITS), 1 << _PART_BITS), np.uint8)
+    for r in summed.mapInPandas(_total_levels, "part int, levels binary").collect():
+        levels[r.part] = np.frombuffer(r.levels, np.uint8)
+    return levels.ravel()
 
 
 def bitmap(s: np.ndarray, bits: int | None = None) -> np.ndarray:
@@ -167,63 +205,76 @@ def _identities(o: JaccardOptions):
     return run
 
 
-def _signatures(o: JaccardOptions):
-    """``(root, part, set_id)``.  Equal sets of a task are sent once.  A key that many sets
-    of a chunk share forms a group of its own there, with one leader in the common group:
-    no group then holds more than a chunk or one row per chunk."""
+def _vertex(identity: tuple[int, int], clashes: frozenset[int]) -> int:
+    """One number for a set: the first sum, or both if several sets have this one."""
+    return identity[0] ^ identity[1] if identity[0] in clashes else identity[0]
 
-    def flush(keys: list[np.ndarray], ids: list[int]) -> pd.DataFrame:
-        owner = np.repeat(np.array(ids, np.int64), [len(k) for k in keys])
+
+def _signatures(o: JaccardOptions, shipped, clashes: frozenset[int]):
+    """``(root, part, tile, set_id, n, place)``: the keys of each set.  Equal sets of a task
+    are sent once.  A key that many sets of a tile share in a chunk forms a group of its own
+    there, with one leader in the common group: no group then holds more than a chunk or a
+    few rows per chunk."""
+
+    def flush(keys: list[np.ndarray], ids: list[int], sizes: list[int]) -> pd.DataFrame:
+        lengths = [len(k) for k in keys]
+        owner = np.repeat(np.array(ids, np.int64), lengths)
+        n = np.repeat(np.array(sizes, np.int32), lengths)
+        tile = np.repeat(np.array([tile_of(x, o) for x in sizes], np.int32), lengths)
+        place = np.concatenate([np.arange(x, dtype=np.int32) for x in lengths])
         key = np.concatenate(keys).view(np.int64)
-        part = np.zeros(len(key), np.int64)
-        order = np.lexsort((owner, key))
-        key, owner = key[order], owner[order]
-        begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        order = np.lexsort((owner, tile, key))
+        key, tile, owner, n, place = key[order], tile[order], owner[order], n[order], place[order]
+        fresh = (key[1:] != key[:-1]) | (tile[1:] != tile[:-1])
+        begin = np.flatnonzero(np.concatenate(([True], fresh)))
         size = np.diff(np.concatenate((begin, [len(key)])))
         hot = np.repeat(size >= _HOT, size)
+        part = np.zeros(len(key), np.int64)
         # named by its first member, so a run again names it alike
         part[hot] = np.repeat(owner[begin], size)[hot] | 1
-        lead = begin[size >= _HOT]
+        row = np.concatenate((np.arange(len(key)), begin[size >= _HOT]))
+        part = np.concatenate((part, np.zeros(len(row) - len(part), np.int64)))
         return pd.DataFrame(
             {
-                "root": np.concatenate((key, key[lead])),
-                "part": np.concatenate((part, np.zeros(len(lead), np.int64))),
-                "set_id": np.concatenate((owner, owner[lead])),
+                "root": key[row], "part": part, "tile": tile[row],
+                "set_id": owner[row], "n": n[row], "place": place[row],
             }
         )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, ids, rows, seen = [], [], 0, set()
+        levels = np.frombuffer(shipped.value, np.uint8)
+        keys, ids, sizes, rows, seen = [], [], [], 0, set()
         for batch in batches:
             for _, s in shingle_sets(batch["text"], o):
                 if not len(s):
                     continue
-                identity = set_identity(s)[0]
+                identity = set_identity(s)
                 if identity in seen:
                     continue
                 if len(seen) >= 1 << 20:
                     seen.clear()
                 seen.add(identity)
-                keys.append(signature_keys(s, o))
-                ids.append(identity)
+                keys.append(prefix_order(s, levels, o))
+                ids.append(_vertex(identity, clashes))
+                sizes.append(len(s))
                 rows += len(keys[-1])
                 if rows >= _CHUNK_ROWS:
-                    yield flush(keys, ids)
-                    keys, ids, rows = [], [], 0
+                    yield flush(keys, ids, sizes)
+                    keys, ids, sizes, rows = [], [], [], 0
         if keys:
-            yield flush(keys, ids)
+            yield flush(keys, ids, sizes)
 
     return run
 
 
-def _ship(o: JaccardOptions):
+def _ship(o: JaccardOptions, clashes: frozenset[int]):
     """Sends the set of a text to the hubs that it is compared at."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row, s in shingle_sets(batch["text"], o):
                 identity = batch["set_id"].iat[row]
-                if set_identity(s)[0] != identity:
+                if _vertex(set_identity(s), clashes) != identity:
                     continue  # another row with this id
                 jobs = batch["jobs"].iat[row]
                 yield pd.DataFrame(
@@ -285,11 +336,14 @@ def _bounded(pairs: DataFrame, classes: DataFrame, o: JaccardOptions) -> DataFra
     )
 
 
-def _verify(pairs: DataFrame, classes: DataFrame, rows: DataFrame, o: JaccardOptions) -> DataFrame:
+def _verify(
+    pairs: DataFrame, classes: DataFrame, rows: DataFrame, o: JaccardOptions, clashes: frozenset[int]
+) -> DataFrame:
     """Links ``(u, v)`` among the pairs ``(set_id, hub)``.
 
-    Pairs that the bitmaps rule out go first.  Of the rest a text is read once and its set sent to each of its hubs.  A hub with many members is
-    cut by salts, and its own set goes to each of them.
+    Pairs that the bitmaps rule out go first.  Of the rest a text is read once and its set
+    sent to each of its hubs.  A hub with many members is cut by salts, and its own set goes
+    to each of them.
     """
     pairs = _bounded(pairs, classes, o)
     sizes = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("n"))
@@ -310,34 +364,49 @@ def _verify(pairs: DataFrame, classes: DataFrame, rows: DataFrame, o: JaccardOpt
     )
     texts = rows.join(wanted, "doc_id").select("text", "set_id", "jobs")
     shipped = texts.mapInPandas(
-        _ship(o), "hub bigint, salt bigint, member boolean, set_id bigint, elements binary"
+        _ship(o, clashes), "hub bigint, salt bigint, member boolean, set_id bigint, elements binary"
     )
     met = shipped.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "member")
     return stage_table(met.mapInPandas(_compare(o), "u bigint, v bigint"), "links")
 
 
-def _sketches_allow(percent: int) -> Column:
-    """The bound of ``may_link`` on two bitmaps of one fixed width, inside a join: a pair
-    that it rules out is not made."""
+def _may_pair(o: JaccardOptions) -> Column:
+    """What two members ``a`` and ``b`` of a key have to meet inside a join, so that a pair
+    that is ruled out is not made: the sizes, the places and the bound of ``may_link`` on two
+    bitmaps of one width.
+
+    Linked sets meet at one of the ``common + 1`` first elements that they share: fewer than
+    that come before it, and no more than what follows it in either set from there on.
+    """
 
     def only(x: str, y: str) -> Column:
         missing = F.zip_with(x, y, lambda i, j: F.bit_count(i.bitwiseAND(F.bitwise_not(j))))
         return F.aggregate(missing, F.lit(0), lambda total, k: total + k)
 
-    most = F.least(F.col("na") - only("sa", "sb"), F.col("nb") - only("sb", "sa"))
-    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    return near & (most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
+    need = (F.col("na").cast("long") + F.col("nb")) * o.percent
+    near = F.least("na", "nb").cast("long") * 100 >= F.greatest("na", "nb").cast("long") * o.percent
+    rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")).cast("long") + o.common
+    most = F.least(F.col("na") - only("sa", "sb"), F.col("nb") - only("sb", "sa")).cast("long")
+    return near & (rest * (100 + o.percent) >= need) & (most * (100 + o.percent) >= need)
+
+
+def _shared_keys(o: JaccardOptions) -> Column:
+    """``JaccardOptions.shared_keys`` of the column ``n``."""
+    return F.least(F.lit(o.common + 1).cast("long"), F.expr(f"(n * {o.percent}L + 99) div 100"))
+
+
+_MEMBER = ("root", "part", "tile", "set_id", "n", "place")
 
 
 def _core(shared: DataFrame, o: JaccardOptions) -> DataFrame:
-    """``shared`` without the sets that cannot link: linked sets share more than ``common``
-    keys, so a set that shares fewer with all others together has no link.  What such sets
-    leave behind as keys of one set goes too, and the test is made again."""
+    """``shared`` without the sets that cannot link: a set that shares too few keys with all
+    others together has no link.  What such sets leave behind as keys of one set goes too,
+    and the test is made again."""
     for number in range(_CORE_ROUNDS):
         strong = (
-            shared.groupBy("set_id")
-            .agg(F.count_distinct("root").alias("n"))
-            .filter(F.col("n") > o.common)
+            shared.groupBy("set_id", "n")
+            .agg(F.count_distinct("root").alias("keys"))
+            .filter(F.col("keys") >= _shared_keys(o))
             .select("set_id")
         )
         left = shared.join(strong, "set_id")
@@ -347,38 +416,76 @@ def _core(shared: DataFrame, o: JaccardOptions) -> DataFrame:
             .filter("met")
             .select("root")
         )
-        shared = stage_table(left.join(met, "root").select("root", "part", "set_id"), f"core{number}")
+        shared = stage_table(left.join(met, "root").select(*_MEMBER), f"core{number}")
     return shared
 
 
 def _informative(shared: DataFrame, o: JaccardOptions) -> DataFrame:
     """The members of the keys, without those that other keys cover.
 
-    A key of very many sets is most often a common line.  Linked sets share more than
-    ``common`` keys; if one of them has no more than ``common`` keys of many sets, they meet
-    at a key of few sets as well.  So a key of many sets is only needed for the sets that
-    have more such keys: those of large groups of near copies.
+    A key of very many sets is most often a common line.  If fewer of a set's keys are of
+    many sets than it shares with any linked set, the two meet at a key of few sets as well.
+    So a key of many sets is only needed for the sets that have more such keys: those of
+    large groups of near copies.
     """
     many = stage_table(
         shared.groupBy("root")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > _COMMON)
+        .agg(F.count(F.lit(1)).alias("members"))
+        .filter(F.col("members") > _COMMON)
         .select("root", F.lit(True).alias("many")),
         "many",
     )
     marked = shared.join(many, "root", "left")
     heavy = stage_table(
         marked.filter("many")
-        .groupBy("set_id")
-        .agg(F.count_distinct("root").alias("n"))
-        .filter(F.col("n") > o.common)
+        .groupBy("set_id", "n")
+        .agg(F.count_distinct("root").alias("keys"))
+        .filter(F.col("keys") >= _shared_keys(o))
         .select("set_id", F.lit(True).alias("heavy")),
         "heavy",
     )
     return (
         marked.join(heavy, "set_id", "left")
         .filter("many is null or heavy")
-        .select("root", "part", "set_id")
+        .select(*_MEMBER)
+    )
+
+
+def _across(members: DataFrame, classes: DataFrame, parts: DataFrame, heads: bool, o: JaccardOptions) -> DataFrame:
+    """Pairs ``(set_id, hub)`` of sets that share a key and are in different components:
+    all of them, or only those of the smallest set of each key, tile and component."""
+    placed = members.select("root", "tile", "set_id", "n", "place").distinct()
+    labelled = stage_table(
+        placed.join(parts.withColumnRenamed("vertex", "set_id"), "set_id", "left").withColumn(
+            "component", F.coalesce("component", "set_id")
+        ),
+        "labelled",
+    )
+    mixed = (
+        labelled.groupBy("root")
+        .agg((F.min("component") < F.max("component")).alias("mixed"))
+        .filter("mixed")
+        .select("root")
+    )
+    met = labelled.join(mixed, "root")
+    if heads:
+        first = F.min(F.struct("set_id", "n", "place")).alias("first")
+        met = met.groupBy("root", "tile", "component").agg(first).select("root", "tile", "component", "first.*")
+    met = stage_table(met.join(classes.select("set_id", "sketch"), "set_id"), "open")
+
+    def side(x: str) -> list[Column]:
+        names = {"set_id": x, "component": f"c{x}", "n": f"n{x}", "place": f"p{x}", "sketch": f"s{x}"}
+        return [F.col(k).alias(v) for k, v in names.items()]
+
+    # a set meets those of its own tile and of the next
+    left = met.select("root", F.explode(F.array("tile", F.col("tile") + 1)).alias("tile"), F.col("tile").alias("ta"), *side("a"))
+    right = met.select("root", "tile", *side("b"))
+    apart = F.expr("ca < cb or (ca > cb and ta < tile)")
+    return (
+        left.join(right, ["root", "tile"])
+        .filter(apart & _may_pair(o))
+        .select(F.greatest("a", "b").alias("set_id"), F.least("a", "b").alias("hub"))
+        .distinct()
     )
 
 
@@ -390,16 +497,18 @@ def jaccard_components(
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id``: near-duplicate components, exact.
 
-    * Equal sets are one vertex.  A tile is a band of set sizes; in it the signature of a
-      set is cut into segments so that linked sets share one (``signature_keys``).
+    * Equal sets are one vertex; sets are told apart by 128 bits.
+    * The keys of a set are its rarest elements in one order for all sets, so that linked
+      sets share some (``prefix_order``); a tile is a band of set sizes.
     * Sets that share few keys with all others together have no link (``_core``).
     * Keys of many sets are left to the sets that have no others (``_informative``).
-    * The sets that share a key are a star around its smallest, and each set is paired with
-      the smallest of its stars, a few pairs a set.  Bit counts bound the intersection from
-      above, and the sets of what passes are intersected exactly.
-    * A key whose sets are not all in one component is looked at again: its sets of
-      different components are compared, but for pairs tested before.  So every pair that
-      shares a key is tested or already connected, and no link is lost.
+    * The sets of a tile that share a key are a star around its smallest, and each set is
+      paired with the smallest of its stars, a few pairs a set.  Bit counts bound the
+      intersection from above, and the sets of what passes are intersected exactly.
+    * A key whose sets are not all in one component is looked at again: first one set of
+      each component, then the sets of those still apart (``_across``), but for pairs tested
+      before.  So every pair that shares a key is tested, ruled out by its bounds or already
+      connected, and no link is lost.
     * Components come from large and small stars.
 
     Texts without words, null texts and rows with a null id are linked with nothing: their
@@ -414,6 +523,19 @@ def jaccard_components(
         "sets",
     )
     usable = sets.filter(F.col("n") > 0).filter(F.col("doc_id").isNotNull())
+    # expected: the square of the number of sets, over 2^65
+    clashes = frozenset(
+        r.set_id
+        for r in usable.groupBy("set_id")
+        .agg((F.min("check") < F.max("check")).alias("clash"))
+        .filter("clash")
+        .collect()
+    )
+    if clashes:
+        several = F.col("set_id").isin(*clashes)
+        both = F.col("set_id").bitwiseXOR(F.col("check"))
+        sets = sets.withColumn("set_id", F.when(several, both).otherwise(F.col("set_id")))
+        usable = sets.filter(F.col("n") > 0).filter(F.col("doc_id").isNotNull())
     grouped = usable.groupBy("set_id").agg(
         F.min("doc_id").alias("first_id"),
         (F.min("check") == F.max("check")).alias("one_set"),
@@ -425,55 +547,37 @@ def jaccard_components(
         F.raise_error(F.lit("two sets with one identity")).cast(kind)
     )
     classes = stage_table(grouped.select("set_id", same.alias("first_id"), "n", "bits", "sketch"), "classes")
+    levels = shingle_levels(rows, sets.count(), o)
+    shipped = docs.sparkSession.sparkContext.broadcast(levels.tobytes())
     signed = rows.filter(F.col("doc_id").isNotNull()).mapInPandas(
-        _signatures(o), "root bigint, part bigint, set_id bigint"
+        _signatures(o, shipped, clashes),
+        "root bigint, part bigint, tile int, set_id bigint, n int, place int",
     )
     group = Window.partitionBy("root", "part")
-    least, most = F.min("set_id").over(group), F.max("set_id").over(group)
     shared = stage_table(
-        signed.withColumns({"hub": least, "top": most})
-        .filter("hub <> top")
-        .select("root", "part", "set_id")
+        signed.withColumns({"least": F.min("set_id").over(group), "most": F.max("set_id").over(group)})
+        .filter("least <> most")
+        .select(*_MEMBER)
         .distinct(),
         "shared",
     )
     members = stage_table(_informative(_core(shared, o), o), "members")
-    stars = members.withColumn("hub", least).filter("set_id <> hub")
+    star = Window.partitionBy("root", "part", "tile")
+    stars = members.withColumn("hub", F.min("set_id").over(star)).filter("set_id <> hub")
     nearest = F.slice(F.array_sort(F.collect_set("hub")), 1, _HUBS)  # of one hub a key
     pairs = stage_table(
         stars.groupBy("set_id").agg(nearest.alias("hubs")).select("set_id", F.explode("hubs").alias("hub")),
         "pairs",
     )
-    found = _verify(pairs, classes, rows, o)
+    found = _verify(pairs, classes, rows, o, clashes)
     parts = connected_components(found)
-    labelled = members.select("root", "set_id").distinct().join(
-        parts.withColumnRenamed("vertex", "set_id"), "set_id", "left"
-    ).select("root", "set_id", F.coalesce("component", "set_id").alias("component"))
-    labelled = stage_table(labelled, "labelled")
-    mixed = (
-        labelled.groupBy("root")
-        .agg((F.min("component") < F.max("component")).alias("mixed"))
-        .filter("mixed")
-        .select("root")
-    )
-    open_rows = labelled.join(mixed, "root").join(classes.select("set_id", "n", "sketch"), "set_id")
-
-    def side(x: str) -> DataFrame:
-        names = {"set_id": x, "component": f"c{x}", "n": f"n{x}", "sketch": f"s{x}"}
-        return open_rows.select("root", *[F.col(k).alias(v) for k, v in names.items()])
-
-    crossed = (
-        side("a")
-        .join(side("b"), "root")
-        .filter(F.expr("ca < cb") & _sketches_allow(o.percent))
-        .select(F.greatest("a", "b").alias("set_id"), F.least("a", "b").alias("hub"))
-        .distinct()
-        .join(pairs, ["set_id", "hub"], "left_anti")
-    )
-    crossed = stage_table(crossed, "crossed")
-    if not crossed.isEmpty():
-        found = found.unionByName(_verify(crossed, classes, rows, o))
-        parts = connected_components(found)
+    for heads in (True, False):
+        crossed = _across(members, classes, parts, heads, o)
+        crossed = stage_table(crossed.join(pairs, ["set_id", "hub"], "left_anti"), "crossed")
+        if not crossed.isEmpty():
+            found = found.unionByName(_verify(crossed, classes, rows, o, clashes))
+            parts = connected_components(found)
+            pairs = pairs.unionByName(crossed)
     named = (
         classes.join(parts.withColumnRenamed("vertex", "set_id"), "set_id", "left")
         .select("set_id", "first_id", F.coalesce("component", "set_id").alias("component"))

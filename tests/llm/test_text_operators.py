@@ -160,8 +160,20 @@ def test_jaccard_edges(spark):
     assert sorted(str(r.component_id) for r in got) == ["3", "3", "None"]
 
 
+def test_sets_of_one_sum_are_told_apart(spark, monkeypatch):
+    """With a first sum of two bits nearly all sets clash, and both sums name them."""
+    whole = jaccard_join.set_identity
+    monkeypatch.setattr(jaccard_join, "set_identity", lambda s: (whole(s)[0] & 3, whole(s)[1]))
+    values = near_copies(random.Random(8))
+    got = jaccard_join.jaccard_components(texts(spark, values)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == jaccard_brute(
+        list(enumerate(values)), 5, 80
+    )
+
+
 def test_linked_sets_share_a_key_and_bounds_hold():
     rng = np.random.default_rng(5)
+    levels = rng.integers(0, 9, 1 << 16, dtype=np.uint8)
     for percent in (50, 80, 85, 95):
         o = jaccard_join.JaccardOptions(percent=percent)
         for _ in range(150):
@@ -176,9 +188,10 @@ def test_linked_sets_share_a_key_and_bounds_hold():
                 x, y = jaccard_join.bitmap(a, bits), jaccard_join.bitmap(b)
                 assert not linked or jaccard_join.may_link(len(a), x, len(b), y, percent)
             if linked:
-                keys = set(jaccard_join.signature_keys(a, o).tolist())
-                both = keys & set(jaccard_join.signature_keys(b, o).tolist())
-                assert len(both) > o.common
+                keys = set(jaccard_join.prefix_order(a, levels, o).tolist())
+                both = keys & set(jaccard_join.prefix_order(b, levels, o).tolist())
+                assert len(both) >= max(o.shared_keys(len(a)), o.shared_keys(len(b)))
+                assert abs(jaccard_join.tile_of(len(a), o) - jaccard_join.tile_of(len(b), o)) <= 1
 
 
 # --- substring dedup
