@@ -21,11 +21,13 @@ _CHUNK_ROWS = 1 << 19
 _CORE_ROUNDS = 2
 _SKETCH_BITS = 512
 _HUBS = 4  # stars that a set is tested at before components are looked at
-_COMMON = 32  # sets of one key, from which the key says little
+_STAR_ROUNDS = 3  # rounds of stars across components
+_MORE_HUBS = 8  # stars that a set is tested at in one of these
 _MEMBERS_PER_TASK = 2000
 _SLOT_BITS = (16, 22)  # least and most: the table of counts takes 4 MB at most
 _SLOTS_PER_SET = 16
 _PART_BITS = 14  # slots of one part of the table
+_LEVELS = 8  # levels from a count to its double
 
 
 @dataclass(frozen=True)
@@ -122,7 +124,7 @@ def _total_levels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     part, total = None, None
 
     def done() -> pd.DataFrame:
-        levels = np.ceil(np.log2(total + 1.0)).astype(np.uint8)
+        levels = np.minimum(np.rint(_LEVELS * np.log2(total + 1.0)), 255).astype(np.uint8)
         return pd.DataFrame({"part": [part], "levels": [levels.tobytes()]})
 
     for batch in batches:
@@ -137,7 +139,8 @@ def _total_levels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def shingle_levels(rows: DataFrame, sets: int, o: JaccardOptions) -> np.ndarray:
-    """Logarithms of approximate counts of shingles, a byte per slot of the hash space.
+    """Logarithms of approximate counts of shingles, a byte per slot of the hash space, in
+    steps fine enough to tell a slot with one shingle of a few texts from its like.
 
     The table has about 16 slots a set, 2^22 at most: it is what the driver gets and tasks
     are sent.  It decides what work is done, not what is found.
@@ -370,24 +373,25 @@ def _verify(
     return stage_table(met.mapInPandas(_compare(o), "u bigint, v bigint"), "links")
 
 
-def _may_pair(o: JaccardOptions) -> Column:
-    """What two members ``a`` and ``b`` of a key have to meet inside a join, so that a pair
-    that is ruled out is not made: the sizes, the places and the bound of ``may_link`` on two
-    bitmaps of one width.
-
-    Linked sets meet at one of the ``common + 1`` first elements that they share: fewer than
-    that come before it, and no more than what follows it in either set from there on.
-    """
+def _most_shared() -> Column:
+    """The bound of ``may_link`` on two bitmaps of one width: elements that ``a`` and ``b``
+    share at most."""
 
     def only(x: str, y: str) -> Column:
         missing = F.zip_with(x, y, lambda i, j: F.bit_count(i.bitwiseAND(F.bitwise_not(j))))
         return F.aggregate(missing, F.lit(0), lambda total, k: total + k)
 
-    need = (F.col("na").cast("long") + F.col("nb")) * o.percent
-    near = F.least("na", "nb").cast("long") * 100 >= F.greatest("na", "nb").cast("long") * o.percent
-    rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")).cast("long") + o.common
-    most = F.least(F.col("na") - only("sa", "sb"), F.col("nb") - only("sb", "sa")).cast("long")
-    return near & (rest * (100 + o.percent) >= need) & (most * (100 + o.percent) >= need)
+    return F.least(F.col("na") - only("sa", "sb"), F.col("nb") - only("sb", "sa")).cast("long")
+
+
+def _enough(shared: Column, o: JaccardOptions) -> Column:
+    """Whether so many shared elements make a link of ``a`` and ``b``."""
+    return shared * (100 + o.percent) >= (F.col("na") + F.col("nb")).cast("long") * o.percent
+
+
+def _side(x: str, *more: str) -> list[Column]:
+    names = {"set_id": x, "n": f"n{x}", "sketch": f"s{x}", **{m: f"{m}_{x}" for m in more}}
+    return [F.col(k).alias(v) for k, v in names.items()]
 
 
 def _shared_keys(o: JaccardOptions) -> Column:
@@ -402,14 +406,16 @@ def _core(shared: DataFrame, o: JaccardOptions) -> DataFrame:
     """``shared`` without the sets that cannot link: a set that shares too few keys with all
     others together has no link.  What such sets leave behind as keys of one set goes too,
     and the test is made again."""
+    own = Window.partitionBy("set_id")
+    fresh = F.coalesce(F.col("root") != F.lag("root").over(own.orderBy("root")), F.lit(True))
     for number in range(_CORE_ROUNDS):
-        strong = (
-            shared.groupBy("set_id", "n")
-            .agg(F.count_distinct("root").alias("keys"))
+        left = stage_table(
+            shared.withColumn("fresh", fresh.cast("long"))
+            .withColumn("keys", F.sum("fresh").over(own))
             .filter(F.col("keys") >= _shared_keys(o))
-            .select("set_id")
+            .select(*_MEMBER),
+            f"strong{number}",
         )
-        left = shared.join(strong, "set_id")
         met = (
             left.groupBy("root")
             .agg((F.min("set_id") < F.max("set_id")).alias("met"))
@@ -420,45 +426,13 @@ def _core(shared: DataFrame, o: JaccardOptions) -> DataFrame:
     return shared
 
 
-def _informative(shared: DataFrame, o: JaccardOptions) -> DataFrame:
-    """The members of the keys, without those that other keys cover.
-
-    A key of very many sets is most often a common line.  If fewer of a set's keys are of
-    many sets than it shares with any linked set, the two meet at a key of few sets as well.
-    So a key of many sets is only needed for the sets that have more such keys: those of
-    large groups of near copies.
-    """
-    many = stage_table(
-        shared.groupBy("root")
-        .agg(F.count(F.lit(1)).alias("members"))
-        .filter(F.col("members") > _COMMON)
-        .select("root", F.lit(True).alias("many")),
-        "many",
-    )
-    marked = shared.join(many, "root", "left")
-    heavy = stage_table(
-        marked.filter("many")
-        .groupBy("set_id", "n")
-        .agg(F.count_distinct("root").alias("keys"))
-        .filter(F.col("keys") >= _shared_keys(o))
-        .select("set_id", F.lit(True).alias("heavy")),
-        "heavy",
-    )
-    return (
-        marked.join(heavy, "set_id", "left")
-        .filter("many is null or heavy")
-        .select(*_MEMBER)
-    )
-
-
-def _across(members: DataFrame, classes: DataFrame, parts: DataFrame, heads: bool, o: JaccardOptions) -> DataFrame:
-    """Pairs ``(set_id, hub)`` of sets that share a key and are in different components:
-    all of them, or only those of the smallest set of each key, tile and component."""
-    placed = members.select("root", "tile", "set_id", "n", "place").distinct()
+def _open(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """The members, with their component, of the keys whose sets are in several ones."""
     labelled = stage_table(
-        placed.join(parts.withColumnRenamed("vertex", "set_id"), "set_id", "left").withColumn(
-            "component", F.coalesce("component", "set_id")
-        ),
+        members.select("root", "tile", "set_id", "n", "place")
+        .distinct()
+        .join(parts.withColumnRenamed("vertex", "set_id"), "set_id", "left")
+        .withColumn("component", F.coalesce("component", "set_id")),
         "labelled",
     )
     mixed = (
@@ -467,26 +441,67 @@ def _across(members: DataFrame, classes: DataFrame, parts: DataFrame, heads: boo
         .filter("mixed")
         .select("root")
     )
-    met = labelled.join(mixed, "root")
-    if heads:
-        first = F.min(F.struct("set_id", "n", "place")).alias("first")
-        met = met.groupBy("root", "tile", "component").agg(first).select("root", "tile", "component", "first.*")
-    met = stage_table(met.join(classes.select("set_id", "sketch"), "set_id"), "open")
+    return stage_table(labelled.join(mixed, "root"), "open")
+
+
+def _untested(crossed: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``crossed`` without the pairs that are among ``pairs``, either way round."""
+    low, high = F.least("set_id", "hub"), F.greatest("set_id", "hub")
+    tested = pairs.select(low.alias("x"), high.alias("y"))
+    return crossed.join(tested, (F.col("x") == low) & (F.col("y") == high), "left_anti")
+
+
+def _star_pairs(
+    open_rows: DataFrame, classes: DataFrame, pairs: DataFrame, number: int, o: JaccardOptions
+) -> DataFrame:
+    """Pairs ``(set_id, hub)``: a set and hubs of its keys and tile in other components.
+
+    Each key draws its hub anew in each round, and of its hubs a set takes the few whose
+    bitmaps are most like its own: in a group that hangs together loosely most are too far.
+    """
+    draw = F.struct(F.xxhash64("root", "set_id", F.lit(number)).alias("draw"), "set_id", "component")
+    hubs = (
+        open_rows.groupBy("root", "tile")
+        .agg(F.min(draw).alias("hub"))
+        .select("root", "tile", F.col("hub.set_id").alias("hub"), F.col("hub.component").alias("other"))
+    )
+    met = open_rows.join(hubs, ["root", "tile"]).filter("component <> other")
+    met = _untested(met.select("set_id", "hub").distinct(), pairs)
+    own = classes.select(F.col("set_id"), *_side("a")[1:])
+    others = classes.select(*_side("b")).withColumnRenamed("b", "hub")
+    rated = met.join(own, "set_id").join(others, "hub").withColumn("most", _most_shared())
+    likeness = (F.col("most") / (F.col("na") + F.col("nb"))).alias("likeness")
+    best = F.sort_array(F.collect_list(F.struct(likeness, "hub")), asc=False)
+    chosen = rated.filter(_enough(F.col("most"), o)).groupBy("set_id").agg(
+        F.slice(best, 1, _MORE_HUBS)["hub"].alias("hubs")
+    )
+    return chosen.select("set_id", F.explode("hubs").alias("hub"))
 
-    def side(x: str) -> list[Column]:
-        names = {"set_id": x, "component": f"c{x}", "n": f"n{x}", "place": f"p{x}", "sketch": f"s{x}"}
-        return [F.col(k).alias(v) for k, v in names.items()]
 
+def _all_pairs(
+    open_rows: DataFrame, classes: DataFrame, pairs: DataFrame, o: JaccardOptions
+) -> DataFrame:
+    """Pairs ``(set_id, hub)`` of all sets that share a key and are in different components.
+
+    Sizes, places and bitmaps are held against each other inside the join, so a pair that
+    they rule out is not made.  At the first element that two sets share, in their order,
+    they share no more than what follows it in either of them, itself included.
+    """
+    met = stage_table(open_rows.join(classes.select("set_id", "sketch"), "set_id"), "met")
     # a set meets those of its own tile and of the next
-    left = met.select("root", F.explode(F.array("tile", F.col("tile") + 1)).alias("tile"), F.col("tile").alias("ta"), *side("a"))
-    right = met.select("root", "tile", *side("b"))
-    apart = F.expr("ca < cb or (ca > cb and ta < tile)")
-    return (
+    tiles = F.explode(F.array("tile", F.col("tile") + 1)).alias("tile")
+    left = met.select("root", tiles, F.col("tile").alias("own_tile"), *_side("a", "component", "place"))
+    right = met.select("root", "tile", *_side("b", "component", "place"))
+    apart = F.expr("component_a < component_b or (component_a > component_b and own_tile < tile)")
+    near = F.least("na", "nb").cast("long") * 100 >= F.greatest("na", "nb").cast("long") * o.percent
+    rest = F.least(F.col("na") - F.col("place_a"), F.col("nb") - F.col("place_b")).cast("long")
+    made = (
         left.join(right, ["root", "tile"])
-        .filter(apart & _may_pair(o))
+        .filter(apart & near & _enough(rest, o) & _enough(_most_shared(), o))
         .select(F.greatest("a", "b").alias("set_id"), F.least("a", "b").alias("hub"))
         .distinct()
     )
+    return _untested(made, pairs)
 
 
 def jaccard_components(
@@ -501,14 +516,13 @@ def jaccard_components(
     * The keys of a set are its rarest elements in one order for all sets, so that linked
       sets share some (``prefix_order``); a tile is a band of set sizes.
     * Sets that share few keys with all others together have no link (``_core``).
-    * Keys of many sets are left to the sets that have no others (``_informative``).
     * The sets of a tile that share a key are a star around its smallest, and each set is
       paired with the smallest of its stars, a few pairs a set.  Bit counts bound the
       intersection from above, and the sets of what passes are intersected exactly.
-    * A key whose sets are not all in one component is looked at again: first one set of
-      each component, then the sets of those still apart (``_across``), but for pairs tested
-      before.  So every pair that shares a key is tested, ruled out by its bounds or already
-      connected, and no link is lost.
+    * A key whose sets are not all in one component is looked at again, but for pairs tested
+      before: a few rounds of stars around other sets (``_star_pairs``), then all its sets
+      that are still apart (``_all_pairs``).  So every pair that shares a key is tested,
+      ruled out by its bounds or already connected, and no link is lost.
     * Components come from large and small stars.
 
     Texts without words, null texts and rows with a null id are linked with nothing: their
@@ -561,7 +575,7 @@ def jaccard_components(
         .distinct(),
         "shared",
     )
-    members = stage_table(_informative(_core(shared, o), o), "members")
+    members = _core(shared, o)
     star = Window.partitionBy("root", "part", "tile")
     stars = members.withColumn("hub", F.min("set_id").over(star)).filter("set_id <> hub")
     nearest = F.slice(F.array_sort(F.collect_set("hub")), 1, _HUBS)  # of one hub a key
@@ -571,9 +585,13 @@ def jaccard_components(
     )
     found = _verify(pairs, classes, rows, o, clashes)
     parts = connected_components(found)
-    for heads in (True, False):
-        crossed = _across(members, classes, parts, heads, o)
-        crossed = stage_table(crossed.join(pairs, ["set_id", "hub"], "left_anti"), "crossed")
+    for number in range(_STAR_ROUNDS + 1):
+        open_rows = _open(members, parts)
+        if number < _STAR_ROUNDS:
+            crossed = _star_pairs(open_rows, classes, pairs, number, o)
+        else:
+            crossed = _all_pairs(open_rows, classes, pairs, o)
+        crossed = stage_table(crossed, "crossed")
         if not crossed.isEmpty():
             found = found.unionByName(_verify(crossed, classes, rows, o, clashes))
             parts = connected_components(found)

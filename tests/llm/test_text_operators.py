@@ -143,7 +143,8 @@ def near_copies(rng):
 def test_jaccard_components(spark, monkeypatch, n, percent, hot):
     monkeypatch.setattr(jaccard_join, "_HOT", hot)
     monkeypatch.setattr(jaccard_join, "_MEMBERS_PER_TASK", 3)
-    monkeypatch.setattr(jaccard_join, "_COMMON", hot // 2 + 1)
+    monkeypatch.setattr(jaccard_join, "_MORE_HUBS", 1)
+    monkeypatch.setattr(jaccard_join, "_STAR_ROUNDS", 1)
     values = near_copies(random.Random(n))
     df = texts(spark, values)
     options = jaccard_join.JaccardOptions(shingle=n, percent=percent)
