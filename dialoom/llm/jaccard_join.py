@@ -18,7 +18,6 @@ from dialoom.session import stage_table
 
 _HOT = 64  # rows of one key in one chunk of a task, from which they get a group of their own
 _CHUNK_ROWS = 1 << 19
-_CORE_ROUNDS = 2
 _SKETCH_BITS = 512
 _HUBS = 4  # stars that a set is tested at before components are looked at
 _STAR_ROUNDS = 3  # rounds of stars across components
@@ -404,33 +403,32 @@ _MEMBER = ("root", "part", "tile", "set_id", "n", "place")
 
 def _core(shared: DataFrame, o: JaccardOptions) -> DataFrame:
     """``shared`` without the sets that cannot link: a set that shares too few keys with all
-    others together has no link.  What such sets leave behind as keys of one set goes too,
-    and the test is made again."""
+    others together has no link.  What such sets leave behind as keys of one set goes too."""
     own = Window.partitionBy("set_id")
     fresh = F.coalesce(F.col("root") != F.lag("root").over(own.orderBy("root")), F.lit(True))
-    for number in range(_CORE_ROUNDS):
-        left = stage_table(
-            shared.withColumn("fresh", fresh.cast("long"))
-            .withColumn("keys", F.sum("fresh").over(own))
-            .filter(F.col("keys") >= _shared_keys(o))
-            .select(*_MEMBER),
-            f"strong{number}",
-        )
-        met = (
-            left.groupBy("root")
-            .agg((F.min("set_id") < F.max("set_id")).alias("met"))
-            .filter("met")
-            .select("root")
-        )
-        shared = stage_table(left.join(met, "root").select(*_MEMBER), f"core{number}")
-    return shared
+    left = stage_table(
+        shared.withColumn("fresh", fresh.cast("long"))
+        .withColumn("keys", F.sum("fresh").over(own))
+        .filter(F.col("keys") >= _shared_keys(o))
+        .select(*_MEMBER),
+        "strong",
+    )
+    met = (
+        left.groupBy("root")
+        .agg((F.min("set_id") < F.max("set_id")).alias("met"))
+        .filter("met")
+        .select("root")
+    )
+    return stage_table(left.join(met, "root").select(*_MEMBER), "core")
 
 
 def _open(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """The members, with their component, of the keys whose sets are in several ones."""
+    """The members, with their component, of the keys whose sets are in several ones.
+
+    Components only grow, so a key that is left out stays out.
+    """
     labelled = stage_table(
         members.select("root", "tile", "set_id", "n", "place")
-        .distinct()
         .join(parts.withColumnRenamed("vertex", "set_id"), "set_id", "left")
         .withColumn("component", F.coalesce("component", "set_id")),
         "labelled",
@@ -585,8 +583,9 @@ def jaccard_components(
     )
     found = _verify(pairs, classes, rows, o, clashes)
     parts = connected_components(found)
+    open_rows = members.select("root", "tile", "set_id", "n", "place").distinct()
     for number in range(_STAR_ROUNDS + 1):
-        open_rows = _open(members, parts)
+        open_rows = _open(open_rows, parts)
         if number < _STAR_ROUNDS:
             crossed = _star_pairs(open_rows, classes, pairs, number, o)
         else:
