@@ -39,8 +39,10 @@ class FilterOptions:
     second_filter: str = "ner"
     boost: float = 1.0
     force_num_bins: int | None = None
-    # rows per side of one similarity tile; bounds the memory of one task
-    tile_rows: int = 8192
+    # most vectors in a block of the near-duplicate search
+    tile_rows: int = 1024
+    # "unmatched": any earlier record drops a near one; "independent": only one that stays
+    survivors: str = "unmatched"
 
 
 @dataclass(frozen=True)

@@ -2,26 +2,14 @@
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as t
 
 from dialoom.functions import vectors as V
-from dialoom.operators.ranking import rank_by_range
+from dialoom.operators.cosine import DEFAULT_TILE_ROWS, earliest_partners
 from dialoom.session import stage_table
 
 _COPIES_PER_SALT = 100_000
-_PLANES = 48
-_PLANE_SEED = 5
-_BLOCKS_PER_GROUP = 256
-_BALLS = 16
-_NEAR_COSINE = 0.98
-_SLICE_ROWS = 512
-DEFAULT_TILE_ROWS = 1024
 
 
 def content_key(column: str = "conversation"):
@@ -46,203 +34,6 @@ def drop_exact_duplicates(df: DataFrame, column: str = "conversation") -> DataFr
     return df.join(stage_table(lost.select("conv_id"), "lost"), "conv_id", "left_anti")
 
 
-def _partner_schema(rows: DataFrame) -> t.StructType:
-    id_type = rows.schema["conv_id"].dataType
-    return t.StructType(
-        [
-            t.StructField("conv_id", id_type),
-            t.StructField("partner_nbytes", t.LongType()),
-            t.StructField("partner_id", id_type),
-        ]
-    )
-
-
-def _tile_search(threshold: float):
-    """Search one pair of blocks: the rows of two blocks against each other, or those of
-    one block among themselves.
-
-    Emits, for each row with an earlier row above the threshold, the earliest one; at
-    most one output row per input row.  Similarities are computed in slices, so memory
-    grows with the block and not with its square.
-    """
-
-    def search(pair: pd.DataFrame) -> pd.DataFrame:
-        ids = np.concatenate([np.asarray(x, dtype=object) for x in pair["ids"]])
-        sizes = np.concatenate([np.asarray(x, dtype=np.int64) for x in pair["sizes"]])
-        own = np.repeat(pair["block"].to_numpy(), [len(x) for x in pair["ids"]])
-        unit = np.concatenate(
-            [
-                np.frombuffer(u, np.float64).reshape(len(i), -1)
-                for u, i in zip(pair["units"], pair["ids"], strict=True)
-            ]
-        )
-        order = np.array(sorted(range(len(ids)), key=lambda i: (sizes[i], ids[i])))
-        ids, sizes, unit, own = ids[order], sizes[order], unit[order], own[order]
-        same_block = pair["a"].iat[0] == pair["b"].iat[0]
-        build = np.flatnonzero(own == pair["a"].iat[0])
-        probe = build if same_block else np.flatnonzero(own == pair["b"].iat[0])
-        found = []
-        first = np.full(len(probe), -1)  # earliest build row of each probe row
-        for start in range(0, len(build), _SLICE_ROWS):
-            rows = build[start : start + _SLICE_ROWS]
-            hit = unit[rows] @ unit[probe].T > threshold
-            earlier = hit & (rows[:, None] < probe[None, :])
-            fresh = (first < 0) & earlier.any(axis=0)
-            first[fresh] = rows[earlier.argmax(axis=0)[fresh]]
-            if not same_block:
-                later = hit & (rows[:, None] > probe[None, :])
-                any_later = later.any(axis=1)
-                found.append((rows[any_later], probe[later.argmax(axis=1)[any_later]]))
-        found.append((probe[first >= 0], first[first >= 0]))
-        late = np.concatenate([f[0] for f in found]).astype(int)
-        early = np.concatenate([f[1] for f in found]).astype(int)
-        return pd.DataFrame(
-            {"conv_id": ids[late], "partner_nbytes": sizes[early], "partner_id": ids[early]}
-        )
-
-    return search
-
-
-@F.pandas_udf(t.LongType())
-def _signature(units: pd.Series) -> pd.Series:
-    """On which side of each of a few fixed planes a vector lies.  Near vectors share most
-    of the leading bits, so an order by signature puts them close together."""
-    if not len(units):
-        return pd.Series([], dtype="int64")
-    unit = np.stack(units.to_numpy()).astype(np.float64, copy=False)
-    planes = np.random.default_rng(_PLANE_SEED).normal(size=(unit.shape[1], _PLANES))
-    return pd.Series(((unit @ planes) > 0) @ (1 << np.arange(_PLANES)[::-1]))
-
-
-def _balls(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """At most ``_BALLS`` directions and angles that hold all vectors: each next direction is
-    the vector farthest from those before, until all are near one.  A zero vector is near
-    nothing and needs no ball."""
-    directed = unit[np.linalg.norm(unit, axis=1) > 0.5]
-    if not len(directed):
-        return np.zeros((0, unit.shape[1])), np.zeros(0)
-    centers = [directed[0]]
-    best = directed @ centers[0]
-    home = np.zeros(len(directed), dtype=int)
-    while len(centers) < _BALLS and best.min() < _NEAR_COSINE:
-        centers.append(directed[best.argmin()])
-        cosines = directed @ centers[-1]
-        closer = cosines > best
-        home[closer], best[closer] = len(centers) - 1, cosines[closer]
-    angles = np.arccos(np.clip(best, -1, 1))
-    return np.stack(centers), np.array([angles[home == k].max() for k in range(len(centers))])
-
-
-def _pack(rows: pd.DataFrame) -> pd.DataFrame:
-    """A block as one row: its ids, sizes and vectors, and balls that hold the vectors."""
-    unit = np.stack(rows["unit"].to_numpy()).astype(np.float64, copy=False)
-    centers, radii = _balls(unit)
-    return pd.DataFrame(
-        {
-            "bin": [rows["bin"].iat[0]],
-            "block": [rows["block"].iat[0]],
-            "centers": [centers.tobytes()],
-            "radii": [radii.tolist()],
-            "ids": [rows["conv_id"].tolist()],
-            "sizes": [rows["nbytes"].tolist()],
-            "units": [unit.tobytes()],
-        }
-    )
-
-
-def _blocks(rows: DataFrame, tile_rows: int) -> DataFrame:
-    """Cut each bin, in the order of signatures, into blocks of ``tile_rows`` vectors.
-
-    Only bin, signature and id are sorted; the vectors follow in one join, and each of them
-    is written once, in the row of its block.
-    """
-    ranked = rank_by_range(
-        rows.select("bin", _signature("unit").alias("signature"), "conv_id"),
-        ["bin", "signature", "conv_id"],
-    )
-    firsts = ranked.groupBy("bin").agg(F.min("rank").alias("first"))
-    placed = ranked.join(firsts, "bin").select(
-        "bin", "conv_id", F.floor((F.col("rank") - F.col("first")) / tile_rows).alias("block")
-    )
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    packed = (
-        rows.join(placed, ["bin", "conv_id"])
-        .groupBy("bin", "block")
-        .applyInPandas(
-            _pack,
-            f"bin {kinds['bin']}, block bigint, centers binary, radii array<double>, "
-            f"ids array<{kinds['conv_id']}>, sizes array<bigint>, units binary",
-        )
-    )
-    return stage_table(packed, "blocks")
-
-
-def _all_balls(blocks: pd.DataFrame):
-    """Centres and radii of the balls of some blocks, and where those of each begin."""
-    counts = np.array([len(r) for r in blocks["radii"]])
-    radii = np.concatenate([np.asarray(r, dtype=float) for r in blocks["radii"]])
-    centers = np.frombuffer(b"".join(blocks["centers"]), np.float64)
-    begins = np.concatenate(([0], np.cumsum(counts)[:-1]))
-    return centers.reshape(len(radii), -1), radii, begins
-
-
-def _near_blocks(threshold: float):
-    """Block pairs of two groups of blocks that can hold a pair above the threshold.
-
-    Two vectors within ``acos(threshold)`` lie in balls whose centres are within that angle
-    and both radii (angles are a metric), so no pair is lost.
-    """
-    reach = math.acos(threshold) + 1e-7 if threshold >= 0 else math.inf
-
-    def run(groups: pd.DataFrame) -> pd.DataFrame:
-        if reach < math.inf:  # below an angle, a block of zero vectors meets nothing
-            groups = groups[groups["radii"].map(len) > 0]
-        left = groups[groups["side"] == 0]
-        right = groups[groups["side"] == 1] if (groups["g"] != groups["h"]).any() else left
-        if not len(left) or not len(right):
-            return pd.DataFrame({"bin": [], "a": [], "b": []})
-        if reach < math.inf:
-            a, wide_a, at_a = _all_balls(left)
-            b, wide_b, at_b = _all_balls(right)
-            near = np.arccos(np.clip(a @ b.T, -1, 1)) <= wide_a[:, None] + wide_b[None, :] + reach
-            near = np.logical_or.reduceat(np.logical_or.reduceat(near, at_a, axis=0), at_b, axis=1)
-        else:
-            near = np.ones((len(left), len(right)), dtype=bool)
-        rows, columns = np.nonzero(near)
-        first, second = left["block"].to_numpy()[rows], right["block"].to_numpy()[columns]
-        keep = first <= second
-        return pd.DataFrame({"bin": left["bin"].iat[0], "a": first[keep], "b": second[keep]})
-
-    return run
-
-
-def _block_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
-    """``(bin, a, b)``, ``a <= b``: only numbers, balls and radii of blocks take part.
-
-    A bin of very many blocks is cut into groups of them, and the groups are paired.
-    """
-    meta = blocks.select("bin", "block", "centers", "radii").withColumn(
-        "own", F.floor(F.col("block") / _BLOCKS_PER_GROUP)
-    )
-    groups = meta.groupBy("bin").agg(F.max("own").alias("last"))
-    sided = meta.join(groups, "bin")
-    as_left = F.transform(
-        F.sequence("own", "last"), lambda g: F.struct(F.col("own").alias("g"), g.alias("h"), F.lit(0).alias("side"))
-    )
-    as_right = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), F.col("own")),
-        lambda g: F.struct(g.alias("g"), F.col("own").alias("h"), F.lit(1).alias("side")),
-    )
-    met = sided.withColumn(
-        "at", F.explode(F.concat(as_left, F.filter(as_right, lambda p: p["g"] < p["h"])))
-    ).select("bin", "block", "centers", "radii", "at.*")
-    kind = blocks.schema["bin"].dataType.simpleString()
-    pairs = met.groupBy("bin", "g", "h").applyInPandas(
-        _near_blocks(threshold), f"bin {kind}, a bigint, b bigint"
-    )
-    return stage_table(pairs, "block-pairs")
-
-
 def _distinct_vectors(df: DataFrame) -> DataFrame:
     """One row per bin and vector: the earliest holder, and how many there are."""
     return (
@@ -258,27 +49,40 @@ def _distinct_vectors(df: DataFrame) -> DataFrame:
 
 
 def _first_partners(vectors: DataFrame, threshold: float, tile_rows: int) -> DataFrame:
-    """Earliest partner of every distinct vector that has an earlier one in its bin.
+    """Earliest partner of every distinct vector that has an earlier one in its bin."""
+    return earliest_partners(vectors.withColumn("late", F.lit(True)), threshold, tile_rows)[0]
+
 
-    One path for all sizes: a small bin is one block that meets itself.
+def _without_kept_neighbour(vectors: DataFrame, threshold: float, tile_rows: int) -> DataFrame:
+    """Ids of the lexicographically first maximal independent set of the graph of near pairs.
+
+    In each round a vector asks for its earliest neighbour among those that are kept or
+    undecided.  Without one it is kept; if that one is kept it is dropped; else it waits.
+    The earliest undecided vector always decides, so the rounds end, and each is a search
+    for the undecided only.
     """
-    rows = vectors.select("bin", "conv_id", "nbytes", "unit")
-    blocks = _blocks(rows, tile_rows)
-    pairs = _block_pairs(blocks, threshold)
-    wanted = pairs.select("bin", "a", "b", F.col("a").alias("block")).unionByName(
-        pairs.where("a <> b").select("bin", "a", "b", F.col("b").alias("block"))
-    )
-    packed = blocks.select("bin", "block", "ids", "sizes", "units")
-    schema = _partner_schema(rows)
-    search = _tile_search(threshold)
-    found = (
-        wanted.join(packed, ["bin", "block"]).groupBy("bin", "a", "b").applyInPandas(search, schema)
-    )
-    return (
-        found.groupBy("conv_id")
-        .agg(F.min(F.struct("partner_nbytes", "partner_id")).alias("partner"))
-        .select("conv_id", "partner.partner_nbytes", "partner.partner_id")
-    )
+    state = vectors.select("conv_id", F.lit(True).alias("late"))
+    while True:
+        rows = stage_table(vectors.join(state, "conv_id"), "undecided")
+        partners = earliest_partners(rows, threshold, tile_rows)[0]
+        asked = rows.select("conv_id", "late").join(
+            partners.select("conv_id", "partner_id"), "conv_id", "left"
+        )
+        # a row is kept if it was, or if nobody stands before it
+        status = stage_table(
+            asked.withColumn("kept", ~F.col("late") | F.col("partner_id").isNull()), "status"
+        )
+        keepers = status.where("kept").select(F.col("conv_id").alias("partner_id"))
+        waiting = stage_table(
+            status.where("NOT kept").join(keepers, "partner_id", "left_anti").select("conv_id"),
+            "waiting",
+        )
+        kept = status.where("kept").select("conv_id")
+        if waiting.isEmpty():
+            return kept
+        state = kept.withColumn("late", F.lit(False)).unionByName(
+            waiting.withColumn("late", F.lit(True))
+        )
 
 
 def duplicate_pairs(df: DataFrame, threshold: float, tile_rows: int = DEFAULT_TILE_ROWS) -> DataFrame:
@@ -333,17 +137,32 @@ def duplicate_pairs(df: DataFrame, threshold: float, tile_rows: int = DEFAULT_TI
     return of_heads.unionByName(copies)
 
 
-def near_duplicates(df: DataFrame, threshold: float, tile_rows: int = DEFAULT_TILE_ROWS) -> DataFrame:
-    """Drop each record that has an earlier record (by size and id) of the same bin with
-    cosine similarity above the threshold.
+def near_duplicates(
+    df: DataFrame,
+    threshold: float,
+    tile_rows: int = DEFAULT_TILE_ROWS,
+    survivors: str = "unmatched",
+) -> DataFrame:
+    """Drop records that are near an earlier one (by size and id) of the same bin: cosine
+    similarity above the threshold.
+
+    With ``survivors="unmatched"`` any earlier record counts, dropped ones too.  With
+    ``"independent"`` only a record that stays can drop another one, so of a chain whose ends
+    are apart both ends may stay, and each dropped record has a near one that stays.
 
-    Survivors are heads of their vector without a partner, so copies never meet each
-    other.  A zero vector, or one without embedding, has no partner and stays.
+    Copies of a vector share the fate of their head and never meet each other.  A zero
+    vector, or one without embedding, has no partner and stays.
     """
+    if survivors not in ("unmatched", "independent"):
+        raise ValueError(f"unknown rule of survivors: {survivors}")
     vectors = stage_table(_distinct_vectors(df), "vectors")
-    partners = _first_partners(vectors, threshold, tile_rows)
     alike = V.dot(F.col("unit"), F.col("unit")) > threshold
-    heads = vectors.where(alike).join(partners, "conv_id", "left_anti").select("conv_id")
+    if survivors == "independent":
+        staying = _without_kept_neighbour(vectors, threshold, tile_rows)
+        heads = vectors.where(alike).join(staying, "conv_id", "left_semi").select("conv_id")
+    else:
+        partners = _first_partners(vectors, threshold, tile_rows)
+        heads = vectors.where(alike).join(partners, "conv_id", "left_anti").select("conv_id")
     flagged = df.withColumn("_unit", V.l2_normalize(F.col("embedding")))
     alone = ~F.coalesce(V.dot(F.col("_unit"), F.col("_unit")) > threshold, F.lit(False))
     marked = flagged.join(heads.withColumn("_head", F.lit(True)), "conv_id", "left")

@@ -71,7 +71,10 @@ def curate(
                 # id, size and vector decide; the records follow in one join
                 narrow = records.select("conv_id", "nbytes", "embedding")
                 kept = near_duplicates(
-                    B.assign_bins(narrow, binning), f.similarity_threshold, f.tile_rows
+                    B.assign_bins(narrow, binning),
+                    f.similarity_threshold,
+                    f.tile_rows,
+                    f.survivors,
                 ).select("conv_id")
                 records = stages.table(
                     records.join(kept, "conv_id", "left_semi"), "deduplicated"

@@ -9,9 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from dialoom.functions import vectors as V
+from dialoom.operators import cosine as C
 from dialoom.operators import duplicates as D
 from dialoom.operators import embed as E
 from dialoom.operators import scores as S
+from dialoom.session import stage_table
 
 SCHEMA = "conv_id bigint, nbytes bigint, bin bigint, embedding array<double>"
 
@@ -147,15 +149,97 @@ def test_blocks_of_clusters_meet_few_others(spark):
     centers = rng.normal(size=(40, 768))
     vectors = [centers[i % 40] + 0.02 * rng.normal(size=768) for i in range(1600)]
     df = spark.createDataFrame(rows_of(vectors), SCHEMA)
-    unit = D._distinct_vectors(df).select("bin", "conv_id", "nbytes", "unit")
-    blocks = D._blocks(unit, 40)
-    pairs = D._block_pairs(blocks, 0.95).collect()
+    unit = D._distinct_vectors(df).withColumn("late", F.lit(True))
+    blocks = C._blocks(unit, 40, C.choose_heads(unit, 0.95))
+    pairs = C._block_pairs(blocks, 0.95).collect()
     n = blocks.count()
     assert n == 40 and sum(len(r.ids) for r in blocks.select("ids").collect()) == 1600
     copies = sum(2 if p.a != p.b else 1 for p in pairs) / n
     assert copies < 8
 
 
+def wide(n, dimensions, seed=17):
+    """Directions without structure; one in twenty is a slightly moved earlier one."""
+    rng = np.random.default_rng(seed)
+    vectors = rng.normal(size=(n, dimensions))
+    for i in range(19, n, 20):
+        vectors[i] = vectors[rng.integers(0, i)] + 0.2 * rng.normal(size=dimensions)
+    return list(vectors)
+
+
+def test_wide_vectors_without_structure_test_few_pairs(spark):
+    rows = rows_of(wide(1200, 256))
+    df = spark.createDataFrame(rows, SCHEMA)
+    vectors = stage_table(D._distinct_vectors(df).withColumn("late", F.lit(True)), "vectors")
+    found, tested = C.earliest_partners(vectors, 0.8, 100)
+    wanted = brute_force(rows, 0.8)
+    assert len(wanted) > 50
+    assert {r.conv_id: r.partner_id for r in found.collect()} == wanted
+    assert tested.count() <= 0.1 * 1200 * 1199 / 2
+    heads = C._blocks(vectors, 100, C.choose_heads(vectors, 0.8)).select(F.length("heads")).collect()
+    assert max(r[0] for r in heads) < 8 << 20
+
+
+def test_rows_whose_first_candidates_fail_ask_again(spark, monkeypatch):
+    """Heads of one coordinate let nearly all pairs pass; many rounds find the same rows."""
+    rows = rows_of(wide(160, 16))
+    df = spark.createDataFrame(rows, SCHEMA)
+    vectors = stage_table(D._distinct_vectors(df).withColumn("late", F.lit(True)), "vectors")
+    monkeypatch.setattr(C, "choose_heads", lambda v, _: np.eye(16)[:, :1])
+    monkeypatch.setattr(C, "_CELL_BYTES", 4 * 30 * 2)
+    monkeypatch.setattr(C, "_TESTS_PER_SALT", 20)
+    found, tested = C.earliest_partners(vectors, 0.7, 30)
+    assert {r.conv_id: r.partner_id for r in found.collect()} == brute_force(rows, 0.7)
+    assert tested.groupBy("conv_id", "partner_id").count().where("count > 1").isEmpty()
+
+
+def test_a_group_of_near_copies_costs_few_tests(spark):
+    rng = np.random.default_rng(9)
+    one = rng.normal(size=32)
+    rows = rows_of([one + 0.01 * rng.normal(size=32) for _ in range(900)])
+    df = spark.createDataFrame(rows, SCHEMA)
+    vectors = stage_table(D._distinct_vectors(df).withColumn("late", F.lit(True)), "vectors")
+    found, tested = C.earliest_partners(vectors, 0.9, 100)
+    assert found.count() == 899 and tested.count() <= 2 * 900
+
+
+def independent(rows, threshold):
+    """Greedy over the order: a row stays if no staying row of its bin is near."""
+    kept = []
+    for i, s, b, v in sorted(rows, key=lambda r: (r[1], r[0])):
+        x = np.array(v)
+        n = np.linalg.norm(x)
+        x = x / n if n else x
+        if not any(b == c and float(x @ y) > threshold for _, c, y in kept):
+            kept.append((i, b, x))
+    return {i for i, *_ in kept}
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 0.95])
+def test_independent_survivors_against_greedy(spark, threshold):
+    rng = np.random.default_rng(23)
+    angles = np.cumsum(rng.uniform(0, 0.35, size=60))  # long chains round the circle
+    vectors = [[math.cos(a), math.sin(a)] for a in angles]
+    vectors += [vectors[5]] * 20 + [[0.0, 0.0]] * 2
+    bins = [i % 2 for i in range(len(vectors))]
+    sizes = [int(x) for x in rng.integers(0, 12, size=len(vectors))]
+    rows = rows_of(vectors, bins, sizes)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.conv_id for r in D.near_duplicates(df, threshold, 16, "independent").collect()}
+    assert got == independent(rows, threshold)
+
+
+def test_ends_of_a_chain_stay_if_the_middle_goes(spark):
+    df = spark.createDataFrame(rows_of([[1, 0], [1, 1], [0, 1]]), SCHEMA)
+    got = sorted(r.conv_id for r in D.near_duplicates(df, 0.6, survivors="independent").collect())
+    assert got == [0, 2]
+    with pytest.raises(ValueError):
+        D.near_duplicates(df, 0.6, survivors="all")
+    empty = df.where("false")
+    assert D.near_duplicates(empty, 0.6, survivors="independent").count() == 0
+    assert D.near_duplicates(empty, 0.6).count() == 0
+
+
 def test_exact_duplicates_keep_the_first(spark):
     c = [("human", "a"), ("gpt", "b")]
     other_roles = [("human", "a"), ("system", "b")]

@@ -338,6 +338,34 @@ def _register_duplicates(suffix: str, tile_rows: int):
         )
 
 
+# the greedy walk through each bin in order: a row stays if none that stays is near
+@query(
+    "near_duplicates_independent",
+    f"""WITH RECURSIVE {WITH_COPIES},
+    placed AS (
+      SELECT *, row_number() OVER (PARTITION BY bin ORDER BY nbytes, conv_id) AS place FROM units),
+    near AS (
+      SELECT b.bin, b.place, any_value(b.conv_id) AS conv_id,
+        list(a.conv_id) FILTER (a.conv_id IS NOT NULL) AS earlier
+      FROM placed b LEFT JOIN placed a ON a.bin = b.bin AND a.place < b.place
+        AND list_dot_product(a.u, b.u) > {THRESHOLD}
+      GROUP BY b.bin, b.place),
+    walk AS (
+      SELECT DISTINCT bin, 0::BIGINT AS place, []::BIGINT[] AS kept FROM units
+      UNION ALL
+      SELECT w.bin, n.place, CASE WHEN list_has_any(coalesce(n.earlier, []), w.kept)
+        THEN w.kept ELSE list_append(w.kept, n.conv_id) END
+      FROM walk w JOIN near n ON n.bin = w.bin AND n.place = w.place + 1)
+    SELECT bin, unnest(kept) AS conv_id FROM walk
+    QUALIFY row_number() OVER (PARTITION BY bin ORDER BY place DESC) = 1""",
+)
+def independent(t):
+    """Survivors of which no two are near, and that every dropped row is near to."""
+    return D.near_duplicates(
+        with_copies(vectors(t)), THRESHOLD, survivors="independent"
+    ).select("conv_id", "bin")
+
+
 _register_duplicates("", D.DEFAULT_TILE_ROWS)
 _register_duplicates("_tiled", 32)
 
