@@ -11,6 +11,7 @@ from pyspark.sql import types as t
 from dialoom.config import OutputOptions
 from dialoom.operators.ranking import rank_in_groups
 from dialoom.session import stage_table
+from dialoom.sources.arrays import read_elements
 
 _RAW_MESSAGES = t.ArrayType(t.MapType(t.StringType(), t.StringType()))
 CONTAINERS = ("messages", "conversations", "conversation")
@@ -80,9 +81,9 @@ def _parsed(lines: DataFrame) -> DataFrame:
 
 
 def _direct_files(
-    spark: SparkSession, directory: str, pattern: str, exclude: Sequence[str], whole: bool
-) -> DataFrame:
-    """Texts of the files of a folder that match, without its subfolders: what an earlier
+    spark: SparkSession, directory: str, pattern: str, exclude: Sequence[str]
+) -> list[str]:
+    """Paths of the files of a folder that match, without its subfolders: what an earlier
     run wrote below it is not read."""
     path = f"{directory.rstrip('/')}/{pattern}"
     jvm = spark.sparkContext._jvm
@@ -90,28 +91,25 @@ def _direct_files(
     found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
     files = [s.getPath().toString() for s in found or [] if s.isFile()]
     names = set(exclude)
-    files = [f for f in files if f.rsplit("/", 1)[-1] not in names]
-    if not files:
-        return spark.createDataFrame([], "value string, file_name string")
-    return spark.read.text(files, wholetext=whole).select(
-        "value", F.col("_metadata.file_name").alias("file_name")
-    )
+    return [f for f in files if f.rsplit("/", 1)[-1] not in names]
 
 
 def read_json_array(
     spark: SparkSession, directory: str, pattern: str = "*.json", exclude: Sequence[str] = ()
 ) -> DataFrame:
-    """Files that hold one JSON array of records each; not recursive.  A file that does
-    not parse comes back as one row with ``_corrupt_record``."""
-    texts = _direct_files(spark, directory, pattern, exclude, whole=True)
-    elements = F.from_json("value", "array<string>")
-    rows = texts.select("file_name", "value", elements.alias("_elements"))
-    read = rows.where(F.col("_elements").isNotNull()).select(
-        F.explode("_elements").alias("value"), "file_name"
-    )
-    unread = rows.where(F.col("_elements").isNull() & (F.trim("value") != ""))
-    return _parsed(read).unionByName(
-        unread.select(F.col("value").alias("_corrupt_record"), "file_name"),
+    """Files that hold one JSON array of records each; not recursive.
+
+    Large files are split (see ``arrays``).  An element that is no record, and what belongs
+    to no whole element of an array, comes back with ``_corrupt_record``; the elements before
+    it are read.
+    """
+    files = _direct_files(spark, directory, pattern, exclude)
+    if not files:
+        return _parsed(spark.createDataFrame([], "value string, file_name string"))
+    elements = read_elements(spark, files)
+    broken = elements.where("NOT whole")
+    return _parsed(elements.where("whole").drop("whole")).unionByName(
+        broken.select(F.col("value").alias("_corrupt_record"), "file_name"),
         allowMissingColumns=True,
     )
 
@@ -123,7 +121,10 @@ def read_jsonl(
 
     A bad line comes back with ``_corrupt_record``; the lines after it are read.
     """
-    lines = _direct_files(spark, directory, pattern, exclude, whole=False)
+    files = _direct_files(spark, directory, pattern, exclude)
+    if not files:
+        return _parsed(spark.createDataFrame([], "value string, file_name string"))
+    lines = spark.read.text(files).select("value", F.col("_metadata.file_name").alias("file_name"))
     return _parsed(lines.where(F.trim("value") != ""))
 
 
