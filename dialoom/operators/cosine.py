@@ -140,7 +140,8 @@ def _blocks(rows: DataFrame, tile_rows: int, rotation: np.ndarray) -> DataFrame:
         rows.select("bin", _signature("unit").alias("signature"), "conv_id"),
         ["bin", "signature", "conv_id"],
     )
-    firsts = ranked.groupBy("bin").agg(F.min("rank").alias("first"))
+    # one row per bin, written so that the planner knows its size and leaves large bins spread
+    firsts = stage_table(ranked.groupBy("bin").agg(F.min("rank").alias("first")), "firsts")
     placed = ranked.join(firsts, "bin").select(
         "bin", "conv_id", F.floor((F.col("rank") - F.col("first")) / tile_rows).alias("block")
     )
