@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,3 +37,30 @@ def keep_rows(df: DataFrame, chosen: DataFrame, id_col: str, how: str = "left_se
     column of ``chosen``; a null id equals a null id."""
     right = chosen.toDF("__chosen_id")
     return df.join(right, df[f"`{id_col}`"].eqNullSafe(right["__chosen_id"]), how)
+
+
+def id_flags(ids: DataFrame) -> Callable[[Column], Column]:
+    """A test whether a value may be in the one column of ``ids``: never false for one that is.
+
+    It asks a table of flags by hash, 64 bytes per id within 64 kB and 4 MB, so it decides
+    which rows have to be joined, and the join decides the rest.
+    """
+    size = 1 << min(22, max(16, (64 * ids.count()).bit_length()))
+
+    def slot(value: Column) -> Column:
+        return F.xxhash64(value).bitwiseAND(F.lit(size - 1).cast("long")).cast("int")
+
+    table = bytearray(size)
+    for row in ids.select(slot(F.col(f"`{ids.columns[0]}`")).alias("slot")).distinct().toLocalIterator():
+        table[row["slot"]] = 1
+    flags = F.lit(table)
+    return lambda value: F.substring(flags, slot(value) + 1, F.lit(1)) == F.lit(bytearray(b"\x01"))
+
+
+def drop_rows(df: DataFrame, lost: DataFrame, id_col: str) -> DataFrame:
+    """Rows of ``df`` whose id is not in the one column of ``lost``.  Most rows pass without
+    a shuffle: only those that may be lost are joined."""
+    may_be_lost = id_flags(lost)(df[f"`{id_col}`"])
+    return df.filter(~may_be_lost).unionByName(
+        keep_rows(df.filter(may_be_lost), lost, id_col, "left_anti")
+    )

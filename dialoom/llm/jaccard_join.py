@@ -11,13 +11,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import narrow
+from dialoom.llm.common import id_flags, narrow
 from dialoom.llm.components import connected_components
 from dialoom.llm.wordhash import mix, word_chunks
-from dialoom.session import stage_table
+from dialoom.session import Stages, stage_table
 
-_HOT = 64  # rows of one key in one chunk of a task, from which they get a group of their own
-_CHUNK_ROWS = 1 << 19
+_HOT = 32  # rows of one key in one chunk of a task, from which they get a group of their own
+_CHUNK_ROWS = 1 << 18
 _SKETCH_BITS = 512
 _HUBS = 4  # stars that a set is tested at before components are looked at
 _STAR_ROUNDS = 3  # rounds of stars across components
@@ -325,6 +325,12 @@ def _within_bound(percent: int):
     return run
 
 
+def _flagged(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose id may be among those of ``wanted``, nearly always a few.  A join by id
+    alone would shuffle every text to find them."""
+    return rows.filter(id_flags(wanted.select("doc_id"))(F.col("doc_id")))
+
+
 def _bounded(pairs: DataFrame, classes: DataFrame, o: JaccardOptions) -> DataFrame:
     """The pairs ``(set_id, hub)`` whose bitmaps allow a link: an eighth of a byte per
     element moves, and no set yet."""
@@ -364,7 +370,7 @@ def _verify(
     wanted = stage_table(
         jobs.join(classes.select("set_id", F.col("first_id").alias("doc_id")), "set_id"), "wanted"
     )
-    texts = rows.join(wanted, "doc_id").select("text", "set_id", "jobs")
+    texts = _flagged(rows, wanted).join(wanted, "doc_id").select("text", "set_id", "jobs")
     shipped = texts.mapInPandas(
         _ship(o, clashes), "hub bigint, salt bigint, member boolean, set_id bigint, elements binary"
     )
@@ -401,12 +407,12 @@ def _shared_keys(o: JaccardOptions) -> Column:
 _MEMBER = ("root", "part", "tile", "set_id", "n", "place")
 
 
-def _core(shared: DataFrame, o: JaccardOptions) -> DataFrame:
+def _core(shared: DataFrame, o: JaccardOptions, tables: Stages) -> DataFrame:
     """``shared`` without the sets that cannot link: a set that shares too few keys with all
     others together has no link.  What such sets leave behind as keys of one set goes too."""
     own = Window.partitionBy("set_id")
     fresh = F.coalesce(F.col("root") != F.lag("root").over(own.orderBy("root")), F.lit(True))
-    left = stage_table(
+    left = tables.table(
         shared.withColumn("fresh", fresh.cast("long"))
         .withColumn("keys", F.sum("fresh").over(own))
         .filter(F.col("keys") >= _shared_keys(o))
@@ -419,15 +425,18 @@ def _core(shared: DataFrame, o: JaccardOptions) -> DataFrame:
         .filter("met")
         .select("root")
     )
-    return stage_table(left.join(met, "root").select(*_MEMBER), "core")
+    tables.release(shared)
+    core = tables.table(left.join(met, "root").select(*_MEMBER), "core")
+    tables.release(left)
+    return core
 
 
-def _open(members: DataFrame, parts: DataFrame) -> DataFrame:
+def _open(members: DataFrame, parts: DataFrame, tables: Stages) -> DataFrame:
     """The members, with their component, of the keys whose sets are in several ones.
 
     Components only grow, so a key that is left out stays out.
     """
-    labelled = stage_table(
+    labelled = tables.table(
         members.select("root", "tile", "set_id", "n", "place")
         .join(parts.withColumnRenamed("vertex", "set_id"), "set_id", "left")
         .withColumn("component", F.coalesce("component", "set_id")),
@@ -439,7 +448,9 @@ def _open(members: DataFrame, parts: DataFrame) -> DataFrame:
         .filter("mixed")
         .select("root")
     )
-    return stage_table(labelled.join(mixed, "root"), "open")
+    left = tables.table(labelled.join(mixed, "root"), "open")
+    tables.release(labelled)
+    return left
 
 
 def _untested(crossed: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -477,7 +488,7 @@ def _star_pairs(
 
 
 def _all_pairs(
-    open_rows: DataFrame, classes: DataFrame, pairs: DataFrame, o: JaccardOptions
+    open_rows: DataFrame, classes: DataFrame, pairs: DataFrame, o: JaccardOptions, tables: Stages
 ) -> DataFrame:
     """Pairs ``(set_id, hub)`` of all sets that share a key and are in different components.
 
@@ -485,7 +496,7 @@ def _all_pairs(
     they rule out is not made.  At the first element that two sets share, in their order,
     they share no more than what follows it in either of them, itself included.
     """
-    met = stage_table(open_rows.join(classes.select("set_id", "sketch"), "set_id"), "met")
+    met = tables.table(open_rows.join(classes.select("set_id", "sketch"), "set_id"), "met")
     # a set meets those of its own tile and of the next
     tiles = F.explode(F.array("tile", F.col("tile") + 1)).alias("tile")
     left = met.select("root", tiles, F.col("tile").alias("own_tile"), *_side("a", "component", "place"))
@@ -523,11 +534,14 @@ def jaccard_components(
       ruled out by its bounds or already connected, and no link is lost.
     * Components come from large and small stars.
 
+    Tables that nothing reads any more are dropped on the way.
+
     Texts without words, null texts and rows with a null id are linked with nothing: their
     component is their own id.  Rows with equal id and text are one document.  Extra
     columns are not read.
     """
     o = options or JaccardOptions()
+    tables = Stages(docs.sparkSession)
     rows = narrow(docs, doc_id=id_col, text=text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
     sets = stage_table(
@@ -558,7 +572,7 @@ def jaccard_components(
     same = F.when(F.col("one_set"), F.col("first_id")).otherwise(
         F.raise_error(F.lit("two sets with one identity")).cast(kind)
     )
-    classes = stage_table(grouped.select("set_id", same.alias("first_id"), "n", "bits", "sketch"), "classes")
+    classes = tables.table(grouped.select("set_id", same.alias("first_id"), "n", "bits", "sketch"), "classes")
     levels = shingle_levels(rows, sets.count(), o)
     shipped = docs.sparkSession.sparkContext.broadcast(levels.tobytes())
     signed = rows.filter(F.col("doc_id").isNotNull()).mapInPandas(
@@ -566,14 +580,14 @@ def jaccard_components(
         "root bigint, part bigint, tile int, set_id bigint, n int, place int",
     )
     group = Window.partitionBy("root", "part")
-    shared = stage_table(
+    shared = tables.table(
         signed.withColumns({"least": F.min("set_id").over(group), "most": F.max("set_id").over(group)})
         .filter("least <> most")
         .select(*_MEMBER)
         .distinct(),
         "shared",
     )
-    members = _core(shared, o)
+    members = _core(shared, o, tables)
     star = Window.partitionBy("root", "part", "tile")
     stars = members.withColumn("hub", F.min("set_id").over(star)).filter("set_id <> hub")
     nearest = F.slice(F.array_sort(F.collect_set("hub")), 1, _HUBS)  # of one hub a key
@@ -583,13 +597,15 @@ def jaccard_components(
     )
     found = _verify(pairs, classes, rows, o, clashes)
     parts = connected_components(found)
-    open_rows = members.select("root", "tile", "set_id", "n", "place").distinct()
+    before, open_rows = members, members.select("root", "tile", "set_id", "n", "place").distinct()
     for number in range(_STAR_ROUNDS + 1):
-        open_rows = _open(open_rows, parts)
+        open_rows = _open(open_rows, parts, tables)
+        tables.release(before)
+        before = open_rows
         if number < _STAR_ROUNDS:
             crossed = _star_pairs(open_rows, classes, pairs, number, o)
         else:
-            crossed = _all_pairs(open_rows, classes, pairs, o)
+            crossed = _all_pairs(open_rows, classes, pairs, o, tables)
         crossed = stage_table(crossed, "crossed")
         if not crossed.isEmpty():
             found = found.unionByName(_verify(crossed, classes, rows, o, clashes))
@@ -601,6 +617,7 @@ def jaccard_components(
     )
     names = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_set = stage_table(named.join(names, "component").select("set_id", "component_id"), "names")
+    tables.drop()
     joined = sets.drop("bits", "sketch").join(by_set, "set_id", "left")
     linked = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id"))
     return joined.select(

@@ -12,6 +12,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # from Spark 4.1 on
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir``, or what the context
@@ -34,11 +36,26 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _write(df: DataFrame, path: str) -> None:
+    """Write a table once; the shuffle files of this write go as soon as it ends, not when
+    the driver next happens to collect what refers to them."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            conf.unset(_CLEANUP)
+        else:
+            conf.set(_CLEANUP, before)
+
+
 def stage_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the table read back."""
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    _write(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -72,16 +89,25 @@ class Stages:
     """Tables staged during a run; all but those to keep go when it is done."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, []
+        self.spark, self.paths, self.open = spark, [], []
 
     def table(self, df: DataFrame, label: str, keep: bool = False) -> DataFrame:
         path = new_folder(self.spark, label)
-        df.write.parquet(path)
+        _write(df, path)
+        table = self.spark.read.schema(df.schema).parquet(path)
         if not keep:
             self.paths.append(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+            self.open.append((table, path))
+        return table
+
+    def release(self, *tables: DataFrame) -> None:
+        """Drop tables that nothing reads any more; others than those staged here stay."""
+        for path in [p for t, p in self.open if any(t is x for x in tables)]:
+            drop_folder(self.spark, path)
+            self.paths.remove(path)
+        self.open = [(t, p) for t, p in self.open if p in self.paths]
 
     def drop(self) -> None:
         for path in self.paths:
             drop_folder(self.spark, path)
-        self.paths = []
+        self.paths, self.open = [], []

@@ -418,3 +418,31 @@ def test_pipeline_reruns_agree(spark):
     one = sorted(r.doc_id for r in corpus_pipeline.run(spark, SF).select("doc_id").collect())
     two = sorted(r.doc_id for r in corpus_pipeline.run(spark, SF).select("doc_id").collect())
     assert hashlib.sha256(str(one).encode()).digest() == hashlib.sha256(str(two).encode()).digest()
+
+
+def test_released_tables_go_and_the_others_stay(spark):
+    from dialoom.session import Stages, stage_table
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    tables = Stages(spark)
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    one, two = tables.table(df, "released"), tables.table(df, "kept")
+    again = stage_table(one.join(two.select("k"), "k"), "joined")
+    assert spark.conf.get(key, None) == before
+    tables.release(one, again)  # the last one is not of these tables
+    assert again.count() == 7 and two.count() == 7
+    with pytest.raises(Exception, match="(?i)not.exist|not.found|released"):
+        spark.read.schema(df.schema).parquet(one.inputFiles()[0]).count()
+
+
+def test_wanted_texts_are_found_by_flags(spark):
+    from dialoom.llm import jaccard_join
+
+    rows = spark.range(20000).select(
+        F.when(F.col("id") % 3000 > 0, F.col("id")).alias("doc_id"), F.lit("x").alias("text")
+    )
+    wanted = spark.range(0, 20000, 250).toDF("doc_id")
+    some = {r.doc_id for r in jaccard_join._flagged(rows, wanted).collect()}
+    assert {r.doc_id for r in wanted.collect()} - some <= {0, 3000, 6000, 9000, 12000, 15000, 18000}
+    assert len(some) < 2000
