@@ -420,6 +420,32 @@ def test_pipeline_reruns_agree(spark):
     assert hashlib.sha256(str(one).encode()).digest() == hashlib.sha256(str(two).encode()).digest()
 
 
+def test_stages_on_repeated_rows_and_without_copies(spark):
+    import os
+
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [
+        (1, long, "en", "a", None), (1, long, "en", None, 5), (1, long, "en", None, 5),
+        (None, long + " end", "en", "a", 1), (None, long + " end", "en", "a", 1),
+        (None, long + " end", None, "en", 1),
+        (7, "other words here now", "en", "a", 2), (7, "other words here now", "en", "a", 2),
+        (8, "", "en", "a", 3), (8, "", "en", "a", 3),
+    ]
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    docs = spark.createDataFrame(rows, schema)
+    names = {"rows", "__row"}
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(folder))
+    exact = sorted(r.doc_id or 0 for r in corpus_pipeline.exact_stage(spark, docs, SF).collect())
+    assert exact == [0, 1, 7, 8]
+    near = corpus_pipeline.near_stage(spark, docs, SF).collect()
+    assert sorted(r.doc_id or 0 for r in near) == [1, 7, 8, 8]
+    clean = corpus_pipeline.benchmark_stage(spark, docs, SF).collect()
+    assert len(clean) == len(rows)
+    made = {n.rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before}
+    assert made and not made & names  # no stage writes its input once more
+
+
 def test_released_tables_go_and_the_others_stay(spark):
     from dialoom.session import Stages, stage_table
 
