@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,19 +44,30 @@ def keep_rows(df: DataFrame, chosen: DataFrame, id_col: str, how: str = "left_se
 def id_flags(ids: DataFrame) -> Callable[[Column], Column]:
     """A test whether a value may be in the one column of ``ids``: never false for one that is.
 
-    It asks a table of flags by hash, 64 bytes per id within 64 kB and 4 MB, so it decides
-    which rows have to be joined, and the join decides the rest.
+    It asks a broadcast table of flags by hash, 64 bits per id within 8 kB and 4 MB, so it
+    decides which rows have to be joined, and the join decides the rest.
     """
-    size = 1 << min(22, max(16, (64 * ids.count()).bit_length()))
+    bits = min(25, max(16, (64 * ids.count()).bit_length()))
 
     def slot(value: Column) -> Column:
-        return F.xxhash64(value).bitwiseAND(F.lit(size - 1).cast("long")).cast("int")
-
-    table = bytearray(size)
-    for row in ids.select(slot(F.col(f"`{ids.columns[0]}`")).alias("slot")).distinct().toLocalIterator():
-        table[row["slot"]] = 1
-    flags = F.lit(table)
-    return lambda value: F.substring(flags, slot(value) + 1, F.lit(1)) == F.lit(bytearray(b"\x01"))
+        return F.xxhash64(value).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+
+    flags = np.zeros(1 << (bits - 6), np.int64)
+    at = slot(F.col(f"`{ids.columns[0]}`"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+    by_word = ids.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(bit).alias("flags"))
+    for row in by_word.toLocalIterator():
+        flags[row["word"]] = row["flags"]
+    shipped = ids.sparkSession.sparkContext.broadcast(flags.tobytes())
+
+    @F.pandas_udf("boolean")
+    def flagged(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        table = np.frombuffer(shipped.value, np.int64)
+        for batch in batches:
+            at = batch.to_numpy()
+            yield pd.Series((table[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return lambda value: flagged(slot(value))
 
 
 def drop_rows(df: DataFrame, lost: DataFrame, id_col: str) -> DataFrame:
