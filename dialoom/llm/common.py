@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,39 +38,35 @@ def keep_rows(df: DataFrame, chosen: DataFrame, id_col: str, how: str = "left_se
     return df.join(right, df[f"`{id_col}`"].eqNullSafe(right["__chosen_id"]), how)
 
 
-def id_flags(ids: DataFrame) -> Callable[[Column], Column]:
-    """A test whether a value may be in the one column of ``ids``: never false for one that is.
+def with_flag(df: DataFrame, id_col: str, ids: DataFrame, flag: str) -> DataFrame:
+    """``df`` and a column: whether a row's id may be in the one column of ``ids``, never
+    false for one that is.  It decides which rows have to be joined, and the join the rest.
 
-    It asks a broadcast table of flags by hash, 64 bits per id within 8 kB and 4 MB, so it
-    decides which rows have to be joined, and the join decides the rest.
+    An id sets four of the 64 bits of a word, and four ids at most share a word: 16 bits or
+    more per id, within 8 kB and 4 MB.  The words are a broadcast table, so the test is a lookup in the
+    task: a test in Python would give each task a second worker beside its operator's.
     """
-    bits = min(25, max(16, (64 * ids.count()).bit_length()))
+    bits = min(19, max(10, (ids.count() // 4).bit_length()))
 
-    def slot(value: Column) -> Column:
-        return F.xxhash64(value).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+    def word(hashed: Column) -> Column:
+        return F.shiftrightunsigned(hashed, 64 - bits)
 
-    flags = np.zeros(1 << (bits - 6), np.int64)
-    at = slot(F.col(f"`{ids.columns[0]}`"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
-    by_word = ids.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(bit).alias("flags"))
-    for row in by_word.toLocalIterator():
-        flags[row["word"]] = row["flags"]
-    shipped = ids.sparkSession.sparkContext.broadcast(flags.tobytes())
+    def marks(hashed: Column) -> Column:
+        places = [F.shiftright(hashed, 6 * k).bitwiseAND(F.lit(63)).cast("int") for k in range(4)]
+        one = F.lit(1).cast("long")
+        return reduce(Column.bitwiseOR, [F.call_function("shiftleft", one, x) for x in places])
 
-    @F.pandas_udf("boolean")
-    def flagged(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = np.frombuffer(shipped.value, np.int64)
-        for batch in batches:
-            at = batch.to_numpy()
-            yield pd.Series((table[at >> 6] >> (at & 63)) & 1 == 1)
-
-    return lambda value: flagged(slot(value))
+    of_id = F.xxhash64(F.col(f"`{ids.columns[0]}`"))
+    words = ids.groupBy(word(of_id).alias("__word")).agg(F.bit_or(marks(of_id)).alias("__marks"))
+    own = F.xxhash64(F.col(f"`{id_col}`"))
+    found = df.join(F.broadcast(words), word(own) == F.col("__word"), "left")
+    hit = F.col("__marks").bitwiseAND(marks(own)) == marks(own)
+    return found.withColumn(flag, F.coalesce(hit, F.lit(False))).drop("__word", "__marks")
 
 
 def drop_rows(df: DataFrame, lost: DataFrame, id_col: str) -> DataFrame:
     """Rows of ``df`` whose id is not in the one column of ``lost``.  Most rows pass without
     a shuffle: only those that may be lost are joined."""
-    may_be_lost = id_flags(lost)(df[f"`{id_col}`"])
-    return df.filter(~may_be_lost).unionByName(
-        keep_rows(df.filter(may_be_lost), lost, id_col, "left_anti")
-    )
+    flagged = with_flag(df, id_col, lost, "__may_be_lost")
+    judged = keep_rows(flagged.filter("__may_be_lost"), lost, id_col, "left_anti")
+    return flagged.filter("not __may_be_lost").unionByName(judged).drop("__may_be_lost")

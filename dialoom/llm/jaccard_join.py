@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import id_flags, narrow
+from dialoom.llm.common import narrow, with_flag
 from dialoom.llm.components import connected_components
 from dialoom.llm.wordhash import mix, word_chunks
 from dialoom.session import Stages, stage_table
@@ -328,7 +328,8 @@ def _within_bound(percent: int):
 def _flagged(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """The rows whose id may be among those of ``wanted``, nearly always a few.  A join by id
     alone would shuffle every text to find them."""
-    return rows.filter(id_flags(wanted.select("doc_id"))(F.col("doc_id")))
+    flagged = with_flag(rows, "doc_id", wanted.select("doc_id"), "may_be_wanted")
+    return flagged.filter("may_be_wanted").drop("may_be_wanted")
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame, o: JaccardOptions) -> DataFrame:

@@ -472,3 +472,27 @@ def test_wanted_texts_are_found_by_flags(spark):
     some = {r.doc_id for r in jaccard_join._flagged(rows, wanted).collect()}
     assert {r.doc_id for r in wanted.collect()} - some <= {0, 3000, 6000, 9000, 12000, 15000, 18000}
     assert len(some) < 2000
+
+
+def test_flags_take_no_python_worker(spark):
+    """Rows with and without id, and repeated ids, are dropped as by the join alone, and no
+    test by flags asks a Python worker beside that of the operator."""
+    from dialoom.llm import jaccard_join
+    from dialoom.llm.common import drop_rows, with_flag
+
+    key = F.when(F.col("id") % 7 > 0, F.concat(F.lit("k"), F.col("id") % 5000))
+    rows = spark.range(20000).select(key.alias("key"), F.col("id").alias("doc_id"))
+    for picked in ("key = 'k17' or key is null", "doc_id % 9 = 0", "doc_id < 0"):
+        lost = rows.filter(picked).select("key")
+        gone = {r.key for r in lost.collect()}
+        left = drop_rows(rows, lost, "key")
+        assert left.columns == rows.columns
+        assert "Python" not in left._jdf.queryExecution().executedPlan().toString()
+        want = sorted(r.doc_id for r in rows.collect() if r.key not in gone)
+        assert sorted(r.doc_id for r in left.collect()) == want
+        flagged = with_flag(rows, "key", lost, "flag").groupBy("flag").agg(F.count("*").alias("n"))
+        passed = {r.flag: r.n for r in flagged.collect()}.get(False, 0)
+        assert len(want) * 0.95 <= passed <= len(want)
+    some = jaccard_join._flagged(rows, rows.filter("doc_id % 50 = 0").select("doc_id"))
+    assert "Python" not in some._jdf.queryExecution().executedPlan().toString()
+    assert 400 <= some.count() < 600
