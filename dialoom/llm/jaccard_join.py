@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from dialoom.llm.common import narrow, with_flag
 from dialoom.llm.components import connected_components
 from dialoom.llm.wordhash import mix, word_chunks
-from dialoom.session import Stages, stage_table
+from dialoom.session import Stages, small_batches, stage_table
 
 _HOT = 32  # rows of one key in one chunk of a task, from which they get a group of their own
 _CHUNK_ROWS = 1 << 18
@@ -541,9 +541,14 @@ def jaccard_components(
     component is their own id.  Rows with equal id and text are one document.  Extra
     columns are not read.
     """
-    o = options or JaccardOptions()
-    tables = Stages(docs.sparkSession)
     rows = narrow(docs, doc_id=id_col, text=text_col)
+    with small_batches(docs.sparkSession):
+        return _components(rows, options or JaccardOptions())
+
+
+def _components(rows: DataFrame, o: JaccardOptions) -> DataFrame:
+    """``jaccard_components`` of ``doc_id, text``."""
+    tables = Stages(rows.sparkSession)
     kind = rows.schema["doc_id"].dataType.simpleString()
     sets = stage_table(
         rows.mapInPandas(_identities(o), f"doc_id {kind}, n bigint, set_id bigint, check bigint, bits binary, sketch array<bigint>"),
@@ -575,7 +580,7 @@ def jaccard_components(
     )
     classes = tables.table(grouped.select("set_id", same.alias("first_id"), "n", "bits", "sketch"), "classes")
     levels = shingle_levels(rows, sets.count(), o)
-    shipped = docs.sparkSession.sparkContext.broadcast(levels.tobytes())
+    shipped = rows.sparkSession.sparkContext.broadcast(levels.tobytes())
     signed = rows.filter(F.col("doc_id").isNotNull()).mapInPandas(
         _signatures(o, shipped, clashes),
         "root bigint, part bigint, tile int, set_id bigint, n int, place int",

@@ -9,10 +9,13 @@ size of a written table, so small ones are broadcast by its own threshold.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # from Spark 4.1 on
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"  # from Spark 4.0 on
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,19 +39,31 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def _write(df: DataFrame, path: str) -> None:
-    """Write a table once; the shuffle files of this write go as soon as it ends, not when
-    the driver next happens to collect what refers to them."""
-    conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP, None)
-    conf.set(_CLEANUP, "true")
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session for what is written or collected inside."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
-        df.write.parquet(path)
+        yield
     finally:
         if before is None:
-            conf.unset(_CLEANUP)
+            spark.conf.unset(key)
         else:
-            conf.set(_CLEANUP, before)
+            spark.conf.set(key, before)
+
+
+def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
+    """Rows go to Python workers some 4 MB at a time instead of 64: a worker holds them as
+    Arrow and as Python objects, next to its executor's own copy."""
+    return setting(spark, _BATCH, str(4 << 20))
+
+
+def _write(df: DataFrame, path: str) -> None:
+    """Write a table once; the shuffle files of this write go as soon as it ends, not when
+    the driver next happens to collect what refers to them."""
+    with setting(df.sparkSession, _CLEANUP, "true"):
+        df.write.parquet(path)
 
 
 def stage_table(df: DataFrame, label: str) -> DataFrame:
