@@ -496,3 +496,28 @@ def test_flags_take_no_python_worker(spark):
     some = jaccard_join._flagged(rows, rows.filter("doc_id % 50 = 0").select("doc_id"))
     assert "Python" not in some._jdf.queryExecution().executedPlan().toString()
     assert 400 <= some.count() < 600
+
+
+def test_join_sends_few_texts_at_a_time(spark, monkeypatch):
+    """The bytes of a batch hold while the join runs, and not after it, even if it fails."""
+    import pandas as pd
+
+    from dialoom.llm import jaccard_join
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for batch in batches:
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    def stop(rows, *_):
+        long = spark.range(0, 8000, 1, 1).select(F.repeat(F.lit("abcd"), 1000).alias("text"))
+        assert 1 < max(r.n for r in long.mapInPandas(sizes, "n long").collect()) <= 1200
+        raise InterruptedError
+
+    before = spark.conf.get(key, None)
+    monkeypatch.setattr(jaccard_join, "shingle_levels", stop)
+    docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    with pytest.raises(InterruptedError):
+        jaccard_join.jaccard_components(docs)
+    assert spark.conf.get(key, None) == before
