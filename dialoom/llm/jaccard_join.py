@@ -533,7 +533,7 @@ def jaccard_components(
       before: a few rounds of stars around other sets (``_star_pairs``), then all its sets
       that are still apart (``_all_pairs``).  So every pair that shares a key is tested,
       ruled out by its bounds or already connected, and no link is lost.
-    * Components come from large and small stars.
+    * Components come from large and small stars; links found later join these components.
 
     Tables that nothing reads any more are dropped on the way.
 
@@ -593,6 +593,7 @@ def _components(rows: DataFrame, o: JaccardOptions) -> DataFrame:
         .distinct(),
         "shared",
     )
+    shipped.destroy()  # its keys are written; the driver need not hold the table till its garbage goes
     members = _core(shared, o, tables)
     star = Window.partitionBy("root", "part", "tile")
     stars = members.withColumn("hub", F.min("set_id").over(star)).filter("set_id <> hub")
@@ -601,8 +602,7 @@ def _components(rows: DataFrame, o: JaccardOptions) -> DataFrame:
         stars.groupBy("set_id").agg(nearest.alias("hubs")).select("set_id", F.explode("hubs").alias("hub")),
         "pairs",
     )
-    found = _verify(pairs, classes, rows, o, clashes)
-    parts = connected_components(found)
+    parts = connected_components(_verify(pairs, classes, rows, o, clashes))
     before, open_rows = members, members.select("root", "tile", "set_id", "n", "place").distinct()
     for number in range(_STAR_ROUNDS + 1):
         open_rows = _open(open_rows, parts, tables)
@@ -614,8 +614,7 @@ def _components(rows: DataFrame, o: JaccardOptions) -> DataFrame:
             crossed = _all_pairs(open_rows, classes, pairs, o, tables)
         crossed = stage_table(crossed, "crossed")
         if not crossed.isEmpty():
-            found = found.unionByName(_verify(crossed, classes, rows, o, clashes))
-            parts = connected_components(found)
+            parts = connected_components(_verify(crossed, classes, rows, o, clashes), parts)
             pairs = pairs.unionByName(crossed)
     named = (
         classes.join(parts.withColumnRenamed("vertex", "set_id"), "set_id", "left")

@@ -8,9 +8,10 @@ import re
 
 import numpy as np
 import pytest
+from pyspark import Broadcast
 from pyspark.sql import functions as F
 
-from dialoom.llm import common, decontaminate, exact_dedup, jaccard_join, language_id
+from dialoom.llm import common, components, decontaminate, exact_dedup, jaccard_join, language_id
 from dialoom.llm import mixing, substring_dedup, wordhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -172,6 +173,88 @@ def test_sets_of_one_sum_are_told_apart(spark, monkeypatch):
     )
 
 
+def joined(links):
+    """Component of each vertex, by union and find."""
+    above = {}
+
+    def root(x):
+        while above.setdefault(x, x) != x:
+            x = above[x]
+        return x
+
+    for u, v in links:
+        if u != v:
+            u, v = root(u), root(v)
+            above[max(u, v)] = min(u, v)
+    return {x: root(x) for x in above}
+
+
+def test_components_of_links_in_lots(spark, monkeypatch):
+    """The driver's memory grows with the rounds: a lot that joins nothing, or that is stars
+    already, takes none."""
+    written = []
+    stage = components.stage_table
+    monkeypatch.setattr(components, "stage_table", lambda df, name: written.append(name) or stage(df, name))
+    rng = random.Random(5)
+    path = [(i, i + 1) for i in range(-20, 20)]
+    drawn = [(rng.randrange(60), rng.randrange(-60, 120)) for _ in range(70)]
+    lots = [
+        (path[::2] + [(90, 91)] * 2, 0),  # stars
+        (path[2::4], None),
+        ([(-20, -19), (7, 7), (None, 3)], 0),  # nothing new
+        ([], 0),
+        (path + [(200, 19), (200, 201)], None),
+        (drawn, None),
+    ]
+    parts, links = None, []
+    for lot, rounds in lots:
+        written.clear()
+        df = spark.createDataFrame(lot, "u long, v long")
+        parts = components.connected_components(df, parts)
+        links += [x for x in lot if None not in x]
+        got = parts.collect()
+        assert len(got) == len({r.vertex for r in got})
+        assert {r.vertex: r.component for r in got} == joined(links)
+        assert rounds is None or written.count("edges") == 1 + rounds
+        whole = components.connected_components(spark.createDataFrame(links, "u long, v long"))
+        assert {r.vertex: r.component for r in whole.collect()} == joined(links)
+
+
+def test_links_found_later_join_components_found_before(spark, monkeypatch):
+    """Each call gets new links only, and what was shipped to tasks is given up."""
+    monkeypatch.setattr(jaccard_join, "_HUBS", 1)
+    monkeypatch.setattr(jaccard_join, "_MORE_HUBS", 1)
+    lots, known, given_up = [], [], []
+    found, destroy = jaccard_join.connected_components, Broadcast.destroy
+
+    def watched(links, parts=None):
+        lots.append({(r.u, r.v) for r in links.collect()})
+        known.append(parts)
+        return found(links, parts)
+
+    monkeypatch.setattr(jaccard_join, "connected_components", watched)
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: given_up.append(self) or destroy(self, *a))
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    values = []
+    for _ in range(60):
+        text = list(base)
+        text[rng.randrange(60)] = f"x{rng.randrange(1000)}"
+        if rng.random() < 0.5:
+            text[rng.randrange(60)] = f"y{rng.randrange(1000)}"
+        values.append(" ".join(text))
+    options = jaccard_join.JaccardOptions(shingle=2, percent=93)
+    got = jaccard_join.jaccard_components(texts(spark, values), options=options).collect()
+    sets = [set(zip(v.split(), v.split()[1:])) for v in values]
+    near = [
+        (i, j) for i in range(60) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 93 * len(sets[i] | sets[j])
+    ]
+    whole = joined(near)
+    assert {r.doc_id: r.component_id for r in got} == {i: whole.get(i, i) for i in range(60)}
+    assert len(given_up) == 1 and known[0] is None and None not in known[1:]
+    assert all(not a & b for k, a in enumerate(lots) for b in lots[:k])
+
+
 def test_linked_sets_share_a_key_and_bounds_hold():
     rng = np.random.default_rng(5)
     levels = rng.integers(0, 9, 1 << 16, dtype=np.uint8)
